@@ -65,13 +65,15 @@ def pit_sql(
     distinct: bool = True,
     since: str = HISTORY_SINCE,
     where: str = "",
+    start: str = POPULATION_START,
+    end: str = POPULATION_END,
 ) -> str:
     """The feature table, written the way the published job reads: inner
     range join, group, left join back, zero fill."""
     aggs = ",\n       ".join(_agg_sql(f) for f in features)
     outs = ",\n       ".join(f"COALESCE(a.{f.name}, 0) AS {f.name}" for f in features)
     return f"""
-WITH p AS ({population_sql(distinct)}),
+WITH p AS ({population_sql(distinct, start, end)}),
      h AS ({history_sql(since)}),
      a AS (SELECT p.client_id, p.date,
        {aggs}
@@ -90,9 +92,67 @@ SELECTED_FEATURE_NAMES = (
     "cl_count_of_client_weakness_is_poor_communication_v1",
 )
 
+# (start, end, history cut-off) of the two publish runs used by write queries.
+# The second run overlaps the first by one month and sees less history, so
+# overlapping rows differ.
+WINDOW_A = ("1998-01-01", "1998-04-01", "1996-01-01")
+WINDOW_B = ("1998-03-01", "1998-07-01", "1997-01-01")
+
+
+def window_sql(window) -> str:
+    start, end, since = window
+    return pit_sql(since=since, start=start, end=end)
+
+
+def partition_overwrite_sql(old: str, new: str) -> str:
+    return (
+        f"SELECT * FROM ({old}) o WHERE date NOT IN (SELECT DISTINCT date FROM ({new}) n0) "
+        f"UNION ALL SELECT * FROM ({new}) n1"
+    )
+
+
+def merge_sql(target: str, source: str, features: Sequence[Feature] = FEATURES,
+              update: Sequence[str] = ("cl_count_of_hire_v1",)) -> str:
+    cols = ["client_id", "date"] + [f.name for f in features]
+    out = []
+    for c in cols:
+        if c in update:
+            out.append(f"CASE WHEN t.__t AND s.__s THEN s.{c} WHEN t.__t THEN t.{c} ELSE s.{c} END AS {c}")
+        else:
+            out.append(f"CASE WHEN t.__t THEN t.{c} ELSE s.{c} END AS {c}")
+    return (
+        f"SELECT {', '.join(out)} FROM (SELECT *, TRUE AS __t FROM ({target}) t0) t "
+        f"FULL OUTER JOIN (SELECT *, TRUE AS __s FROM ({source}) s0) s "
+        f"ON t.date = s.date AND t.client_id = s.client_id"
+    )
+
+
+def _join_sql(select: str, group: bool = False) -> str:
+    sql = (
+        f"SELECT {select} FROM ({history_sql()}) h "
+        f"JOIN ({population_sql()}) p ON h.employer = p.client_id AND h.end_date < p.date"
+    )
+    return sql + (" GROUP BY p.client_id, p.date" if group else "")
+
+
+GROUPED_SQL = _join_sql(
+    "p.client_id, p.date, COUNT(*) AS n_rows, CAST(SUM(outcome_is_good) AS BIGINT) AS n_good, "
+    "AVG(outcome_is_good) AS rate_good",
+    group=True,
+)
+LEFT_JOINED_SQL = (
+    f"SELECT p.client_id, p.date, g.n_rows, g.n_good, g.rate_good FROM ({population_sql()}) p "
+    f"LEFT JOIN ({GROUPED_SQL}) g ON p.client_id = g.client_id AND p.date = g.date"
+)
+
 
 def oracle_queries() -> dict[str, str]:
     full = pit_sql()
+    a, b = window_sql(WINDOW_A), window_sql(WINDOW_B)
+    customer, customer2 = "SELECT * FROM customer", "SELECT * FROM customer UNION ALL SELECT * FROM customer"
+    overwritten = partition_overwrite_sql(a, b)
+    code_flags = ", ".join(list(FLAG_SQL)[:3])
+    outcome_flags = ", ".join(list(FLAG_SQL)[3:])
     return {
         "pit_features": full,
         "pit_features_dup_population": pit_sql(distinct=False),
@@ -101,4 +161,55 @@ def oracle_queries() -> dict[str, str]:
         "pit_features_selected": pit_sql(select_features(SELECTED_FEATURE_NAMES)),
         "pit_features_corrected": pit_sql(CORRECTED_FEATURES),
         "features_positive_only": pit_sql(where="WHERE cl_count_of_hire_v1 > 0"),
+        "scan_parquet_project": "SELECT c_custkey, c_name, c_nationkey FROM customer",
+        "scan_table": customer,
+        "scan_sql": "SELECT * FROM nation",
+        "scan_path": customer,
+        "date_range_half_open": (
+            f"SELECT o_orderkey, o_custkey, d AS date FROM ({ORDERS_DATED}) o "
+            f"WHERE d >= DATE '{POPULATION_START}' AND d < DATE '{POPULATION_END}'"
+        ),
+        "filter_unselected_column": (
+            "SELECT client_uid, employer, client_recom_score_answer, contractor_recom_score_answer, "
+            f"outcome, end_date FROM ({HISTORY}) h WHERE start_date >= DATE '{HISTORY_SINCE}'"
+        ),
+        "json_answer_extract": (
+            "SELECT employer, end_date, contractor_recom_score_answer, "
+            "CAST(json_extract(contractor_recom_score_answer, '$.answer') AS VARCHAR) AS contractor_answers "
+            f"FROM ({HISTORY}) h"
+        ),
+        "json_code_flags": f"SELECT employer, end_date, {code_flags} FROM ({FLAGGED}) f",
+        "outcome_one_hot": f"SELECT employer, end_date, outcome, {outcome_flags} FROM ({FLAGGED}) f",
+        "pit_join_rows": _join_sql("p.client_id, p.date, h.employer, h.end_date, h.outcome"),
+        "population_left_join": LEFT_JOINED_SQL,
+        "group_count_sum_avg": GROUPED_SQL,
+        "fill_zero": (
+            "SELECT COALESCE(client_id, 0) AS client_id, date, COALESCE(n_rows, 0) AS n_rows, "
+            "COALESCE(n_good, 0) AS n_good, COALESCE(rate_good, 0) AS rate_good "
+            f"FROM ({LEFT_JOINED_SQL}) l"
+        ),
+        "preview_ordered": (
+            f"SELECT * FROM ({pit_sql(where='WHERE cl_count_of_hire_v1 > 0')}) q ORDER BY date, client_id LIMIT 10"
+        ),
+        "create_only": customer,
+        "append_by_name": customer2,
+        "create_or_replace": customer,
+        "create_or_replace_partitioned": b,
+        "dynamic_partition_overwrite": overwritten,
+        "publish_first_run": a,
+        "publish_second_run": overwritten,
+        "ctas_if_not_exists": a,
+        "merge_update_insert": merge_sql(a, b),
+        "merge_first_run_noop": a,
+        "path_overwrite": customer,
+        "path_append_registered": customer2,
+        "external_save_as_table": customer2,
+        "register_location": a,
+        "database_lifecycle": customer,
+        "reload_job": customer,
+        "path_table_job": customer,
+        "external_table_job": customer2,
+        "register_job": a,
+        "daily_publish_merge": merge_sql(a, overwritten),
+        "compute_replace": b,
     }

@@ -2,65 +2,375 @@
 
 Each reads the test tables under ``sf_dir`` (or tables Spark writes from
 them) so its work grows with the data. Write-type queries run in a fresh
-database under the session's shared checkpoint folder and return the rows
-left in the table.
+database located under the session's shared checkpoint folder and return the
+rows left in the table afterwards.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from daybook.functions.features import CORRECTED_FEATURES
-from daybook.operators.pit import point_in_time_features
+from daybook.functions.flags import flag_columns, json_answers
+from daybook.operators import catalog as cat
+from daybook.operators import tables as tb
+from daybook.operators.merge import merge_into
+from daybook.operators.pit import (
+    fill_zero,
+    history_since,
+    pit_join,
+    point_in_time_features,
+    population_left_join,
+    restrict_dates,
+)
 from daybook.plans import fixtures as fx
-from daybook.plans.oracle import SELECTED_FEATURE_NAMES
+from daybook.plans import jobs
+from daybook.plans.oracle import SELECTED_FEATURE_NAMES, WINDOW_A, WINDOW_B
+from daybook.session import shared_dir
+from daybook.sources import preview, read_parquet, read_path, read_sql, read_table, register_view
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def _features(spark: SparkSession, sf_dir: str, *, distinct: bool = True, **kw) -> DataFrame:
+# -- point-in-time features -------------------------------------------------
+
+
+def _features(spark: SparkSession, sf_dir: str, *, distinct: bool = True, window=None, **kw) -> DataFrame:
+    start, end, since = window or (fx.POPULATION_START, fx.POPULATION_END, fx.HISTORY_SINCE)
     return point_in_time_features(
-        fx.population(spark, sf_dir, distinct=distinct),
-        fx.history(spark, sf_dir),
-        fx.POPULATION_START,
-        fx.POPULATION_END,
-        since=fx.HISTORY_SINCE,
-        **kw,
+        fx.population(spark, sf_dir, distinct=distinct), fx.history(spark, sf_dir), start, end, since=since, **kw
     )
 
 
-def pit_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+def pit_features(spark, sf_dir):
     return _features(spark, sf_dir)
 
 
-def pit_features_dup_population(spark: SparkSession, sf_dir: str) -> DataFrame:
+def pit_features_dup_population(spark, sf_dir):
     return _features(spark, sf_dir, distinct=False)
 
 
-def pit_features_prefix_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
+def pit_features_prefix_sum(spark, sf_dir):
     return _features(spark, sf_dir, method="prefix_sum")
 
 
-def pit_features_direct(spark: SparkSession, sf_dir: str) -> DataFrame:
+def pit_features_direct(spark, sf_dir):
     return _features(spark, sf_dir, method="direct")
 
 
-def pit_features_selected(spark: SparkSession, sf_dir: str) -> DataFrame:
+def pit_features_selected(spark, sf_dir):
     return _features(spark, sf_dir, features=SELECTED_FEATURE_NAMES)
 
 
-def pit_features_corrected(spark: SparkSession, sf_dir: str) -> DataFrame:
+def pit_features_corrected(spark, sf_dir):
     return _features(spark, sf_dir, registry=CORRECTED_FEATURES)
 
 
-def features_positive_only(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from pyspark.sql import functions as F
-
+def features_positive_only(spark, sf_dir):
     return _features(spark, sf_dir).where(F.col("cl_count_of_hire_v1") > 0)
 
 
+# -- scans, filters, functions ------------------------------------------------
+
+
+def scan_parquet_project(spark, sf_dir):
+    return read_parquet(spark, fx.table_path(sf_dir, "customer")).select("c_custkey", "c_name", "c_nationkey")
+
+
+def scan_table(spark, sf_dir):
+    view = register_view(read_parquet(spark, fx.table_path(sf_dir, "customer")), "dbk_scan_customer")
+    return read_table(spark, view)
+
+
+def scan_sql(spark, sf_dir):
+    view = register_view(read_parquet(spark, fx.table_path(sf_dir, "nation")), "dbk_sql_nation")
+    return read_sql(spark, view)
+
+
+def scan_path(spark, sf_dir):
+    return read_path(spark, fx.table_path(sf_dir, "customer"), "parquet")
+
+
+def date_range_half_open(spark, sf_dir):
+    o = fx.dated_orders(spark, sf_dir).select("o_orderkey", "o_custkey", F.col("d").alias("date"))
+    return restrict_dates(o, fx.POPULATION_START, fx.POPULATION_END)
+
+
+def filter_unselected_column(spark, sf_dir):
+    # The filter names a column the projection dropped; the analyzer resolves it.
+    h = fx.history(spark, sf_dir).select(
+        "client_uid", "employer", "client_recom_score_answer", "contractor_recom_score_answer", "outcome", "end_date"
+    )
+    return h.filter(F.col("start_date") >= F.lit(fx.HISTORY_SINCE))
+
+
+def json_answer_extract(spark, sf_dir):
+    h = fx.history(spark, sf_dir)
+    return h.select(
+        "employer", "end_date", "contractor_recom_score_answer",
+        json_answers("contractor_recom_score_answer").alias("contractor_answers"),
+    )
+
+
+def json_code_flags(spark, sf_dir):
+    flags = flag_columns()
+    names = ["client_weakness_is_unclear_requirements", "client_weakness_is_poor_communication",
+             "client_weakness_is_something_else"]
+    return fx.history(spark, sf_dir).select("employer", "end_date", *[flags[n].alias(n) for n in names])
+
+
+def outcome_one_hot(spark, sf_dir):
+    flags = flag_columns()
+    names = ["outcome_is_good", "outcome_is_neutral", "outcome_is_bad"]
+    return fx.history(spark, sf_dir).select("employer", "end_date", "outcome", *[flags[n].alias(n) for n in names])
+
+
+# -- joins, aggregation, fill, previews ----------------------------------------
+
+
+def _population(spark, sf_dir):
+    return restrict_dates(fx.population(spark, sf_dir), fx.POPULATION_START, fx.POPULATION_END)
+
+
+def _flagged_history(spark, sf_dir):
+    h = history_since(fx.history(spark, sf_dir), fx.HISTORY_SINCE)
+    return h.select("employer", "end_date", "outcome", flag_columns()["outcome_is_good"].alias("outcome_is_good"))
+
+
+def pit_join_rows(spark, sf_dir):
+    rows = pit_join(_flagged_history(spark, sf_dir), _population(spark, sf_dir))
+    return rows.select("client_id", "date", "employer", "end_date", "outcome")
+
+
+def _grouped(spark, sf_dir):
+    rows = pit_join(_flagged_history(spark, sf_dir), _population(spark, sf_dir))
+    return rows.groupBy("client_id", "date").agg(
+        F.count("*").alias("n_rows"),
+        F.sum("outcome_is_good").alias("n_good"),
+        F.avg("outcome_is_good").alias("rate_good"),
+    )
+
+
+def group_count_sum_avg(spark, sf_dir):
+    return _grouped(spark, sf_dir)
+
+
+def population_left_join_query(spark, sf_dir):
+    return population_left_join(_population(spark, sf_dir), _grouped(spark, sf_dir), ("client_id", "date"))
+
+
+def fill_zero_query(spark, sf_dir):
+    return fill_zero(population_left_join_query(spark, sf_dir))
+
+
+def preview_ordered(spark, sf_dir):
+    return preview(features_positive_only(spark, sf_dir), 10, order_by=["date", "client_id"])
+
+
+def limit_rows_only(spark, sf_dir):
+    view = register_view(read_parquet(spark, fx.table_path(sf_dir, "customer")), "dbk_limit_customer")
+    return read_sql(spark, view, limit=10)
+
+
+# -- table writes ---------------------------------------------------------------
+
+
+def _scratch_db(spark: SparkSession, key: str) -> str:
+    name = f"dbk_{key}_{uuid.uuid4().hex[:10]}"
+    cat.create_database(spark, name, location=shared_dir(spark, name))
+    return name
+
+
+def _customer(spark, sf_dir):
+    return read_parquet(spark, fx.table_path(sf_dir, "customer"))
+
+
+def _window(spark, sf_dir, window):
+    return _features(spark, sf_dir, window=window)
+
+
+def create_only(spark, sf_dir):
+    t = _scratch_db(spark, "create") + ".t"
+    tb.create_table(_customer(spark, sf_dir), t)
+    return spark.table(t)
+
+
+def append_by_name(spark, sf_dir):
+    t = _scratch_db(spark, "append") + ".t"
+    c = _customer(spark, sf_dir)
+    tb.create_table(c, t)
+    tb.append_by_name(c.select(*reversed(c.columns)), t)
+    return spark.table(t)
+
+
+def create_or_replace(spark, sf_dir):
+    t = _scratch_db(spark, "replace") + ".t"
+    tb.create_or_replace(read_parquet(spark, fx.table_path(sf_dir, "nation")), t)
+    tb.create_or_replace(_customer(spark, sf_dir), t)
+    return spark.table(t)
+
+
+def create_or_replace_partitioned(spark, sf_dir):
+    t = _scratch_db(spark, "replace_part") + ".t"
+    tb.create_or_replace(_window(spark, sf_dir, WINDOW_A), t, partition_by="date")
+    tb.create_or_replace(_window(spark, sf_dir, WINDOW_B), t, partition_by="date")
+    return spark.table(t)
+
+
+def dynamic_partition_overwrite(spark, sf_dir):
+    t = _scratch_db(spark, "dyn") + ".t"
+    tb.create_table(_window(spark, sf_dir, WINDOW_A), t, partition_by="date")
+    tb.overwrite_partitions(_window(spark, sf_dir, WINDOW_B), t)
+    return spark.table(t)
+
+
+def publish_first_run(spark, sf_dir):
+    t = _scratch_db(spark, "pub1") + ".t"
+    assert tb.publish(_window(spark, sf_dir, WINDOW_A), t) == "create"
+    return spark.table(t)
+
+
+def publish_second_run(spark, sf_dir):
+    t = _scratch_db(spark, "pub2") + ".t"
+    tb.publish(_window(spark, sf_dir, WINDOW_A), t)
+    assert tb.publish(_window(spark, sf_dir, WINDOW_B), t) == "overwrite"
+    return spark.table(t)
+
+
+def ctas_if_not_exists(spark, sf_dir):
+    db = _scratch_db(spark, "ctas")
+    tb.publish(_window(spark, sf_dir, WINDOW_A), f"{db}.a")
+    tb.publish(_window(spark, sf_dir, WINDOW_B), f"{db}.b")
+    tb.create_table_as_select_if_absent(spark, f"{db}.copy", f"{db}.a", partition_by="date")
+    tb.create_table_as_select_if_absent(spark, f"{db}.copy", f"{db}.b", partition_by="date")
+    return spark.table(f"{db}.copy")
+
+
+def merge_update_insert(spark, sf_dir):
+    t = _scratch_db(spark, "merge") + ".t"
+    tb.create_or_replace(_window(spark, sf_dir, WINDOW_A), t, partition_by="date")
+    merge_into(_window(spark, sf_dir, WINDOW_B), t)
+    return spark.table(t)
+
+
+def merge_first_run_noop(spark, sf_dir):
+    db = _scratch_db(spark, "merge_noop")
+    tb.publish(_window(spark, sf_dir, WINDOW_A), f"{db}.pub")
+    tb.create_table_as_select_if_absent(spark, f"{db}.copy", f"{db}.pub", partition_by="date")
+    merge_into(spark.table(f"{db}.pub"), f"{db}.copy")
+    return spark.table(f"{db}.copy")
+
+
+def path_overwrite(spark, sf_dir):
+    path = shared_dir(spark, "path_overwrite")
+    tb.overwrite_path(read_parquet(spark, fx.table_path(sf_dir, "nation")), path)
+    tb.overwrite_path(_customer(spark, sf_dir), path)
+    return read_path(spark, path)
+
+
+def path_append_registered(spark, sf_dir):
+    db = _scratch_db(spark, "path_append")
+    path = shared_dir(spark, "path_append_files")
+    tb.append_path(_customer(spark, sf_dir), path, f"{db}.t")
+    tb.append_path(_customer(spark, sf_dir), path, f"{db}.t")
+    return spark.table(f"{db}.t")
+
+
+def external_save_as_table(spark, sf_dir):
+    db = _scratch_db(spark, "external")
+    path = shared_dir(spark, "external_files")
+    tb.save_external(read_parquet(spark, fx.table_path(sf_dir, "nation")), f"{db}.t", path)
+    tb.save_external(_customer(spark, sf_dir), f"{db}.t", path)
+    return read_path(spark, path).unionByName(spark.table(f"{db}.t"))
+
+
+def register_location(spark, sf_dir):
+    db = _scratch_db(spark, "register")
+    path = shared_dir(spark, "register_files")
+    tb.overwrite_path(_window(spark, sf_dir, WINDOW_A), path, partition_by="date")
+    cat.register_location(spark, f"{db}.t", path)
+    cat.register_location(spark, f"{db}.t", path)  # second call is a no-op
+    return spark.table(f"{db}.t")
+
+
+def database_lifecycle(spark, sf_dir):
+    before = cat.current_database(spark)
+    db = _scratch_db(spark, "lifecycle")
+    cat.create_database(spark, db)  # again: IF NOT EXISTS makes it a no-op
+    if cat.current_database(spark) != before:
+        raise AssertionError("creating a database must not switch to it")
+    t = f"{db}.t"
+    cat.drop_table(spark, t)
+    tb.create_table(_customer(spark, sf_dir), t)
+    if not cat.table_exists(spark, t):
+        raise AssertionError("table missing after create")
+    cat.drop_table(spark, t)
+    if cat.table_exists(spark, t):
+        raise AssertionError("table present after drop")
+    tb.create_table(_customer(spark, sf_dir), t)
+    return spark.table(t)
+
+
+# -- jobs -------------------------------------------------------------------------
+
+
+def reload_job(spark, sf_dir):
+    db = _scratch_db(spark, "reload")
+    jobs.reload_table(spark, fx.table_path(sf_dir, "customer"), db, "t")
+    return jobs.reload_table(spark, fx.table_path(sf_dir, "customer"), db, "t")
+
+
+def path_table_job(spark, sf_dir):
+    name = f"dbk_pathjob_{uuid.uuid4().hex[:10]}"
+    return jobs.path_table(spark, fx.table_path(sf_dir, "customer"), name, "t", shared_dir(spark, name))
+
+
+def external_table_job(spark, sf_dir):
+    name = f"dbk_extjob_{uuid.uuid4().hex[:10]}"
+    by_path, by_name = jobs.external_table(
+        spark, fx.table_path(sf_dir, "customer"), name, "t", shared_dir(spark, name + "_files")
+    )
+    return by_path.unionByName(by_name)
+
+
+def register_job(spark, sf_dir):
+    path = shared_dir(spark, "register_job_files")
+    tb.overwrite_path(_window(spark, sf_dir, WINDOW_A), path, partition_by="date")
+    name = f"dbk_regjob_{uuid.uuid4().hex[:10]}"
+    current = jobs.register_existing(spark, name, shared_dir(spark, name), "t", path)
+    if current == name:
+        raise AssertionError("register job switched the current database")
+    return spark.table(f"{name}.t")
+
+
+def inspect_job(spark, sf_dir):
+    t = _scratch_db(spark, "inspect") + ".t"
+    tb.create_table(_customer(spark, sf_dir), t)
+    first5, first10 = jobs.inspect_table(spark, t)
+    return first10
+
+
+
+def daily_publish_merge(spark, sf_dir):
+    db = _scratch_db(spark, "daily")
+    pop, hist = fx.population(spark, sf_dir), fx.history(spark, sf_dir)
+    for start, end, since in (WINDOW_A, WINDOW_B):
+        jobs.daily_publish_merge(spark, start, end, f"{db}.pub", f"{db}.copy", pop, hist, since=since)
+    return spark.table(f"{db}.copy")
+
+
+def compute_replace(spark, sf_dir):
+    db = _scratch_db(spark, "replace_job")
+    pop, hist = fx.population(spark, sf_dir), fx.history(spark, sf_dir)
+    for start, end, since in (WINDOW_A, WINDOW_B):
+        jobs.compute_replace(spark, start, end, f"{db}.t", pop, hist, since=since)
+    return spark.table(f"{db}.t")
+
+
 QUERIES: dict[str, Query] = {
     "pit_features": pit_features,
     "pit_features_dup_population": pit_features_dup_population,
@@ -69,4 +379,41 @@ QUERIES: dict[str, Query] = {
     "pit_features_selected": pit_features_selected,
     "pit_features_corrected": pit_features_corrected,
     "features_positive_only": features_positive_only,
+    "scan_parquet_project": scan_parquet_project,
+    "scan_table": scan_table,
+    "scan_sql": scan_sql,
+    "scan_path": scan_path,
+    "date_range_half_open": date_range_half_open,
+    "filter_unselected_column": filter_unselected_column,
+    "json_answer_extract": json_answer_extract,
+    "json_code_flags": json_code_flags,
+    "outcome_one_hot": outcome_one_hot,
+    "pit_join_rows": pit_join_rows,
+    "population_left_join": population_left_join_query,
+    "group_count_sum_avg": group_count_sum_avg,
+    "fill_zero": fill_zero_query,
+    "preview_ordered": preview_ordered,
+    "limit_rows_only": limit_rows_only,
+    "create_only": create_only,
+    "append_by_name": append_by_name,
+    "create_or_replace": create_or_replace,
+    "create_or_replace_partitioned": create_or_replace_partitioned,
+    "dynamic_partition_overwrite": dynamic_partition_overwrite,
+    "publish_first_run": publish_first_run,
+    "publish_second_run": publish_second_run,
+    "ctas_if_not_exists": ctas_if_not_exists,
+    "merge_update_insert": merge_update_insert,
+    "merge_first_run_noop": merge_first_run_noop,
+    "path_overwrite": path_overwrite,
+    "path_append_registered": path_append_registered,
+    "external_save_as_table": external_save_as_table,
+    "register_location": register_location,
+    "database_lifecycle": database_lifecycle,
+    "reload_job": reload_job,
+    "path_table_job": path_table_job,
+    "external_table_job": external_table_job,
+    "register_job": register_job,
+    "inspect_job": inspect_job,
+    "daily_publish_merge": daily_publish_merge,
+    "compute_replace": compute_replace,
 }
