@@ -13,9 +13,12 @@ SET <update_cols> WHEN NOT MATCHED THEN INSERT *``:
 Plan: only the target partitions that the source touches are read (partition
 values compared null-safely, listed on the driver when there are few, else a
 semi-join), full-outer-joined to the source on the keys (one shuffle on the
-keys), staged to the shared checkpoint folder, and written back with a
-dynamic partition overwrite. Staging cuts the lineage and means a failed job
-never leaves the table half-rewritten from a plan that reads it.
+keys) and written back with a dynamic partition overwrite. That write goes to
+a job staging folder and swaps partitions in only at job commit, after every
+task has finished reading the old files, so a failed or retried job leaves
+the table as it was. An unpartitioned target cannot be overwritten by a plan
+that reads it; there the merged rows are first written to the shared
+checkpoint folder, which also cuts the lineage.
 """
 
 from __future__ import annotations
@@ -103,8 +106,23 @@ def merge_into(
     target: str,
     keys: Sequence[str] = ("date", "client_id"),
     update_cols: Sequence[str] = ("cl_count_of_hire_v1",),
+    persist_source: bool = False,
 ) -> None:
+    """Merge ``source`` into table ``target``. The source is read up to three
+    times (touched partitions, cardinality check, merge); pass
+    ``persist_source=True`` when it is an expensive computation rather than a
+    table scan."""
     spark = source.sparkSession
+    if persist_source:
+        source = source.persist()
+    try:
+        _merge(spark, source, target, keys, update_cols)
+    finally:
+        if persist_source:
+            source.unpersist()
+
+
+def _merge(spark, source: DataFrame, target: str, keys: Sequence[str], update_cols: Sequence[str]) -> None:
     table = spark.table(target)
     missing = [c for c in list(keys) + list(update_cols) if c not in table.columns]
     if missing:
@@ -114,10 +132,10 @@ def merge_into(
     slice_ = _touched(table, src, part_cols) if part_cols else table
 
     check_cardinality(slice_, src, keys)
-    stage = shared_dir(spark, "merge-stage")
-    merged_rows(slice_, src, keys, update_cols).write.mode("overwrite").parquet(stage)
-    staged = spark.read.parquet(stage)
+    merged = merged_rows(slice_, src, keys, update_cols)
     if part_cols:
-        overwrite_partitions(staged, target)
-    else:
-        align_to_table(staged, target).write.insertInto(target, overwrite=True)
+        overwrite_partitions(merged, target)
+        return
+    stage = shared_dir(spark, "merge-stage")
+    merged.write.mode("overwrite").parquet(stage)
+    align_to_table(spark.read.parquet(stage), target).write.insertInto(target, overwrite=True)

@@ -39,6 +39,19 @@ def _parts(partition_by: str | Sequence[str] | None) -> list[str]:
     return [partition_by] if isinstance(partition_by, str) else list(partition_by)
 
 
+def clustered_for_write(df: DataFrame, partition_by=None) -> DataFrame:
+    """Group rows by partition value before a partitioned write.
+
+    Without this every task writes a file into every partition it holds
+    (tasks x partitions small files). The rebalance hint shuffles on the
+    partition columns and lets AQE merge small partitions and split a hot
+    one, so file count tracks data size and one huge date never lands in a
+    single task.
+    """
+    parts = _parts(partition_by)
+    return df.hint("rebalance", *parts) if parts else df
+
+
 def align_to_table(df: DataFrame, name: str) -> DataFrame:
     """Reorder ``df`` to the table's column order, matching by name.
 
@@ -57,8 +70,8 @@ def align_to_table(df: DataFrame, name: str) -> DataFrame:
 
 def create_table(df: DataFrame, name: str, partition_by=None, fmt: str = "parquet") -> None:
     """Create-only: raises ``TABLE_OR_VIEW_ALREADY_EXISTS`` if ``name`` exists."""
-    writer = df.writeTo(name).using(fmt)
     parts = _parts(partition_by)
+    writer = clustered_for_write(df, parts).writeTo(name).using(fmt)
     if parts:
         writer = writer.partitionedBy(*[F.col(p) for p in parts])
     writer.create()
@@ -71,8 +84,8 @@ def append_by_name(df: DataFrame, name: str) -> None:
 
 def create_or_replace(df: DataFrame, name: str, partition_by=None, fmt: str = "parquet") -> None:
     """Create, or replace schema and all rows (every partition) of ``name``."""
-    writer = df.write.mode("overwrite").format(fmt)
     parts = _parts(partition_by)
+    writer = clustered_for_write(df, parts).write.mode("overwrite").format(fmt)
     if parts:
         writer = writer.partitionBy(*parts)
     writer.saveAsTable(name)
@@ -82,7 +95,8 @@ def overwrite_partitions(df: DataFrame, name: str) -> None:
     """Dynamic partition overwrite: partitions present in ``df`` are replaced,
     all others are kept; an empty ``df`` changes nothing. Columns by name."""
     spark = df.sparkSession
-    aligned = align_to_table(df, name)
+    parts = [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+    aligned = clustered_for_write(align_to_table(df, name), parts)
     with session_conf(spark, OVERWRITE_MODE, "dynamic"):
         aligned.write.insertInto(name, overwrite=True)
 
@@ -109,8 +123,8 @@ def create_table_as_select_if_absent(
 
 def overwrite_path(df: DataFrame, path: str, fmt: str = "parquet", partition_by=None) -> None:
     """Replace everything at ``path``."""
-    writer = df.write.mode("overwrite").format(fmt)
     parts = _parts(partition_by)
+    writer = clustered_for_write(df, parts).write.mode("overwrite").format(fmt)
     if parts:
         writer = writer.partitionBy(*parts)
     writer.save(path)
@@ -128,8 +142,8 @@ def append_path(df: DataFrame, path: str, name: str | None = None, fmt: str = "p
 def save_external(df: DataFrame, name: str, path: str, fmt: str = "parquet", partition_by=None) -> None:
     """Overwrite the files at ``path`` and (re)register them as table ``name``;
     readable by path and by name."""
-    writer = df.write.format(fmt).mode("overwrite").option("path", path)
     parts = _parts(partition_by)
+    writer = clustered_for_write(df, parts).write.format(fmt).mode("overwrite").option("path", path)
     if parts:
         writer = writer.partitionBy(*parts)
     writer.saveAsTable(name)

@@ -253,7 +253,7 @@ def ctas_if_not_exists(spark, sf_dir):
 def merge_update_insert(spark, sf_dir):
     t = _scratch_db(spark, "merge") + ".t"
     tb.create_or_replace(_window(spark, sf_dir, WINDOW_A), t, partition_by="date")
-    merge_into(_window(spark, sf_dir, WINDOW_B), t)
+    merge_into(_window(spark, sf_dir, WINDOW_B), t, persist_source=True)
     return spark.table(t)
 
 

@@ -16,6 +16,11 @@ DEFAULT_CONFS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Broadcast only what a finished shuffle stage has measured: the static
+    # (file-size based) estimate is off, AQE's runtime threshold is on, and
+    # anything above it stays a sort-merge join.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
 }
 
 
