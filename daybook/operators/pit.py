@@ -135,7 +135,7 @@ def daily_history(
 
 
 def _per_key_join(keys: DataFrame, daily: DataFrame, flags: Sequence[str], entity: str, date: str) -> DataFrame:
-    matched = keys.join(daily, (keys[entity] == daily["__e"]) & (daily["__d"] < keys[date]), "left")
+    matched = keys.join(daily, (keys[entity] == daily["__e"]) & (daily["__d"] < keys[date]), "inner")
     return matched.groupBy(entity, date, "__k").agg(
         F.sum("__n").alias("__n"), *[F.sum(_sum_name(f)).alias(_sum_name(f)) for f in flags]
     )
@@ -165,7 +165,7 @@ def _per_key_prefix_sum(keys: DataFrame, daily: DataFrame, flags: Sequence[str],
     running = pop_rows.unionByName(hist_rows).select(
         "__e", "__d", "__k", "__pop", *[F.sum(c).over(w).alias(c) for c in ["__n", *sums]]
     )
-    return running.where(F.col("__pop") == 1).select(
+    return running.where((F.col("__pop") == 1) & (F.col("__n") > 0)).select(
         F.col("__e").alias(entity), F.col("__d").alias(date), "__k", "__n", *sums
     )
 
@@ -179,10 +179,48 @@ def _feature_column(f: Feature) -> Column:
     if f.kind == "sum":
         return (s * k).alias(f.name)
     if f.kind == "avg":
-        return F.when(n > 0, s / n).cast("double").alias(f.name)
+        return (s / n).cast("double").alias(f.name)
     raise ValueError(f"unknown feature kind {f.kind!r}")
 
 
+def pit_grouped(
+    population: DataFrame,
+    history: DataFrame,
+    features: Sequence[Feature],
+    *,
+    method: str = "join",
+    entity: str = "client_id",
+    date: str = "date",
+    history_entity: str = "employer",
+    history_date: str = "end_date",
+    answer_col: str = "contractor_recom_score_answer",
+    outcome_col: str = "outcome",
+) -> DataFrame:
+    """``groupBy(entity, date).agg(features)`` over the point-in-time join of
+    ``history`` to ``population``: one row per distinct (entity, date) that
+    has earlier history, population duplicates counted as the join would.
+
+    The ``join`` and ``prefix_sum`` forms never group raw history by entity,
+    so a hot entity costs at most one row per day after the map-side combine.
+    """
+    if method not in METHODS:
+        raise ValueError(f"method must be one of {METHODS}")
+    flags = _flags_needed(features)
+    if method == "direct":
+        exprs = flag_columns(answer_col, outcome_col)
+        flagged = history.select(
+            F.col(history_entity).alias("__e"),
+            F.col(history_date).alias("__d"),
+            *[exprs[f].alias(f) for f in flags],
+        )
+        rows = pit_join(flagged, population, entity, date, "__e", "__d")
+        return rows.groupBy(entity, date).agg(*[f.column() for f in features])
+    daily = daily_history(history, flags, history_entity, history_date, answer_col, outcome_col)
+    keys = population.groupBy(entity, date).agg(F.count(F.lit(1)).alias("__k"))
+    per_key = (_per_key_join if method == "join" else _per_key_prefix_sum)(keys, daily, flags, entity, date)
+    return per_key.select(entity, date, *[_feature_column(f) for f in features])
+
+
 def point_in_time_features(
     population: DataFrame,
     history: DataFrame,
@@ -220,20 +258,8 @@ def point_in_time_features(
         # Catalyst does not infer this through inequalities, so state it.
         hist = hist.where(F.col(history_date) < F.lit(last_day))
 
-    if method == "direct":
-        exprs = flag_columns(answer_col, outcome_col)
-        flagged = hist.select(
-            F.col(history_entity).alias("__e"),
-            F.col(history_date).alias("__d"),
-            *[exprs[f].alias(f) for f in _flags_needed(specs)],
-        )
-        rows = pit_join(flagged, pop, entity, date, "__e", "__d")
-        grouped = rows.groupBy(entity, date).agg(*[f.column() for f in specs])
-        return fill_zero(population_left_join(pop, grouped, (entity, date)))
-
-    flags = _flags_needed(specs)
-    daily = daily_history(hist, flags, history_entity, history_date, answer_col, outcome_col)
-    keys = pop.groupBy(entity, date).agg(F.count(F.lit(1)).alias("__k"))
-    per_key = (_per_key_join if method == "join" else _per_key_prefix_sum)(keys, daily, flags, entity, date)
-    feats = per_key.select(entity, date, *[_feature_column(f) for f in specs])
-    return fill_zero(population_left_join(pop, feats, (entity, date)))
+    grouped = pit_grouped(
+        pop, hist, specs, method=method, entity=entity, date=date, history_entity=history_entity,
+        history_date=history_date, answer_col=answer_col, outcome_col=outcome_col,
+    )
+    return fill_zero(population_left_join(pop, grouped, (entity, date)))

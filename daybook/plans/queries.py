@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.functions.features import CORRECTED_FEATURES
+from daybook.functions.features import CORRECTED_FEATURES, Feature
 from daybook.functions.flags import flag_columns, json_answers
 from daybook.operators import catalog as cat
 from daybook.operators import tables as tb
@@ -22,6 +22,7 @@ from daybook.operators.merge import merge_into
 from daybook.operators.pit import (
     fill_zero,
     history_since,
+    pit_grouped,
     pit_join,
     point_in_time_features,
     population_left_join,
@@ -146,13 +147,18 @@ def pit_join_rows(spark, sf_dir):
     return rows.select("client_id", "date", "employer", "end_date", "outcome")
 
 
+# count / sum / avg over the point-in-time join rows, computed from daily
+# pre-aggregates (equal to grouping the join output, without its skew).
+GROUP_FEATURES = (
+    Feature("n_rows", "count"),
+    Feature("n_good", "sum", "outcome_is_good"),
+    Feature("rate_good", "avg", "outcome_is_good"),
+)
+
+
 def _grouped(spark, sf_dir):
-    rows = pit_join(_flagged_history(spark, sf_dir), _population(spark, sf_dir))
-    return rows.groupBy("client_id", "date").agg(
-        F.count("*").alias("n_rows"),
-        F.sum("outcome_is_good").alias("n_good"),
-        F.avg("outcome_is_good").alias("rate_good"),
-    )
+    h = history_since(fx.history(spark, sf_dir), fx.HISTORY_SINCE)
+    return pit_grouped(_population(spark, sf_dir), h, GROUP_FEATURES)
 
 
 def group_count_sum_avg(spark, sf_dir):

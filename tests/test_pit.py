@@ -155,3 +155,17 @@ def test_hot_entity_and_hot_key_match_brute_force(spark):
     assert _rows(point_in_time_features(*args, method="join")) == direct
     assert _rows(point_in_time_features(*args, method="prefix_sum")) == direct
     assert len(direct) == 5000
+
+
+def test_grouped_forms_agree_with_groupby_over_join(spark):
+    """pit_grouped equals groupBy over the raw point-in-time join, duplicates included."""
+    from daybook.functions.features import Feature
+    from daybook.operators.pit import pit_grouped, pit_join
+
+    feats = [Feature("n", "count"), Feature("g", "sum", "outcome_is_good"), Feature("r", "avg", "outcome_is_good")]
+    pop = _population(spark, GOLDEN_POP)
+    hist = _history(spark, GOLDEN_HISTORY).withColumn("outcome_is_good", (F.col("outcome") == "good").cast("int"))
+    brute = _rows(pit_join(hist, pop).groupBy("client_id", "date").agg(
+        F.count("*").alias("n"), F.sum("outcome_is_good").alias("g"), F.avg("outcome_is_good").alias("r")))
+    for method in METHODS:
+        assert _rows(pit_grouped(pop, hist, feats, method=method)) == brute, method
