@@ -1,0 +1,7 @@
+"""No streaming operators.
+
+The feature and publishing jobs this library covers are daily batch jobs:
+they read no stream, keep no state across micro-batches and write no
+streaming sink, so there is nothing to express with Structured Streaming.
+The package exists to keep the layout uniform.
+"""
