@@ -4,7 +4,9 @@ Runs each query at ``$BENCH_SF_DIR`` (default /root/testdata/sf0.1) on
 ``local[$BENCH_CPUS]`` and fully consumes its result through the ``noop``
 sink. Write-type queries include their table writes. After one untimed
 warm-up of the flagship, each query is timed ``$BENCH_REPEAT`` times (default
-2) and the best time is kept. Prints one JSON line.
+2) and the best time is kept. Prints one JSON line whose ``value`` is the
+flagship point-in-time feature query (the job the baseline measures);
+``total_sec`` sums every headline query.
 """
 
 from __future__ import annotations
@@ -58,8 +60,9 @@ def main() -> None:
         times[name] = round(best, 3)
     m = re.search(r"sf([0-9.]+)", sf_dir)
     print(json.dumps({
-        "metric": "total_best_sec_headline_queries",
-        "value": round(sum(times.values()), 3),
+        "metric": "pit_features_best_sec",
+        "value": times.get("pit_features", round(sum(times.values()), 3)),
+        "total_sec": round(sum(times.values()), 3),
         "unit": "sec",
         "queries": times,
         "sf": float(m.group(1)) if m else sf_dir,

@@ -11,6 +11,7 @@ from daybook.functions.flags import (
     FLAG_COLUMNS,
     code_flag,
     flag_columns,
+    flag_sql,
     json_answers,
     one_hot,
     with_flags,
@@ -24,6 +25,7 @@ __all__ = [
     "aggregate_columns",
     "code_flag",
     "flag_columns",
+    "flag_sql",
     "json_answers",
     "one_hot",
     "select_features",

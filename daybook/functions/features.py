@@ -17,16 +17,20 @@ class Feature:
     kind: str
     flag: str | None = None
 
-    def column(self) -> Column:
-        """The aggregate as a Column over flag-level rows (direct form)."""
+    def sql(self) -> str:
+        """The aggregate as SQL text over flag-level rows (direct form)."""
+        name = "`" + self.name + "`"
         if self.kind == "count":
-            return F.count("*").alias(self.name)
+            return f"count(1) AS {name}"
         if self.kind == "sum":
-            return F.sum(F.col(self.flag)).alias(self.name)
+            return f"sum(`{self.flag}`) AS {name}"
         if self.kind == "avg":
-            return F.avg(F.col(self.flag)).alias(self.name)
+            return f"avg(`{self.flag}`) AS {name}"
         raise ValueError(f"unknown feature kind {self.kind!r}")
 
+    def column(self) -> Column:
+        return F.expr(self.sql())
+
 
 # Fixed values that must equal the published job's: the 13 feature names in
 # registry order, with the aggregate and flag behind each. The two

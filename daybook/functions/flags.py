@@ -1,8 +1,10 @@
 """Indicator flags derived from a JSON answer list and an outcome category.
 
-All flags are built-in Column expressions (``get_json_object``, ``contains``,
-``when``), so they stay inside whole-stage codegen and Catalyst collapses them
-into the scan's projection.
+Every flag is a built-in SQL expression (``get_json_object``, ``contains``,
+``CASE``), so it stays inside whole-stage codegen and Catalyst folds it into
+the scan's projection. The ``*_sql`` helpers return SQL text; the Column
+forms wrap that text in one ``F.expr`` call, which is far cheaper on the
+driver than assembling the same tree node by node.
 """
 
 from __future__ import annotations
@@ -31,40 +33,71 @@ OUTCOME_FLAGS = {
 FLAG_COLUMNS = tuple(ANSWER_CODE_FLAGS) + tuple(OUTCOME_FLAGS)
 
 
-def _col(c: str | Column) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+def sql_ident(name: str) -> str:
+    """A column name quoted for SQL text."""
+    return "`" + name.replace("`", "``") + "`"
 
 
-def json_answers(answer_json: str | Column, path: str = ANSWER_PATH) -> Column:
-    """Text at ``path`` of a JSON document; NULL input, absent path, JSON null or
-    malformed text give NULL. An array comes back as compact JSON text."""
-    c = _col(answer_json)
-    return F.when(c.isNotNull(), F.get_json_object(c, path)).otherwise(F.lit(None))
+def sql_str(value: str) -> str:
+    """A string literal for SQL text."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def code_flag(answers: str | Column, code: str) -> Column:
+def json_answers_sql(answer_col: str, path: str = ANSWER_PATH) -> str:
+    """Text at ``path`` of the JSON in column ``answer_col``; NULL input, absent
+    path, JSON null or malformed text give NULL; an array comes back as
+    compact JSON text."""
+    c = sql_ident(answer_col)
+    return f"CASE WHEN {c} IS NOT NULL THEN get_json_object({c}, {sql_str(path)}) ELSE NULL END"
+
+
+def code_flag_sql(answers_sql: str, code: str) -> str:
     """1 when the answer text holds the quoted code (``"19"``), else 0; NULL -> 0.
 
     The needle keeps its quotes, so ``"191"`` and an unquoted ``19`` do not match.
     """
-    needle = '"' + code + '"'
-    return F.coalesce(F.when(_col(answers).contains(needle), F.lit(1)).otherwise(F.lit(0)), F.lit(0))
+    needle = sql_str('"' + code + '"')
+    return f"coalesce(CASE WHEN contains({answers_sql}, {needle}) THEN 1 ELSE 0 END, 0)"
 
 
-def one_hot(category: str | Column, value: str) -> Column:
+def one_hot_sql(category_sql: str, value: str) -> str:
     """1 when the category equals ``value`` exactly (case-sensitive), else 0; NULL -> 0."""
-    return F.when(_col(category) == F.lit(value), 1).otherwise(0)
+    return f"CASE WHEN {category_sql} = {sql_str(value)} THEN 1 ELSE 0 END"
+
+
+def flag_sql(
+    answer_col: str = "contractor_recom_score_answer", outcome_col: str = "outcome"
+) -> dict[str, str]:
+    """SQL text of all six named flags, in a fixed order."""
+    answers = json_answers_sql(answer_col)
+    flags = {name: code_flag_sql(answers, code) for name, code in ANSWER_CODE_FLAGS.items()}
+    flags.update({name: one_hot_sql(sql_ident(outcome_col), v) for name, v in OUTCOME_FLAGS.items()})
+    return flags
+
+
+def json_answers(answer_col: str, path: str = ANSWER_PATH) -> Column:
+    return F.expr(json_answers_sql(answer_col, path))
+
+
+def code_flag(answers: str | Column, code: str) -> Column:
+    """Flag over a column name, or over any string Column (e.g. ``json_answers``)."""
+    if isinstance(answers, str):
+        return F.expr(code_flag_sql(sql_ident(answers), code))
+    hit = answers.contains('"' + code + '"')
+    return F.coalesce(F.when(hit, F.lit(1)).otherwise(F.lit(0)), F.lit(0))
+
+
+def one_hot(category: str | Column, value: str) -> Column:
+    if isinstance(category, str):
+        return F.expr(one_hot_sql(sql_ident(category), value))
+    return F.when(category == F.lit(value), 1).otherwise(0)
 
 
 def flag_columns(
-    answer_json: str | Column = "contractor_recom_score_answer",
-    outcome: str | Column = "outcome",
+    answer_col: str = "contractor_recom_score_answer", outcome_col: str = "outcome"
 ) -> dict[str, Column]:
     """All six named flags as Columns, in a fixed order."""
-    answers = json_answers(answer_json)
-    flags = {name: code_flag(answers, code) for name, code in ANSWER_CODE_FLAGS.items()}
-    flags.update({name: one_hot(outcome, value) for name, value in OUTCOME_FLAGS.items()})
-    return flags
+    return {name: F.expr(sql) for name, sql in flag_sql(answer_col, outcome_col).items()}
 
 
 def with_flags(
@@ -74,8 +107,6 @@ def with_flags(
     keep_answers: bool = True,
 ) -> DataFrame:
     """Append ``contractor_answers`` and the six flags in one projection."""
-    extra = []
-    if keep_answers:
-        extra.append(json_answers(answer_col).alias("contractor_answers"))
-    extra += [c.alias(n) for n, c in flag_columns(answer_col, outcome_col).items()]
-    return history.select("*", *extra)
+    extra = [f"{json_answers_sql(answer_col)} AS contractor_answers"] if keep_answers else []
+    extra += [f"{sql} AS {name}" for name, sql in flag_sql(answer_col, outcome_col).items()]
+    return history.selectExpr("*", *extra)

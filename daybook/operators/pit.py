@@ -15,13 +15,17 @@ Three plan forms give identical results:
     population spans many dates per entity.
 ``direct``
     The published formulation: raw history inner-joined to raw population
-    rows, grouped, then left-joined back. Kept as the brute-force reference
-    for tests; its join output grows with history x dates.
+    rows and grouped. Kept as the brute-force reference for tests; its join
+    output grows with history x dates and a hot entity stays in one task.
 
 Population duplicates follow the published semantics: a (entity, date) row
 present k times is emitted k times and its count/sum features are k times
 larger (averages are unchanged). The pre-aggregated forms count k once per key
-and multiply, then a final left join on (entity, date) restores the k rows.
+and multiply; the final left join on (entity, date) restores the k rows.
+
+Expressions are written as SQL text (``selectExpr`` / ``F.expr``): the plan
+is the same as with Column objects, but the driver builds it with far fewer
+round trips to the JVM.
 """
 
 from __future__ import annotations
@@ -29,12 +33,12 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from daybook.functions.features import FEATURES, Feature, select_features
-from daybook.functions.flags import flag_columns
+from daybook.functions.flags import flag_sql, sql_ident, sql_str
 
 DATE_FORMAT = "%Y-%m-%d"
 METHODS = ("join", "prefix_sum", "direct")
@@ -45,17 +49,23 @@ def parse_day(value: str) -> _dt.date:
     return _dt.datetime.strptime(value, DATE_FORMAT).date()
 
 
+def _range_sql(date_col: str, start: str, end: str) -> str:
+    c = sql_ident(date_col)
+    return f"{c} >= {sql_str(start)} AND {c} < {sql_str(end)}"
+
+
+def _since_sql(start_col: str, since: str) -> str:
+    return f"{sql_ident(start_col)} >= {sql_str(since)}"
+
+
 def restrict_dates(df: DataFrame, start: str, end: str, date_col: str = "date") -> DataFrame:
     """Half-open range ``start <= date < end``; becomes a pushed or partition filter."""
-    c = F.col(date_col)
-    return df.where((c >= F.lit(start)) & (c < F.lit(end)))
+    return df.where(_range_sql(date_col, start, end))
 
 
 def history_since(history: DataFrame, since: str | None, start_col: str = "start_date") -> DataFrame:
     """Keep history rows starting on or after ``since``; NULL starts drop."""
-    if since is None:
-        return history
-    return history.where(F.col(start_col) >= F.lit(since))
+    return history if since is None else history.where(_since_sql(start_col, since))
 
 
 def fill_zero(df: DataFrame) -> DataFrame:
@@ -121,65 +131,53 @@ def daily_history(
     the shuffle. The aggregate runs partial-then-final, so each map task
     ships at most one row per (entity, day) it saw.
     """
-    exprs = flag_columns(answer_col, outcome_col)
+    exprs = flag_sql(answer_col, outcome_col)
+    e, d = sql_ident(history_entity), sql_ident(history_date)
     return (
-        history.where(F.col(history_entity).isNotNull() & F.col(history_date).isNotNull())
-        .select(
-            F.col(history_entity).alias("__e"),
-            F.col(history_date).alias("__d"),
-            *[exprs[f].alias(f) for f in flags],
-        )
+        history.where(f"{e} IS NOT NULL AND {d} IS NOT NULL")
+        .selectExpr(f"{e} AS __e", f"{d} AS __d", *[f"{exprs[f]} AS {f}" for f in flags])
         .groupBy("__e", "__d")
-        .agg(F.count(F.lit(1)).alias("__n"), *[F.sum(f).alias(_sum_name(f)) for f in flags])
+        .agg(F.expr("count(1) AS __n"), *[F.expr(f"sum({f}) AS {_sum_name(f)}") for f in flags])
     )
 
 
 def _per_key_join(keys: DataFrame, daily: DataFrame, flags: Sequence[str], entity: str, date: str) -> DataFrame:
     matched = keys.join(daily, (keys[entity] == daily["__e"]) & (daily["__d"] < keys[date]), "inner")
     return matched.groupBy(entity, date, "__k").agg(
-        F.sum("__n").alias("__n"), *[F.sum(_sum_name(f)).alias(_sum_name(f)) for f in flags]
+        F.expr("sum(__n) AS __n"), *[F.expr(f"sum({_sum_name(f)}) AS {_sum_name(f)}") for f in flags]
     )
 
 
 def _per_key_prefix_sum(keys: DataFrame, daily: DataFrame, flags: Sequence[str], entity: str, date: str) -> DataFrame:
     sums = [_sum_name(f) for f in flags]
-    zero = F.lit(0).cast("long")
-    pop_rows = keys.select(
-        F.col(entity).alias("__e"),
-        F.col(date).alias("__d"),
-        "__k",
-        zero.alias("__n"),
-        *[zero.alias(s) for s in sums],
-        F.lit(1).alias("__pop"),
-    )
-    hist_rows = daily.select(
-        "__e", "__d", F.lit(None).cast("long").alias("__k"), "__n", *sums, F.lit(0).alias("__pop")
+    pop_rows = keys.selectExpr(
+        f"{sql_ident(entity)} AS __e", f"{sql_ident(date)} AS __d", "__k",
+        *[f"CAST(0 AS BIGINT) AS {c}" for c in ["__n", *sums]], "1 AS __pop",
     )
+    hist_rows = daily.selectExpr("__e", "__d", "CAST(NULL AS BIGINT) AS __k", "__n", *sums, "0 AS __pop")
     # Population rows sort before same-day history, so a running sum up to a
     # population row covers exactly the days strictly before its date.
-    w = (
-        Window.partitionBy("__e")
-        .orderBy(F.col("__d").asc_nulls_first(), F.col("__pop").desc())
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    window = (
+        "OVER (PARTITION BY __e ORDER BY __d ASC NULLS FIRST, __pop DESC "
+        "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
     )
-    running = pop_rows.unionByName(hist_rows).select(
-        "__e", "__d", "__k", "__pop", *[F.sum(c).over(w).alias(c) for c in ["__n", *sums]]
+    running = pop_rows.unionByName(hist_rows).selectExpr(
+        "__e", "__d", "__k", "__pop", *[f"sum({c}) {window} AS {c}" for c in ["__n", *sums]]
     )
-    return running.where((F.col("__pop") == 1) & (F.col("__n") > 0)).select(
-        F.col("__e").alias(entity), F.col("__d").alias(date), "__k", "__n", *sums
+    return running.where("__pop = 1 AND __n > 0").selectExpr(
+        f"__e AS {sql_ident(entity)}", f"__d AS {sql_ident(date)}", "__k", "__n", *sums
     )
 
 
-def _feature_column(f: Feature) -> Column:
-    n = F.col("__n")
-    k = F.col("__k")
+def _feature_sql(f: Feature) -> str:
+    name = sql_ident(f.name)
     if f.kind == "count":
-        return (n * k).alias(f.name)
-    s = F.col(_sum_name(f.flag))
+        return f"__n * __k AS {name}"
+    s = _sum_name(f.flag)
     if f.kind == "sum":
-        return (s * k).alias(f.name)
+        return f"{s} * __k AS {name}"
     if f.kind == "avg":
-        return (s / n).cast("double").alias(f.name)
+        return f"CAST({s} / __n AS DOUBLE) AS {name}"
     raise ValueError(f"unknown feature kind {f.kind!r}")
 
 
@@ -207,18 +205,18 @@ def pit_grouped(
         raise ValueError(f"method must be one of {METHODS}")
     flags = _flags_needed(features)
     if method == "direct":
-        exprs = flag_columns(answer_col, outcome_col)
-        flagged = history.select(
-            F.col(history_entity).alias("__e"),
-            F.col(history_date).alias("__d"),
-            *[exprs[f].alias(f) for f in flags],
+        exprs = flag_sql(answer_col, outcome_col)
+        flagged = history.selectExpr(
+            f"{sql_ident(history_entity)} AS __e",
+            f"{sql_ident(history_date)} AS __d",
+            *[f"{exprs[f]} AS {f}" for f in flags],
         )
         rows = pit_join(flagged, population, entity, date, "__e", "__d")
-        return rows.groupBy(entity, date).agg(*[f.column() for f in features])
+        return rows.groupBy(entity, date).agg(*[F.expr(f.sql()) for f in features])
     daily = daily_history(history, flags, history_entity, history_date, answer_col, outcome_col)
-    keys = population.groupBy(entity, date).agg(F.count(F.lit(1)).alias("__k"))
+    keys = population.groupBy(entity, date).agg(F.expr("count(1) AS __k"))
     per_key = (_per_key_join if method == "join" else _per_key_prefix_sum)(keys, daily, flags, entity, date)
-    return per_key.select(entity, date, *[_feature_column(f) for f in features])
+    return per_key.selectExpr(sql_ident(entity), sql_ident(date), *[_feature_sql(f) for f in features])
 
 
 def point_in_time_features(
@@ -251,12 +249,15 @@ def point_in_time_features(
     parse_day(start)
     last_day = parse_day(end) - _dt.timedelta(days=1)
 
-    pop = restrict_dates(population, start, end, date).select(date, entity)
-    hist = history_since(history, since, history_start)
+    pop = population.where(_range_sql(date, start, end)).select(date, entity)
+    conds = []
+    if since is not None:
+        conds.append(_since_sql(history_start, since))
     if _is_date(population, date) and _is_date(history, history_date):
         # date < end and history_date < date imply history_date < end - 1 day;
         # Catalyst does not infer this through inequalities, so state it.
-        hist = hist.where(F.col(history_date) < F.lit(last_day))
+        conds.append(f"{sql_ident(history_date)} < DATE'{last_day.isoformat()}'")
+    hist = history.where(" AND ".join(conds)) if conds else history
 
     grouped = pit_grouped(
         pop, hist, specs, method=method, entity=entity, date=date, history_entity=history_entity,

@@ -16,7 +16,6 @@ derived from ``orders`` with Spark expressions (no data is synthesized):
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 # Window and history cut-off used by every fixture query.
 POPULATION_START = "1998-01-01"
@@ -33,32 +32,33 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def dated_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_table(spark, sf_dir, "orders").withColumn("d", F.col("o_orderdate").cast("date"))
+    return read_table(spark, sf_dir, "orders").selectExpr("*", "CAST(o_orderdate AS DATE) AS d")
+
+
+HISTORY_COLUMNS = (
+    "CAST(o_custkey AS STRING) AS client_uid",
+    "o_custkey AS employer",
+    "CAST(NULL AS STRING) AS client_recom_score_answer",
+    "CASE WHEN o_orderkey % 7 != 0 THEN concat('{\"answer\":[\"', CAST(o_orderkey % 5 + 17 AS STRING), "
+    "'\",\"', CAST(o_custkey % 5 + 17 AS STRING), '\"]}') END AS contractor_recom_score_answer",
+    "CASE WHEN o_orderstatus = 'F' THEN 'good' WHEN o_orderstatus = 'O' THEN 'neutral' ELSE 'bad' END AS outcome",
+    "date_sub(CAST(o_orderdate AS DATE), CAST(o_orderkey % 90 AS INT)) AS start_date",
+    "CAST(o_orderdate AS DATE) AS end_date",
+)
+
+
+def history_from(orders: DataFrame) -> DataFrame:
+    return orders.selectExpr(*HISTORY_COLUMNS)
+
+
+def population_from(orders: DataFrame, distinct: bool = True) -> DataFrame:
+    p = orders.selectExpr("CAST(o_orderdate AS DATE) AS date", "o_custkey AS client_id")
+    return p.distinct() if distinct else p
 
 
 def history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = dated_orders(spark, sf_dir)
-    answer = F.concat(
-        F.lit('{"answer":["'),
-        (F.col("o_orderkey") % 5 + 17).cast("string"),
-        F.lit('","'),
-        (F.col("o_custkey") % 5 + 17).cast("string"),
-        F.lit('"]}'),
-    )
-    return o.select(
-        F.col("o_custkey").cast("string").alias("client_uid"),
-        F.col("o_custkey").alias("employer"),
-        F.lit(None).cast("string").alias("client_recom_score_answer"),
-        F.when(F.col("o_orderkey") % 7 != 0, answer).alias("contractor_recom_score_answer"),
-        F.when(F.col("o_orderstatus") == "F", "good")
-        .when(F.col("o_orderstatus") == "O", "neutral")
-        .otherwise("bad")
-        .alias("outcome"),
-        F.date_sub(F.col("d"), (F.col("o_orderkey") % 90).cast("int")).alias("start_date"),
-        F.col("d").alias("end_date"),
-    )
+    return history_from(read_table(spark, sf_dir, "orders"))
 
 
 def population(spark: SparkSession, sf_dir: str, distinct: bool = True) -> DataFrame:
-    p = dated_orders(spark, sf_dir).select(F.col("d").alias("date"), F.col("o_custkey").alias("client_id"))
-    return p.distinct() if distinct else p
+    return population_from(read_table(spark, sf_dir, "orders"), distinct)

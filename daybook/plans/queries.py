@@ -42,8 +42,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 def _features(spark: SparkSession, sf_dir: str, *, distinct: bool = True, window=None, **kw) -> DataFrame:
     start, end, since = window or (fx.POPULATION_START, fx.POPULATION_END, fx.HISTORY_SINCE)
+    orders = fx.read_table(spark, sf_dir, "orders")
     return point_in_time_features(
-        fx.population(spark, sf_dir, distinct=distinct), fx.history(spark, sf_dir), start, end, since=since, **kw
+        fx.population_from(orders, distinct), fx.history_from(orders), start, end, since=since, **kw
     )
 
 
