@@ -39,8 +39,28 @@ def current_database(spark: SparkSession) -> str:
     return spark.catalog.currentDatabase()
 
 
+def partition_columns(spark: SparkSession, name: str) -> list[str]:
+    """Partition columns of a table, in order, from ``DESCRIBE TABLE``.
+
+    A metadata command answered on the driver; ``catalog.listColumns``
+    would instead run one small job per partition of its result.
+    """
+    rows = spark.sql(f"DESCRIBE TABLE {name}").collect()
+    names = [r[0] for r in rows]
+    if "# Partition Information" not in names:
+        return []
+    out = []
+    for col_name in names[names.index("# Partition Information") + 1:]:
+        if not col_name or col_name.startswith("#"):
+            if out:
+                break
+            continue
+        out.append(col_name)
+    return out
+
+
 def _repair_if_partitioned(spark: SparkSession, name: str) -> None:
-    if any(c.isPartition for c in spark.catalog.listColumns(name)):
+    if partition_columns(spark, name):
         spark.sql(f"MSCK REPAIR TABLE {name}")
 
 

@@ -29,6 +29,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from daybook.functions.flags import sql_ident
+from daybook.operators.catalog import partition_columns
 from daybook.operators.tables import align_to_table, overwrite_partitions
 from daybook.session import shared_dir
 
@@ -85,20 +87,24 @@ def check_cardinality(target: DataFrame, source: DataFrame, keys: Sequence[str])
 def merged_rows(
     target: DataFrame, source: DataFrame, keys: Sequence[str], update_cols: Sequence[str]
 ) -> DataFrame:
-    """The post-merge rows for the given slice of the target (lazy)."""
+    """The post-merge rows for the given slice of the target (lazy).
+
+    Presence markers, not key nullness, tell matched, target-only and
+    source-only rows apart, so NULL keys and NULL values stay correct."""
     cols = target.columns
-    t = target.select(*[F.col(c).alias("__t_" + c) for c in cols], F.lit(True).alias("__t"))
-    s = source.select(*[F.col(c).alias("__s_" + c) for c in cols], F.lit(True).alias("__s"))
+    t = target.selectExpr(*[f"{sql_ident(c)} AS {sql_ident('__t_' + c)}" for c in cols], "true AS __t")
+    s = source.selectExpr(*[f"{sql_ident(c)} AS {sql_ident('__s_' + c)}" for c in cols], "true AS __s")
     joined = t.join(s, _all([t["__t_" + k] == s["__s_" + k] for k in keys]), "full_outer")
-    in_t = F.coalesce(F.col("__t"), F.lit(False))
-    in_s = F.coalesce(F.col("__s"), F.lit(False))
     update = set(update_cols)
     out = []
     for c in cols:
-        tv, sv = F.col("__t_" + c), F.col("__s_" + c)
-        v = F.when(in_t & in_s, sv).when(in_t, tv).otherwise(sv) if c in update else F.when(in_t, tv).otherwise(sv)
-        out.append(v.alias(c))
-    return joined.select(*out)
+        tv, sv = sql_ident("__t_" + c), sql_ident("__s_" + c)
+        if c in update:
+            expr = f"CASE WHEN __t AND __s THEN {sv} WHEN __t THEN {tv} ELSE {sv} END"
+        else:
+            expr = f"CASE WHEN __t THEN {tv} ELSE {sv} END"
+        out.append(f"{expr} AS {sql_ident(c)}")
+    return joined.selectExpr(*out)
 
 
 def merge_into(
@@ -128,7 +134,7 @@ def _merge(spark, source: DataFrame, target: str, keys: Sequence[str], update_co
     if missing:
         raise ValueError(f"columns not in {target}: {missing}")
     src = align_to_table(source.select(*[c for c in source.columns if c in table.columns]), target)
-    part_cols = [c.name for c in spark.catalog.listColumns(target) if c.isPartition]
+    part_cols = partition_columns(spark, target)
     slice_ = _touched(table, src, part_cols) if part_cols else table
 
     check_cardinality(slice_, src, keys)

@@ -14,7 +14,8 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.operators.catalog import ensure_registered
+from daybook.functions.flags import sql_ident
+from daybook.operators.catalog import ensure_registered, partition_columns
 
 OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 
@@ -49,7 +50,7 @@ def clustered_for_write(df: DataFrame, partition_by=None) -> DataFrame:
     single task.
     """
     parts = _parts(partition_by)
-    return df.hint("rebalance", *parts) if parts else df
+    return df.hint("rebalance", *[F.col(p) for p in parts]) if parts else df
 
 
 def align_to_table(df: DataFrame, name: str) -> DataFrame:
@@ -65,7 +66,7 @@ def align_to_table(df: DataFrame, name: str) -> DataFrame:
     extra = [c for c in df.columns if c.lower() not in {t.lower() for t in target}]
     if missing or extra:
         raise ValueError(f"columns do not match table {name}: missing={missing} extra={extra}")
-    return df.select(*[F.col(have[c.lower()]).alias(c) for c in target])
+    return df.selectExpr(*[f"{sql_ident(have[c.lower()])} AS {sql_ident(c)}" for c in target])
 
 
 def create_table(df: DataFrame, name: str, partition_by=None, fmt: str = "parquet") -> None:
@@ -95,8 +96,7 @@ def overwrite_partitions(df: DataFrame, name: str) -> None:
     """Dynamic partition overwrite: partitions present in ``df`` are replaced,
     all others are kept; an empty ``df`` changes nothing. Columns by name."""
     spark = df.sparkSession
-    parts = [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
-    aligned = clustered_for_write(align_to_table(df, name), parts)
+    aligned = clustered_for_write(align_to_table(df, name), partition_columns(spark, name))
     with session_conf(spark, OVERWRITE_MODE, "dynamic"):
         aligned.write.insertInto(name, overwrite=True)
 

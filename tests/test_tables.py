@@ -132,3 +132,13 @@ def test_malformed_date_literal_raises(spark):
     df = spark.createDataFrame([(D(2024, 1, 1),)], "date date")
     with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
         df.where(F.col("date") >= F.lit("2024-13-45")).collect()
+
+
+def test_partition_columns_and_odd_names(spark, db):
+    df = spark.createDataFrame([(1, D(2024, 1, 1), "a b")], "client_id bigint, date date, `odd col` string")
+    tb.create_or_replace(df, f"{db}.p", partition_by=["date", "odd col"])
+    tb.create_or_replace(df, f"{db}.u")
+    assert cat.partition_columns(spark, f"{db}.p") == ["date", "odd col"]
+    assert cat.partition_columns(spark, f"{db}.u") == []
+    tb.overwrite_partitions(df.selectExpr("client_id + 1 AS client_id", "date", "`odd col`"), f"{db}.p")
+    assert [r.client_id for r in spark.table(f"{db}.p").collect()] == [2]
