@@ -12,8 +12,9 @@ SET <update_cols> WHEN NOT MATCHED THEN INSERT *``:
 
 Plan: only the target partitions that the source touches are read (partition
 values compared null-safely, listed on the driver when there are few, else a
-semi-join), full-outer-joined to the source on the keys (one shuffle on the
-keys) and written back with a dynamic partition overwrite. That write goes to
+semi-join), combined with the source by a left join (updates) and an anti
+join (inserts) on the keys, and written back with a dynamic partition
+overwrite. That write goes to
 a job staging folder and swaps partitions in only at job commit, after every
 task has finished reading the old files, so a failed or retried job leaves
 the table as it was. An unpartitioned target cannot be overwritten by a plan
@@ -89,22 +90,35 @@ def merged_rows(
 ) -> DataFrame:
     """The post-merge rows for the given slice of the target (lazy).
 
-    Presence markers, not key nullness, tell matched, target-only and
-    source-only rows apart, so NULL keys and NULL values stay correct."""
+    Built as two streaming joins instead of one full outer join, so that a
+    hot key never has to be held whole in one task and AQE may split skewed
+    partitions on the streamed side of each:
+
+    * target LEFT JOIN (source keys + update columns): every target row once
+      (the cardinality check guarantees at most one match), with the update
+      columns taken from the source when matched;
+    * source LEFT ANTI JOIN distinct target keys: the rows to insert. The
+      distinct collapses a hot target key map side before the shuffle.
+
+    A presence marker, not key nullness, tells a match, so NULL update values
+    are applied as values. NULL keys never match.
+    """
     cols = target.columns
-    t = target.selectExpr(*[f"{sql_ident(c)} AS {sql_ident('__t_' + c)}" for c in cols], "true AS __t")
-    s = source.selectExpr(*[f"{sql_ident(c)} AS {sql_ident('__s_' + c)}" for c in cols], "true AS __s")
-    joined = t.join(s, _all([t["__t_" + k] == s["__s_" + k] for k in keys]), "full_outer")
-    update = set(update_cols)
-    out = []
-    for c in cols:
-        tv, sv = sql_ident("__t_" + c), sql_ident("__s_" + c)
-        if c in update:
-            expr = f"CASE WHEN __t AND __s THEN {sv} WHEN __t THEN {tv} ELSE {sv} END"
-        else:
-            expr = f"CASE WHEN __t THEN {tv} ELSE {sv} END"
-        out.append(f"{expr} AS {sql_ident(c)}")
-    return joined.selectExpr(*out)
+    update = [c for c in cols if c in set(update_cols)]
+    upd = source.selectExpr(
+        *[f"{sql_ident(k)} AS {sql_ident('__s_' + k)}" for k in keys],
+        *[f"{sql_ident(c)} AS {sql_ident('__u_' + c)}" for c in update],
+        "true AS __s",
+    )
+    on = _all([target[k] == upd["__s_" + k] for k in keys])
+    kept = target.join(upd, on, "left").selectExpr(*[
+        f"CASE WHEN __s THEN {sql_ident('__u_' + c)} ELSE {sql_ident(c)} END AS {sql_ident(c)}"
+        if c in update else sql_ident(c)
+        for c in cols
+    ])
+    target_keys = target.selectExpr(*[f"{sql_ident(k)} AS {sql_ident('__t_' + k)}" for k in keys]).distinct()
+    new = source.join(target_keys, _all([source[k] == target_keys["__t_" + k] for k in keys]), "left_anti")
+    return kept.unionByName(new.select(*cols))
 
 
 def merge_into(

@@ -80,3 +80,21 @@ def test_untouched_partitions_are_not_rewritten(spark, db):
     merge_into(spark.createDataFrame([(D2, 2, 21, "c")], SCHEMA), t, update_cols=("n",))
     assert set(spark.table(t).where(f"date = DATE'{D1}'").inputFiles()) == before
     assert _rows(spark.table(t)) == sorted([(D1, 1, 10, "a"), (D2, 2, 21, "b")], key=str)
+
+
+def test_hot_duplicated_target_key_is_updated_row_by_row(spark, db):
+    """Many target rows share (date, 0), as NULL clients do after the zero fill."""
+    from pyspark.sql import functions as F
+
+    t = f"{db}.t"
+    hot = spark.range(6000).select(
+        F.lit(D1).alias("date"), F.lit(0).cast("bigint").alias("client_id"), F.col("id").alias("n"),
+        F.lit("z").alias("z"),
+    )
+    tb.create_or_replace(hot.union(spark.createDataFrame([(D2, 5, 1, "q")], SCHEMA)), t, partition_by="date")
+    src = spark.createDataFrame([(D1, 0, 99, "new"), (D1, 3, 30, "new")], SCHEMA)
+    merge_into(src, t, update_cols=("n",))
+    out = spark.table(t)
+    assert out.where("client_id = 0 AND n = 99 AND z = 'z'").count() == 6000
+    assert out.where("client_id = 3").count() == 1 and out.where("client_id = 5").count() == 1
+    assert out.count() == 6002
