@@ -70,8 +70,9 @@ def _touched(target: DataFrame, source: DataFrame, part_cols: Sequence[str]) ->
 def check_cardinality(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> None:
     """Raise if some target row would match several source rows.
 
-    Source keys are counted with a partial aggregate (a hot key collapses map
-    side); only duplicated keys are then semi-joined to the target.
+    Source keys are counted with a partial aggregate and target keys are
+    deduplicated the same way (a hot key collapses map side on both); only
+    duplicated source keys are then semi-joined to the target keys.
     """
     dup = (
         source.where(_all([F.col(k).isNotNull() for k in keys]))
@@ -80,7 +81,7 @@ def check_cardinality(target: DataFrame, source: DataFrame, keys: Sequence[str])
         .where(F.col("__n") > 1)
         .drop("__n")
     )
-    hit = dup.join(target.select(*keys), list(keys), "left_semi")
+    hit = dup.join(target.select(*keys).distinct(), list(keys), "left_semi")
     if hit.limit(1).count() > 0:
         raise MergeCardinalityError(f"MERGE: a target row matched more than one source row on {list(keys)}")
 
