@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from daybook.functions.flags import sql_ident
 from daybook.operators.catalog import ensure_registered, partition_columns
+from daybook.session import shared_dir
 
 OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 
@@ -83,8 +84,23 @@ def append_by_name(df: DataFrame, name: str) -> None:
     align_to_table(df, name).write.insertInto(name, overwrite=False)
 
 
-def create_or_replace(df: DataFrame, name: str, partition_by=None, fmt: str = "parquet") -> None:
-    """Create, or replace schema and all rows (every partition) of ``name``."""
+def create_or_replace(
+    df: DataFrame, name: str, partition_by=None, fmt: str = "parquet", stage: bool | None = None
+) -> None:
+    """Create, or replace schema and all rows (every partition) of ``name``.
+
+    Replacing a Parquet table drops it before the write job runs, so when
+    ``name`` exists the new rows are first written to the shared checkpoint
+    folder (``stage`` defaults to that): a failing computation then leaves
+    the old table in place, and ``df`` may even read the table it replaces.
+    """
+    spark = df.sparkSession
+    if stage is None:
+        stage = spark.catalog.tableExists(name)
+    if stage:
+        path = shared_dir(spark, "replace-stage")
+        df.write.mode("overwrite").parquet(path)
+        df = spark.read.parquet(path)
     parts = _parts(partition_by)
     writer = clustered_for_write(df, parts).write.mode("overwrite").format(fmt)
     if parts:

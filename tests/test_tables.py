@@ -142,3 +142,20 @@ def test_partition_columns_and_odd_names(spark, db):
     assert cat.partition_columns(spark, f"{db}.u") == []
     tb.overwrite_partitions(df.selectExpr("client_id + 1 AS client_id", "date", "`odd col`"), f"{db}.p")
     assert [r.client_id for r in spark.table(f"{db}.p").collect()] == [2]
+
+
+def test_failed_replace_keeps_old_table(spark, db):
+    t = f"{db}.t"
+    tb.create_or_replace(_frame(spark, [(1, 1, D(2024, 1, 1))]), t)
+    boom = _frame(spark, [(2, 2, D(2024, 1, 2))]).selectExpr(
+        "client_id", "CAST(raise_error('boom') AS BIGINT) AS n", "date")
+    with pytest.raises(Exception, match="boom"):
+        tb.create_or_replace(boom, t)
+    assert _rows(spark.table(t)) == [(D(2024, 1, 1), 1, 1)]
+
+
+def test_replace_from_itself(spark, db):
+    t = f"{db}.t"
+    tb.create_or_replace(_frame(spark, [(1, 1, D(2024, 1, 1))]), t, partition_by="date")
+    tb.create_or_replace(spark.table(t).selectExpr("client_id", "n + 1 AS n", "date"), t, partition_by="date")
+    assert _rows(spark.table(t)) == [(D(2024, 1, 1), 1, 2)]
