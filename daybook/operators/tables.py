@@ -84,6 +84,19 @@ def append_by_name(df: DataFrame, name: str) -> None:
     align_to_table(df, name).write.insertInto(name, overwrite=False)
 
 
+def _staged_if_replacing(df: DataFrame, name: str, stage: bool | None) -> DataFrame:
+    """Materialize ``df`` in the shared checkpoint folder before a write that
+    drops ``name`` first (default: only when ``name`` exists)."""
+    spark = df.sparkSession
+    if stage is None:
+        stage = spark.catalog.tableExists(name)
+    if not stage:
+        return df
+    path = shared_dir(spark, "replace-stage")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 def create_or_replace(
     df: DataFrame, name: str, partition_by=None, fmt: str = "parquet", stage: bool | None = None
 ) -> None:
@@ -94,13 +107,7 @@ def create_or_replace(
     folder (``stage`` defaults to that): a failing computation then leaves
     the old table in place, and ``df`` may even read the table it replaces.
     """
-    spark = df.sparkSession
-    if stage is None:
-        stage = spark.catalog.tableExists(name)
-    if stage:
-        path = shared_dir(spark, "replace-stage")
-        df.write.mode("overwrite").parquet(path)
-        df = spark.read.parquet(path)
+    df = _staged_if_replacing(df, name, stage)
     parts = _parts(partition_by)
     writer = clustered_for_write(df, parts).write.mode("overwrite").format(fmt)
     if parts:
@@ -155,9 +162,13 @@ def append_path(df: DataFrame, path: str, name: str | None = None, fmt: str = "p
         ensure_registered(df.sparkSession, name, path, fmt)
 
 
-def save_external(df: DataFrame, name: str, path: str, fmt: str = "parquet", partition_by=None) -> None:
+def save_external(
+    df: DataFrame, name: str, path: str, fmt: str = "parquet", partition_by=None, stage: bool | None = None
+) -> None:
     """Overwrite the files at ``path`` and (re)register them as table ``name``;
-    readable by path and by name."""
+    readable by path and by name. Staged first when ``name`` exists, as in
+    ``create_or_replace``."""
+    df = _staged_if_replacing(df, name, stage)
     parts = _parts(partition_by)
     writer = clustered_for_write(df, parts).write.format(fmt).mode("overwrite").option("path", path)
     if parts:
