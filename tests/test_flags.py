@@ -1,7 +1,6 @@
 """JSON answer extraction, code flags and one-hot flags (edge goldens)."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from daybook.functions.flags import code_flag, json_answers, one_hot
 
