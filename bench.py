@@ -24,7 +24,7 @@ from daybook.session import build_session  # noqa: E402
 
 HEADLINE = [
     "pit_features",
-    "pit_features_prefix_sum",
+    "pit_features_range_join",
     "pit_features_direct",
     "pit_features_dup_population",
     "pit_features_selected",

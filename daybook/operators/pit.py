@@ -3,16 +3,18 @@ the entity's history dated strictly before that date.
 
 Three plan forms give identical results:
 
-``join`` (default)
+``prefix_sum`` (default)
     History is first reduced to one row per (entity, day) with a partial +
     final hash aggregate, so the map side combines before anything is
-    shuffled and a hot entity shrinks to at most one row per day. The
-    distinct population keys are then range-joined to those daily rows on
-    the entity (sort-merge, ``day < date`` as residual) and summed.
-``prefix_sum``
-    Same daily rows, unioned with the population keys and summed with a
-    running window per entity. Linear in (days + dates); preferable when the
-    population spans many dates per entity.
+    shuffled and a hot entity shrinks to at most one row per day. Those
+    daily rows are unioned with the distinct population keys and summed with
+    a running window per entity, population rows sorting before same-day
+    history. No pairs are formed: the work is linear in (days + dates) and
+    each window partition holds at most one row per day per entity.
+``join``
+    Same daily rows, range-joined to the population keys on the entity
+    (sort-merge, ``day < date`` as residual) and summed. Its join output is
+    (dates x days) per entity; competitive for one-day windows.
 ``direct``
     The published formulation: raw history inner-joined to raw population
     rows and grouped. Kept as the brute-force reference for tests; its join
@@ -186,7 +188,7 @@ def pit_grouped(
     history: DataFrame,
     features: Sequence[Feature],
     *,
-    method: str = "join",
+    method: str = "prefix_sum",
     entity: str = "client_id",
     date: str = "date",
     history_entity: str = "employer",
@@ -198,7 +200,7 @@ def pit_grouped(
     ``history`` to ``population``: one row per distinct (entity, date) that
     has earlier history, population duplicates counted as the join would.
 
-    The ``join`` and ``prefix_sum`` forms never group raw history by entity,
+    The ``prefix_sum`` and ``join`` forms never group raw history by entity,
     so a hot entity costs at most one row per day after the map-side combine.
     """
     if method not in METHODS:
@@ -228,7 +230,7 @@ def point_in_time_features(
     *,
     registry: Sequence[Feature] = FEATURES,
     since: str | None = "2014-01-01",
-    method: str = "join",
+    method: str = "prefix_sum",
     entity: str = "client_id",
     date: str = "date",
     history_entity: str = "employer",

@@ -157,6 +157,7 @@ def oracle_queries() -> dict[str, str]:
         "pit_features": full,
         "pit_features_dup_population": pit_sql(distinct=False),
         "pit_features_prefix_sum": full,
+        "pit_features_range_join": full,
         "pit_features_direct": full,
         "pit_features_selected": pit_sql(select_features(SELECTED_FEATURE_NAMES)),
         "pit_features_corrected": pit_sql(CORRECTED_FEATURES),

@@ -60,6 +60,10 @@ def pit_features_prefix_sum(spark, sf_dir):
     return _features(spark, sf_dir, method="prefix_sum")
 
 
+def pit_features_range_join(spark, sf_dir):
+    return _features(spark, sf_dir, method="join")
+
+
 def pit_features_direct(spark, sf_dir):
     return _features(spark, sf_dir, method="direct")
 
@@ -382,6 +386,7 @@ QUERIES: dict[str, Query] = {
     "pit_features": pit_features,
     "pit_features_dup_population": pit_features_dup_population,
     "pit_features_prefix_sum": pit_features_prefix_sum,
+    "pit_features_range_join": pit_features_range_join,
     "pit_features_direct": pit_features_direct,
     "pit_features_selected": pit_features_selected,
     "pit_features_corrected": pit_features_corrected,
