@@ -49,24 +49,29 @@ def main() -> None:
     names = sys.argv[1:] or HEADLINE
     spark = build_session(f"local[{cpus}]", app="daybook-bench", shuffle_partitions=cpus * 2)
     consume(QUERIES["pit_features"](spark, sf_dir))  # warm-up
-    times = {}
+    times, errors = {}, {}
     for name in names:
         best = None
-        for _ in range(repeat):
-            t0 = time.perf_counter()
-            consume(QUERIES[name](spark, sf_dir))
-            dt = time.perf_counter() - t0
-            best = dt if best is None else min(best, dt)
-        times[name] = round(best, 3)
+        try:
+            for _ in range(repeat):
+                t0 = time.perf_counter()
+                consume(QUERIES[name](spark, sf_dir))
+                dt = time.perf_counter() - t0
+                best = dt if best is None else min(best, dt)
+        except Exception as e:  # keep timing the rest; report the failure
+            errors[name] = f"{type(e).__name__}: {str(e)[:200]}"
+        times[name] = None if best is None else round(best, 3)
     m = re.search(r"sf([0-9.]+)", sf_dir)
+    done = [t for t in times.values() if t is not None]
     print(json.dumps({
         "metric": "pit_features_best_sec",
-        "value": times.get("pit_features", round(sum(times.values()), 3)),
-        "total_sec": round(sum(times.values()), 3),
+        "value": times.get("pit_features"),
+        "total_sec": round(sum(done), 3),
         "unit": "sec",
         "queries": times,
         "sf": float(m.group(1)) if m else sf_dir,
         "cpus": cpus,
+        **({"errors": errors} if errors else {}),
     }))
     spark.stop()
 
