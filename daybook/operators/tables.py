@@ -117,7 +117,11 @@ def create_or_replace(
 
 def overwrite_partitions(df: DataFrame, name: str) -> None:
     """Dynamic partition overwrite: partitions present in ``df`` are replaced,
-    all others are kept; an empty ``df`` changes nothing. Columns by name."""
+    all others are kept; an empty ``df`` changes nothing. Columns by name.
+
+    ``insertInto`` ignores a per-write overwrite-mode option, so the session
+    conf is switched for this one statement; other threads sharing the
+    session should not run table overwrites at the same moment."""
     spark = df.sparkSession
     aligned = clustered_for_write(align_to_table(df, name), partition_columns(spark, name))
     with session_conf(spark, OVERWRITE_MODE, "dynamic"):
@@ -145,9 +149,13 @@ def create_table_as_select_if_absent(
 
 
 def overwrite_path(df: DataFrame, path: str, fmt: str = "parquet", partition_by=None) -> None:
-    """Replace everything at ``path``."""
+    """Replace everything at ``path`` (static overwrite, pinned as a writer
+    option so a session-wide dynamic mode cannot turn it into a partial one)."""
     parts = _parts(partition_by)
-    writer = clustered_for_write(df, parts).write.mode("overwrite").format(fmt)
+    writer = (
+        clustered_for_write(df, parts).write.mode("overwrite").format(fmt)
+        .option("partitionOverwriteMode", "static")
+    )
     if parts:
         writer = writer.partitionBy(*parts)
     writer.save(path)

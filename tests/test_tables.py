@@ -159,3 +159,11 @@ def test_replace_from_itself(spark, db):
     tb.create_or_replace(_frame(spark, [(1, 1, D(2024, 1, 1))]), t, partition_by="date")
     tb.create_or_replace(spark.table(t).selectExpr("client_id", "n + 1 AS n", "date"), t, partition_by="date")
     assert _rows(spark.table(t)) == [(D(2024, 1, 1), 1, 2)]
+
+
+def test_path_overwrite_stays_static_under_dynamic_session_mode(spark, scratch):
+    path = scratch("static")
+    tb.overwrite_path(_frame(spark, [(1, 1, D(2024, 1, 1)), (2, 2, D(2024, 1, 2))]), path, partition_by="date")
+    with tb.session_conf(spark, tb.OVERWRITE_MODE, "dynamic"):
+        tb.overwrite_path(_frame(spark, [(3, 3, D(2024, 1, 2))]), path, partition_by="date")
+    assert _rows(read_path(spark, path)) == [(D(2024, 1, 2), 3, 3)]
