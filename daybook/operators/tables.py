@@ -144,8 +144,10 @@ def create_table_as_select_if_absent(
     """``CREATE TABLE IF NOT EXISTS name ... AS SELECT * FROM from_table``;
     an existing table is left untouched."""
     parts = _parts(partition_by)
-    clause = f" PARTITIONED BY ({', '.join(parts)})" if parts else ""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING {fmt}{clause} AS SELECT * FROM {from_table}")
+    cols = ", ".join(sql_ident(p) for p in parts)
+    clause = f" PARTITIONED BY ({cols})" if parts else ""
+    hint = f"/*+ REBALANCE({cols}) */ " if parts else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING {fmt}{clause} AS SELECT {hint}* FROM {from_table}")
 
 
 def overwrite_path(df: DataFrame, path: str, fmt: str = "parquet", partition_by=None) -> None:
