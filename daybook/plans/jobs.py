@@ -58,11 +58,18 @@ def daily_publish_merge(
     table if absent, then merge the published table into it (hire count
     updated on match, new rows inserted). ``merge_scope="window"`` merges
     only the partitions just published, which equals the full merge when
-    earlier days were merged. Returns the preview frame."""
+    earlier days were merged. With ``persist`` the features are computed
+    once: the preview is evaluated (and its few rows kept cached) while they
+    are cached, then the same cache feeds the publish. Returns the preview."""
+    if merge_scope not in ("table", "window"):
+        raise ValueError('merge_scope must be "table" or "window"')
     df = compute_features(spark, start, end, population, history, **options)
     if persist:
         df = df.persist()
     shown = positive_preview(df)
+    if persist:
+        shown = shown.cache()
+        shown.count()
     tb.publish(df, table, partition_by="date")
     tb.create_table_as_select_if_absent(spark, merge_table, table, partition_by="date")
     source = spark.table(table)
