@@ -24,13 +24,14 @@ checkpoint folder, which also cuts the lineage.
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daybook.functions.flags import sql_ident
+from daybook.functions.flags import sql_ident, sql_str
 from daybook.operators.catalog import partition_columns
 from daybook.operators.tables import align_to_table, overwrite_partitions
 from daybook.session import shared_dir
@@ -48,17 +49,51 @@ def _all(cols: Sequence[Column]) -> Column:
     return reduce(lambda a, b: a & b, cols)
 
 
+def _sql_literal(v) -> str | None:
+    """SQL text for a partition value, or None for a type not rendered here."""
+    if v is None:
+        return "NULL"
+    if isinstance(v, bool):
+        return "TRUE" if v else "FALSE"
+    if isinstance(v, _dt.datetime):
+        return f"TIMESTAMP'{v.isoformat(sep=' ')}'"
+    if isinstance(v, _dt.date):
+        return f"DATE'{v.isoformat()}'"
+    if isinstance(v, int):
+        return str(v)
+    if isinstance(v, str):
+        return sql_str(v)
+    return None
+
+
+def _touched_sql(rows, part_cols: Sequence[str]) -> str | None:
+    """One SQL predicate selecting the listed partitions (NULL-safe), built as
+    text so thousands of values cost one expression, not one call each."""
+    if len(part_cols) == 1:
+        c = sql_ident(part_cols[0])
+        present = [_sql_literal(r[0]) for r in rows if r[0] is not None]
+        if None in present:
+            return None
+        terms = [f"{c} IN ({', '.join(present)})"] if present else []
+        if len(present) < len(rows):
+            terms.append(f"{c} IS NULL")
+        return " OR ".join(terms)
+    conds = []
+    for r in rows:
+        lits = [_sql_literal(r[p]) for p in part_cols]
+        if None in lits:
+            return None
+        conds.append("(" + " AND ".join(f"{sql_ident(p)} <=> {v}" for p, v in zip(part_cols, lits)) + ")")
+    return " OR ".join(conds)
+
+
 def _touched(target: DataFrame, source: DataFrame, part_cols: Sequence[str]) -> DataFrame:
     values = source.select(*part_cols).distinct().limit(MAX_LISTED_PARTITIONS + 1).collect()
     if len(values) <= MAX_LISTED_PARTITIONS:
         if not values:
             return target.where(F.lit(False))
-        if len(part_cols) == 1:
-            c = F.col(part_cols[0])
-            present = [r[0] for r in values if r[0] is not None]
-            cond = c.isin(present) if present else F.lit(False)
-            if len(present) < len(values):
-                cond = cond | c.isNull()
+        cond = _touched_sql(values, part_cols)
+        if cond is not None:
             return target.where(cond)
         conds = [_all([F.col(p).eqNullSafe(F.lit(r[p])) for p in part_cols]) for r in values]
         return target.where(reduce(lambda a, b: a | b, conds))
