@@ -15,8 +15,8 @@ when ``100 * |A & B| >= percent * |A | B|``.
 4. First round: groups next to each other in a shingle's size-ordered list,
    groups with the best connected group of a shingle, and members with their
    group's leader are verified and linked. This only settles easy links cheaply.
-5. Second round: every pair of groups that shares a prefix shingle, passes the
-   size and position bounds and isn't already inside one component is expanded
+5. Second round: every pair of groups that shares a prefix shingle within
+   the size and position bounds and isn't already inside one component is expanded
    to members of different components and verified. No candidate is capped.
 
 Sets are compared by 64-bit hashes of their shingles. ``doc_id`` may be null or
@@ -196,8 +196,10 @@ def jaccard_links(docs: DataFrame, width: int = 4, percent: int = 85) -> tuple[D
     )
     tokens = written(tokens, "shared")  # only shingles that two groups share
 
-    def placed(n0, i0, n1, i1):  # shared shingles before both places, here, and after them reach the overlap
-        return f"({100 + percent}) * (least({i0}, {i1}) + least({n0} - {i0}, {n1} - {i1})) >= {percent} * ({n0} + {n1})"
+    def placed(n0, i0, n1, i1):
+        # for sets of these sizes a link needs an overlap of percent / (100 + percent) of both together, so that
+        # the prefixes that leave one less must share a shingle: this one has to lie within both
+        return f"{100 + percent} * least({n0} - {i0}, {n1} - {i1}) >= {percent} * ({n0} + {n1})"
 
     bits = sets.select("uid", "n", "bits")
     texts = docs.select("uid", "text").where("text is not null")
