@@ -5,7 +5,7 @@ words ``[^\\x20\\x09-\\x0D]+``; with fewer words the whole sequence is the one
 shingle; without words the set is empty and joins nothing). Two documents link
 when ``100 * |A & B| >= percent * |A | B|``.
 
-1. One pass finds shingles that are frequent within a block. They come last in
+1. One pass finds shingles that are frequent within some run of text. They come last in
    the global order (frequency class, hash); any fixed order gives the same
    result, this one keeps common passages out of the prefixes.
 2. One pass computes every set, its prefix (enough first shingles that linked
@@ -39,8 +39,8 @@ from daybook.llm.common import LOWER, Rolling, blocks, components, flat, mix, wo
 
 #: At most so many frequent shingles are put last; only the order depends on it.
 FREQUENT = 100_000
-#: A shingle seen this often within one block of text is a frequent one.
-IN_BLOCK = 3
+#: A shingle that so many documents hold, among every RUN shingles that a task reads, is a frequent one.
+IN_RUN, RUN = 3, 6_000_000
 
 _ROWS = T.StructType([
     T.StructField("uid", T.LongType()), T.StructField("doc_id", T.LongType()), T.StructField("n", T.LongType()),
@@ -77,14 +77,23 @@ def distinct(h: np.ndarray, row: np.ndarray, order: np.ndarray | None = None):
 
 
 def _frequent(width: int):
+    def counted(parts: list[np.ndarray]) -> pa.RecordBatch:
+        h = np.sort(np.concatenate(parts))
+        edge = np.flatnonzero(np.r_[True, h[1:] != h[:-1]]) if len(h) else np.zeros(0, np.int64)
+        count = np.diff(np.r_[edge, len(h)])
+        often = count >= IN_RUN
+        return pa.record_batch([pa.array(h[edge[often]].astype(np.int64)), pa.array(count[often])], ["h", "n"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts, size = [], 0
         for batch in blocks(batches):
-            h, _ = distinct(*shingles(*flat(batch.column("text")), width))
-            h = np.sort(h)
-            edge = np.flatnonzero(np.r_[True, h[1:] != h[:-1]]) if len(h) else np.zeros(0, np.int64)
-            count = np.diff(np.r_[edge, len(h)])
-            often = count >= IN_BLOCK
-            yield pa.record_batch([pa.array(h[edge[often]].astype(np.int64)), pa.array(count[often])], ["h", "n"])
+            parts.append(distinct(*shingles(*flat(batch.column("text")), width))[0])
+            size += len(parts[-1])
+            if size >= RUN:
+                yield counted(parts)
+                parts, size = [], 0
+        if parts:
+            yield counted(parts)
 
     return run
 
