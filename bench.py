@@ -24,8 +24,7 @@ from daybook.session import build_session  # noqa: E402
 
 HEADLINE = [
     "pit_features",
-    "pit_features_range_join",
-    "pit_features_direct",
+    "pit_features_one_day",
     "pit_features_dup_population",
     "pit_features_selected",
     "features_positive_only",
@@ -35,6 +34,9 @@ HEADLINE = [
     "merge_update_insert",
     "daily_publish_merge",
     "compute_replace",
+    # checks of the flagship in other plan forms, not recommended ones
+    "pit_features_range_join",
+    "pit_features_direct",
 ]
 
 

@@ -4,7 +4,6 @@ from daybook.functions.features import (
     CORRECTED_FEATURES,
     FEATURES,
     Feature,
-    aggregate_columns,
     select_features,
 )
 from daybook.functions.flags import (
@@ -14,7 +13,6 @@ from daybook.functions.flags import (
     flag_sql,
     json_answers,
     one_hot,
-    with_flags,
 )
 
 __all__ = [
@@ -22,12 +20,10 @@ __all__ = [
     "FEATURES",
     "FLAG_COLUMNS",
     "Feature",
-    "aggregate_columns",
     "code_flag",
     "flag_columns",
     "flag_sql",
     "json_answers",
     "one_hot",
     "select_features",
-    "with_flags",
 ]

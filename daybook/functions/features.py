@@ -73,7 +73,3 @@ def select_features(
     if not chosen:
         raise ValueError("no known feature selected; known: " + ", ".join(by_name))
     return chosen
-
-
-def aggregate_columns(features: Sequence[Feature]) -> list[Column]:
-    return [f.column() for f in features]

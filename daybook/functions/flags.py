@@ -98,15 +98,3 @@ def flag_columns(
 ) -> dict[str, Column]:
     """All six named flags as Columns, in a fixed order."""
     return {name: F.expr(sql) for name, sql in flag_sql(answer_col, outcome_col).items()}
-
-
-def with_flags(
-    history: DataFrame,
-    answer_col: str = "contractor_recom_score_answer",
-    outcome_col: str = "outcome",
-    keep_answers: bool = True,
-) -> DataFrame:
-    """Append ``contractor_answers`` and the six flags in one projection."""
-    extra = [f"{json_answers_sql(answer_col)} AS contractor_answers"] if keep_answers else []
-    extra += [f"{sql} AS {name}" for name, sql in flag_sql(answer_col, outcome_col).items()]
-    return history.selectExpr("*", *extra)

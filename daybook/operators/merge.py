@@ -10,35 +10,37 @@ SET <update_cols> WHEN NOT MATCHED THEN INSERT *``:
 * matched rows take ``update_cols`` from the source and keep every other
   column; unmatched target rows are kept as they are.
 
-Plan: only the target partitions that the source touches are read (partition
-values compared null-safely, listed on the driver when there are few, else a
-semi-join), combined with the source by a left join (updates) and an anti
-join (inserts) on the keys, and written back with a dynamic partition
-overwrite. That write goes to
-a job staging folder and swaps partitions in only at job commit, after every
-task has finished reading the old files, so a failed or retried job leaves
-the table as it was. An unpartitioned target cannot be overwritten by a plan
-that reads it; there the merged rows are first written to the shared
-checkpoint folder, which also cuts the lineage.
+Plan:
+
+1. Source keys are collapsed to one row per key with its update values and its
+   number of source rows (partial aggregate: a hot key collapses map side).
+2. One join of the target's keys, partition and update columns with them tells,
+   per partition, whether a value would change and whether a target row has
+   several matches; source rows without a match tell where rows are inserted.
+   The touched partitions, a few values each, are kept in a staging table.
+3. Only touched partitions are read whole, merged and written back with a dynamic
+   partition overwrite: a merge that changes nothing writes nothing.
+
+Partition values never pass through Python. The target scan is pruned by the
+least and greatest touched value of each partition column, rendered and parsed
+by Spark, and made exact by a null-safe semi-join. When the keys don't include
+every partition column, matches may lie in any partition and step 2 reads the
+target's keys in full. ``''`` in a string partition column is NULL there, as
+in Spark's own writes. An unpartitioned target is written anew and swapped in.
 """
 
 from __future__ import annotations
 
-import datetime as _dt
 from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from daybook.functions.flags import sql_ident, sql_str
+from daybook.functions.flags import sql_ident
 from daybook.operators.catalog import partition_columns
-from daybook.operators.tables import align_to_table, overwrite_partitions
-from daybook.session import shared_dir
-
-# Above this many distinct partition values, touched partitions are selected
-# with a semi-join instead of a literal filter built on the driver.
-MAX_LISTED_PARTITIONS = 10_000
+from daybook.operators.tables import align_to_table, overwrite_partitions, replace_rows, staged
 
 
 class MergeCardinalityError(ValueError):
@@ -49,111 +51,68 @@ def _all(cols: Sequence[Column]) -> Column:
     return reduce(lambda a, b: a & b, cols)
 
 
-def _sql_literal(v) -> str | None:
-    """SQL text for a partition value, or None for a type not rendered here."""
-    if v is None:
-        return "NULL"
-    if isinstance(v, bool):
-        return "TRUE" if v else "FALSE"
-    if isinstance(v, _dt.datetime):
-        return f"TIMESTAMP'{v.isoformat(sep=' ')}'"
-    if isinstance(v, _dt.date):
-        return f"DATE'{v.isoformat()}'"
-    if isinstance(v, int):
-        return str(v)
-    if isinstance(v, str):
-        return sql_str(v)
-    return None
-
-
-def _touched_sql(rows, part_cols: Sequence[str]) -> str | None:
-    """One SQL predicate selecting the listed partitions (NULL-safe), built as
-    text so thousands of values cost one expression, not one call each."""
-    if len(part_cols) == 1:
-        c = sql_ident(part_cols[0])
-        present = [_sql_literal(r[0]) for r in rows if r[0] is not None]
-        if None in present:
-            return None
-        terms = [f"{c} IN ({', '.join(present)})"] if present else []
-        if len(present) < len(rows):
-            terms.append(f"{c} IS NULL")
-        return " OR ".join(terms)
-    conds = []
-    for r in rows:
-        lits = [_sql_literal(r[p]) for p in part_cols]
-        if None in lits:
-            return None
-        conds.append("(" + " AND ".join(f"{sql_ident(p)} <=> {v}" for p, v in zip(part_cols, lits)) + ")")
-    return " OR ".join(conds)
-
-
-def _touched(target: DataFrame, source: DataFrame, part_cols: Sequence[str]) -> DataFrame:
-    values = source.select(*part_cols).distinct().limit(MAX_LISTED_PARTITIONS + 1).collect()
-    if len(values) <= MAX_LISTED_PARTITIONS:
-        if not values:
-            return target.where(F.lit(False))
-        cond = _touched_sql(values, part_cols)
-        if cond is not None:
-            return target.where(cond)
-        conds = [_all([F.col(p).eqNullSafe(F.lit(r[p])) for p in part_cols]) for r in values]
-        return target.where(reduce(lambda a, b: a | b, conds))
-    parts = source.select(*[F.col(p).alias("__p_" + p) for p in part_cols]).distinct()
-    cond = _all([target[p].eqNullSafe(parts["__p_" + p]) for p in part_cols])
-    return target.join(parts, cond, "left_semi")
-
-
-def check_cardinality(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> None:
-    """Raise if some target row would match several source rows.
-
-    Source keys are counted with a partial aggregate and target keys are
-    deduplicated the same way (a hot key collapses map side on both); only
-    duplicated source keys are then semi-joined to the target keys.
+def _nullable_parts(df: DataFrame, part_cols: Sequence[str]) -> DataFrame:
+    """'' in a string partition column becomes NULL, which is how it is stored."""
+    strings = [p for p in part_cols if isinstance(df.schema[p].dataType, T.StringType)]
+    return df.withColumns({p: F.expr(f"nullif({sql_ident(p)}, '')") for p in strings}) if strings else df
+
+
+def _within(target: DataFrame, parts: DataFrame, part_cols: Sequence[str], nulls: bool = True) -> DataFrame:
+    """Rows of ``target`` whose partition is among the rows of ``parts``.
+
+    The range of each column prunes partitions statically; the semi-join is
+    exact. Bounds travel as text (timestamps as microseconds since the epoch),
+    made and read by Spark, so neither time zones nor types change them.
     """
-    dup = (
+    conds, wanted = [], []
+    for p in part_cols:
+        kind, c = target.schema[p].dataType, sql_ident(p)
+        if isinstance(kind, T.TimestampType):
+            make, parse = "unix_micros({})", "timestamp_micros({})"
+        elif isinstance(kind, (T.DateType, T.TimestampNTZType, T.IntegralType, T.DecimalType, T.StringType)):
+            make, parse = "{}", f"CAST('{{}}' AS {kind.simpleString()})"
+        else:
+            continue
+        wanted += [f"CAST({make.format(f'{f}({c})')} AS STRING)" for f in ("min", "max")]
+        conds.append((c, parse))
+    bounds = parts.selectExpr(*[f"{e} AS b{i}" for i, e in enumerate(wanted)]).first() if wanted else ()
+    for k, (c, parse) in enumerate(conds):
+        low, high = bounds[2 * k], bounds[2 * k + 1]
+        empty = f"{c} IS NULL" if nulls else "FALSE"
+        if low is None:
+            target = target.where(empty)
+        else:
+            low, high = (parse.format(v.replace("\\", "\\\\").replace("'", "\\'")) for v in (low, high))
+            target = target.where(f"{empty} OR {c} BETWEEN {low} AND {high}")
+    keys = parts.select(*[F.col(p).alias("__p_" + p) for p in part_cols]).distinct()
+    on = [target[p].eqNullSafe(keys["__p_" + p]) if nulls else target[p] == keys["__p_" + p] for p in part_cols]
+    return target.join(keys, _all(on), "left_semi")
+
+
+def source_by_key(source: DataFrame, keys: Sequence[str], update_cols: Sequence[str]) -> DataFrame:
+    """One row for each key without NULLs: update values and ``__c``, its number of source rows."""
+    return (
         source.where(_all([F.col(k).isNotNull() for k in keys]))
-        .groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("__n"))
-        .where(F.col("__n") > 1)
-        .drop("__n")
+        .groupBy(*[F.col(k).alias("__s_" + k) for k in keys])
+        .agg(F.count(F.lit(1)).alias("__c"), *[F.first(c).alias("__u_" + c) for c in update_cols])
     )
-    hit = dup.join(target.select(*keys).distinct(), list(keys), "left_semi")
-    if hit.limit(1).count() > 0:
-        raise MergeCardinalityError(f"MERGE: a target row matched more than one source row on {list(keys)}")
 
 
-def merged_rows(
-    target: DataFrame, source: DataFrame, keys: Sequence[str], update_cols: Sequence[str]
-) -> DataFrame:
-    """The post-merge rows for the given slice of the target (lazy).
+def merged_rows(target: DataFrame, by_key: DataFrame, new: DataFrame, keys: Sequence[str], update_cols: Sequence[str]) -> DataFrame:
+    """The rows of ``target`` after the merge, and the rows to insert (lazy).
 
-    Built as two streaming joins instead of one full outer join, so that a
-    hot key never has to be held whole in one task and AQE may split skewed
-    partitions on the streamed side of each:
-
-    * target LEFT JOIN (source keys + update columns): every target row once
-      (the cardinality check guarantees at most one match), with the update
-      columns taken from the source when matched;
-    * source LEFT ANTI JOIN distinct target keys: the rows to insert. The
-      distinct collapses a hot target key map side before the shuffle.
-
-    A presence marker, not key nullness, tells a match, so NULL update values
-    are applied as values. NULL keys never match.
+    Every target row is streamed once against the collapsed source, so a hot key
+    is never held whole in one task and AQE may split skewed partitions. The
+    presence of ``__c``, not a value, tells a match: NULL update values are
+    applied as values. NULL keys never match.
     """
     cols = target.columns
-    update = [c for c in cols if c in set(update_cols)]
-    upd = source.selectExpr(
-        *[f"{sql_ident(k)} AS {sql_ident('__s_' + k)}" for k in keys],
-        *[f"{sql_ident(c)} AS {sql_ident('__u_' + c)}" for c in update],
-        "true AS __s",
-    )
-    on = _all([target[k] == upd["__s_" + k] for k in keys])
-    kept = target.join(upd, on, "left").selectExpr(*[
-        f"CASE WHEN __s THEN {sql_ident('__u_' + c)} ELSE {sql_ident(c)} END AS {sql_ident(c)}"
-        if c in update else sql_ident(c)
+    on = _all([target[k] == by_key["__s_" + k] for k in keys])
+    kept = target.join(by_key, on, "left").selectExpr(*[
+        f"CASE WHEN __c IS NOT NULL THEN {sql_ident('__u_' + c)} ELSE {sql_ident(c)} END AS {sql_ident(c)}"
+        if c in update_cols else sql_ident(c)
         for c in cols
     ])
-    target_keys = target.selectExpr(*[f"{sql_ident(k)} AS {sql_ident('__t_' + k)}" for k in keys]).distinct()
-    new = source.join(target_keys, _all([source[k] == target_keys["__t_" + k] for k in keys]), "left_anti")
     return kept.unionByName(new.select(*cols))
 
 
@@ -164,10 +123,10 @@ def merge_into(
     update_cols: Sequence[str] = ("cl_count_of_hire_v1",),
     persist_source: bool = False,
 ) -> None:
-    """Merge ``source`` into table ``target``. The source is read up to three
-    times (touched partitions, cardinality check, merge); pass
-    ``persist_source=True`` when it is an expensive computation rather than a
-    table scan."""
+    """Merge ``source`` into table ``target``. The source is read for the touched
+    partitions and again for the merge; pass ``persist_source=True`` when it is
+    an expensive computation rather than a table scan. ``update_cols`` may not
+    hold partition columns."""
     spark = source.sparkSession
     if persist_source:
         source = source.persist()
@@ -180,18 +139,36 @@ def merge_into(
 
 def _merge(spark, source: DataFrame, target: str, keys: Sequence[str], update_cols: Sequence[str]) -> None:
     table = spark.table(target)
-    missing = [c for c in list(keys) + list(update_cols) if c not in table.columns]
+    names = {c.lower(): c for c in table.columns}
+    missing = [c for c in [*keys, *update_cols] if c.lower() not in names]
     if missing:
         raise ValueError(f"columns not in {target}: {missing}")
-    src = align_to_table(source.select(*[c for c in source.columns if c in table.columns]), target)
+    keys, update_cols = [names[k.lower()] for k in keys], [names[c.lower()] for c in update_cols]
     part_cols = partition_columns(spark, target)
-    slice_ = _touched(table, src, part_cols) if part_cols else table
-
-    check_cardinality(slice_, src, keys)
-    merged = merged_rows(slice_, src, keys, update_cols)
-    if part_cols:
-        overwrite_partitions(merged, target)
-        return
-    stage = shared_dir(spark, "merge-stage")
-    merged.write.mode("overwrite").parquet(stage)
-    align_to_table(spark.read.parquet(stage), target).write.insertInto(target, overwrite=True)
+    if set(part_cols) & set(update_cols):
+        raise ValueError(f"partition columns can't be updated: {sorted(set(part_cols) & set(update_cols))}")
+    src = align_to_table(source.select(*[c for c in source.columns if c.lower() in names]), target)
+    src = _nullable_parts(src, part_cols)
+    by_key = source_by_key(src, keys, update_cols)
+
+    keyed = [p for p in part_cols if p in keys]  # matches lie in the source's values of these
+    candidates = _within(table, src, keyed, nulls=False) if keyed else table
+    on = _all([candidates[k] == by_key["__s_" + k] for k in keys])
+    differs = " OR ".join(f"NOT ({sql_ident(c)} <=> {sql_ident('__u_' + c)})" for c in update_cols) or "FALSE"
+    changed = candidates.join(by_key, on).groupBy(*part_cols).agg(
+        F.expr(f"bool_or({differs})").alias("__change"), F.max("__c").alias("__c")
+    )
+    target_keys = candidates.select(*[F.col(k).alias("__t_" + k) for k in keys]).distinct()
+    new = src.join(target_keys, _all([src[k] == target_keys["__t_" + k] for k in keys]), "left_anti")
+    inserted = new.groupBy(*part_cols).agg(F.lit(True).alias("__change"), F.lit(0).cast("bigint").alias("__c"))
+    with staged(changed.unionAll(inserted), target) as touched:
+        state = touched.agg(F.max("__c"), F.count(F.when(F.col("__change"), 1))).first()
+        if (state[0] or 0) > 1:
+            raise MergeCardinalityError(f"MERGE: a target row matched more than one source row on {list(keys)}")
+        if not state[1]:
+            return
+        if part_cols:
+            rows = _within(table, touched.where("__change"), part_cols)
+            overwrite_partitions(merged_rows(rows, by_key, new, keys, update_cols), target)
+        else:
+            replace_rows(merged_rows(table, by_key, new, keys, update_cols), target)

@@ -100,9 +100,9 @@ def pit_join(
     return history.join(population, cond, "inner")
 
 
-def _is_date(df: DataFrame, name: str) -> bool:
+def _is_date(df: DataFrame, name: str, kind: type = T.DateType) -> bool:
     try:
-        return isinstance(df.schema[name].dataType, T.DateType)
+        return isinstance(df.schema[name].dataType, kind)
     except KeyError:
         return False
 
@@ -126,18 +126,20 @@ def daily_history(
     history_date: str = "end_date",
     answer_col: str = "contractor_recom_score_answer",
     outcome_col: str = "outcome",
+    by_day: bool = False,
 ) -> DataFrame:
     """One row per (entity, day): row count ``__n`` and one sum per flag.
 
     Rows whose entity or day is NULL can never match and are dropped before
     the shuffle. The aggregate runs partial-then-final, so each map task
-    ships at most one row per (entity, day) it saw.
+    ships at most one row per (entity, day) it saw. ``by_day`` takes the day of a
+    timestamp; otherwise every instant is a day of its own.
     """
     exprs = flag_sql(answer_col, outcome_col)
     e, d = sql_ident(history_entity), sql_ident(history_date)
     return (
         history.where(f"{e} IS NOT NULL AND {d} IS NOT NULL")
-        .selectExpr(f"{e} AS __e", f"{d} AS __d", *[f"{exprs[f]} AS {f}" for f in flags])
+        .selectExpr(f"{e} AS __e", f"{f'to_date({d})' if by_day else d} AS __d", *[f"{exprs[f]} AS {f}" for f in flags])
         .groupBy("__e", "__d")
         .agg(F.expr("count(1) AS __n"), *[F.expr(f"sum({f}) AS {_sum_name(f)}") for f in flags])
     )
@@ -152,6 +154,10 @@ def _per_key_join(keys: DataFrame, daily: DataFrame, flags: Sequence[str], entit
 
 def _per_key_prefix_sum(keys: DataFrame, daily: DataFrame, flags: Sequence[str], entity: str, date: str) -> DataFrame:
     sums = [_sum_name(f) for f in flags]
+    # Only entities of the population matter: reduced after the daily aggregate,
+    # so that no raw hot entity is shuffled for the join.
+    wanted = keys.select(F.col(entity).alias("__w")).distinct()
+    daily = daily.join(wanted, F.col("__e") == F.col("__w"), "left_semi")
     pop_rows = keys.selectExpr(
         f"{sql_ident(entity)} AS __e", f"{sql_ident(date)} AS __d", "__k",
         *[f"CAST(0 AS BIGINT) AS {c}" for c in ["__n", *sums]], "1 AS __pop",
@@ -215,7 +221,9 @@ def pit_grouped(
         )
         rows = pit_join(flagged, population, entity, date, "__e", "__d")
         return rows.groupBy(entity, date).agg(*[F.expr(f.sql()) for f in features])
-    daily = daily_history(history, flags, history_entity, history_date, answer_col, outcome_col)
+    # before a DATE, the instants before its midnight count: those of earlier days
+    by_day = _is_date(population, date) and _is_date(history, history_date, T.TimestampType)
+    daily = daily_history(history, flags, history_entity, history_date, answer_col, outcome_col, by_day)
     keys = population.groupBy(entity, date).agg(F.expr("count(1) AS __k"))
     per_key = (_per_key_join if method == "join" else _per_key_prefix_sum)(keys, daily, flags, entity, date)
     return per_key.selectExpr(sql_ident(entity), sql_ident(date), *[_feature_sql(f) for f in features])
@@ -255,7 +263,7 @@ def point_in_time_features(
     conds = []
     if since is not None:
         conds.append(_since_sql(history_start, since))
-    if _is_date(population, date) and _is_date(history, history_date):
+    if _is_date(population, date) and (_is_date(history, history_date) or _is_date(history, history_date, T.TimestampType)):
         # date < end and history_date < date imply history_date < end - 1 day;
         # Catalyst does not infer this through inequalities, so state it.
         conds.append(f"{sql_ident(history_date)} < DATE'{last_day.isoformat()}'")

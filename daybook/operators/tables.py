@@ -8,15 +8,16 @@ distributed job: tasks write files on executors, the driver only commits.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybook.functions.flags import sql_ident
-from daybook.operators.catalog import ensure_registered, partition_columns
-from daybook.session import shared_dir
+from daybook.operators.catalog import drop_table, ensure_registered, partition_columns
 
 OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 
@@ -80,44 +81,79 @@ def create_table(df: DataFrame, name: str, partition_by=None, fmt: str = "parque
 
 
 def append_by_name(df: DataFrame, name: str) -> None:
-    """Append to an existing table, matching columns by name."""
-    align_to_table(df, name).write.insertInto(name, overwrite=False)
+    """Append to an existing table, matching columns by name; rows are grouped by
+    partition first, so that files follow partitions and not tasks."""
+    clustered_for_write(align_to_table(df, name), partition_columns(df.sparkSession, name)).write.insertInto(name, overwrite=False)
 
 
-def _staged_if_replacing(df: DataFrame, name: str, stage: bool | None) -> DataFrame:
-    """Materialize ``df`` in the shared checkpoint folder before a write that
-    drops ``name`` first (default: only when ``name`` exists)."""
-    spark = df.sparkSession
-    if stage is None:
-        stage = spark.catalog.tableExists(name)
-    if not stage:
-        return df
-    path = shared_dir(spark, "replace-stage")
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+def _beside(name: str, tag: str) -> str:
+    """A new table name in the database of ``name``."""
+    *db, table = name.split(".")
+    return ".".join([*db, f"{table.strip('`')}__{tag}_{uuid.uuid4().hex[:12]}"])
 
 
-def create_or_replace(
-    df: DataFrame, name: str, partition_by=None, fmt: str = "parquet", stage: bool | None = None
-) -> None:
+@contextmanager
+def staged(df: DataFrame, name: str) -> Iterator[DataFrame]:
+    """``df`` written to a table beside ``name`` and read back; the table and its files go at the end."""
+    stage = _beside(name, "stage")
+    try:
+        df.write.format("parquet").saveAsTable(stage)
+        yield df.sparkSession.table(stage)
+    finally:
+        drop_table(df.sparkSession, stage)
+
+
+def create_or_replace(df: DataFrame, name: str, partition_by=None, fmt: str = "parquet") -> None:
     """Create, or replace schema and all rows (every partition) of ``name``.
 
-    Replacing a Parquet table drops it before the write job runs, so when
-    ``name`` exists the new rows are first written to the shared checkpoint
-    folder (``stage`` defaults to that): a failing computation then leaves
-    the old table in place, and ``df`` may even read the table it replaces.
+    An existing table is replaced by writing the new one, once, under another
+    name in the same database; only when it is complete the old one is dropped
+    and the new one takes its name. A job that fails, in its computation or in
+    the last file, leaves the old table as it was, and ``df`` may read the table
+    that it replaces. Between drop and rename, two catalog calls, the table is
+    absent.
     """
-    df = _staged_if_replacing(df, name, stage)
+    spark = df.sparkSession
     parts = _parts(partition_by)
-    writer = clustered_for_write(df, parts).write.mode("overwrite").format(fmt)
-    if parts:
-        writer = writer.partitionBy(*parts)
-    writer.saveAsTable(name)
+
+    def write(to: str) -> None:
+        writer = clustered_for_write(df, parts).write.mode("overwrite").format(fmt)
+        (writer.partitionBy(*parts) if parts else writer).saveAsTable(to)
+
+    if not spark.catalog.tableExists(name):
+        return write(name)
+    new = _beside(name, "new")
+    try:
+        write(new)
+    except BaseException:
+        drop_table(spark, new)
+        raise
+    drop_table(spark, name)
+    spark.sql(f"ALTER TABLE {new} RENAME TO {name}")
+    if parts:  # a catalog may still hold the partitions under the folder's first name
+        spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
+
+
+def replace_rows(df: DataFrame, name: str) -> None:
+    """Replace all rows of an unpartitioned table by ``df``, which may read it.
+
+    A managed table is swapped as in ``create_or_replace``. An external table
+    keeps its location: the rows are complete in a staging table before its files
+    are overwritten.
+    """
+    spark = df.sparkSession
+    df = align_to_table(df, name)
+    if spark.catalog.getTable(name).tableType == "MANAGED":
+        return create_or_replace(df, name)
+    with staged(df, name) as rows:
+        align_to_table(rows, name).write.insertInto(name, overwrite=True)
 
 
 def overwrite_partitions(df: DataFrame, name: str) -> None:
     """Dynamic partition overwrite: partitions present in ``df`` are replaced,
-    all others are kept; an empty ``df`` changes nothing. Columns by name.
+    all others are kept; an empty ``df`` changes nothing. Columns by name; '' in a
+    string partition column is stored as NULL. An unpartitioned table is one
+    partition: all its rows are replaced, by none if ``df`` is empty.
 
     ``insertInto`` ignores a per-write overwrite-mode option, so the session
     conf is switched for this one statement; other threads sharing the
@@ -130,8 +166,11 @@ def overwrite_partitions(df: DataFrame, name: str) -> None:
 
 def publish(df: DataFrame, name: str, partition_by: str | Sequence[str] = "date") -> str:
     """Daily publish: overwrite the partitions in ``df`` when the table exists,
-    else create it partitioned. Returns ``"overwrite"`` or ``"create"``."""
+    else create it partitioned. An existing unpartitioned table is replaced whole,
+    so that is refused with ``ValueError``. Returns ``"overwrite"`` or ``"create"``."""
     if df.sparkSession.catalog.tableExists(name):
+        if not partition_columns(df.sparkSession, name):
+            raise ValueError(f"{name} has no partitions to publish to")
         overwrite_partitions(df, name)
         return "overwrite"
     create_or_replace(df, name, partition_by=partition_by)
@@ -150,37 +189,81 @@ def create_table_as_select_if_absent(
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING {fmt}{clause} AS SELECT {hint}* FROM {from_table}")
 
 
+def _rows_at(spark: SparkSession, path: str, fmt: str) -> DataFrame | None:
+    try:
+        return spark.read.format(fmt).load(path)
+    except AnalysisException:  # no such path, or no files in it
+        return None
+
+
 def overwrite_path(df: DataFrame, path: str, fmt: str = "parquet", partition_by=None) -> None:
     """Replace everything at ``path`` (static overwrite, pinned as a writer
-    option so a session-wide dynamic mode cannot turn it into a partial one)."""
+    option so a session-wide dynamic mode cannot turn it into a partial one).
+
+    Where the path holds rows, the new ones are completed in a staging table
+    first: a computation that fails leaves the old rows, and ``df`` may read
+    them. Only a failure of the final copy can leave the path incomplete."""
     parts = _parts(partition_by)
-    writer = (
-        clustered_for_write(df, parts).write.mode("overwrite").format(fmt)
-        .option("partitionOverwriteMode", "static")
-    )
-    if parts:
-        writer = writer.partitionBy(*parts)
-    writer.save(path)
+
+    def write(rows: DataFrame) -> None:
+        writer = (
+            clustered_for_write(rows, parts).write.mode("overwrite").format(fmt)
+            .option("partitionOverwriteMode", "static")
+        )
+        (writer.partitionBy(*parts) if parts else writer).save(path)
+
+    if _rows_at(df.sparkSession, path, fmt) is None:
+        return write(df)
+    with staged(df, "path") as rows:
+        write(rows)
+
+
+def _folder_parts(rows: DataFrame, path: str) -> list[str]:
+    """Partition columns of the folders below ``path``, from the place of one file."""
+    one = rows.select("_metadata.file_path").first()
+    if one is None:
+        return []
+    last = path.rstrip("/").rsplit("/", 1)[-1]
+    below = one[0].rsplit(f"/{last}/", 1)[-1].split("/")[:-1]
+    return [x.split("=", 1)[0] for x in below if "=" in x]
 
 
-def append_path(df: DataFrame, path: str, name: str | None = None, fmt: str = "parquet") -> None:
+def append_path(
+    df: DataFrame, path: str, name: str | None = None, fmt: str = "parquet", partition_by=None
+) -> None:
     """Append files at ``path``; with ``name``, make sure the location is
     registered under that name and refreshed so readers by name see the new
-    files."""
-    df.write.mode("append").format(fmt).save(path)
+    files and partitions. The layout is that of the registered table, or of the
+    files at the path; another ``partition_by`` raises ``ValueError``."""
+    spark = df.sparkSession
+    have = None
+    if name and spark.catalog.tableExists(name):
+        have = partition_columns(spark, name)
+    elif (rows := _rows_at(spark, path, fmt)) is not None:
+        have = _folder_parts(rows, path)
+    parts = _parts(partition_by) if partition_by is not None else have or []
+    if have is not None and parts != have:
+        raise ValueError(f"{path} is partitioned by {have}, not by {parts}")
+    writer = clustered_for_write(df, parts).write.mode("append").format(fmt)
+    (writer.partitionBy(*parts) if parts else writer).save(path)
     if name:
-        ensure_registered(df.sparkSession, name, path, fmt)
+        ensure_registered(spark, name, path, fmt)
 
 
-def save_external(
-    df: DataFrame, name: str, path: str, fmt: str = "parquet", partition_by=None, stage: bool | None = None
-) -> None:
+def save_external(df: DataFrame, name: str, path: str, fmt: str = "parquet", partition_by=None) -> None:
     """Overwrite the files at ``path`` and (re)register them as table ``name``;
-    readable by path and by name. Staged first when ``name`` exists, as in
-    ``create_or_replace``."""
-    df = _staged_if_replacing(df, name, stage)
+    readable by path and by name. A static overwrite whatever the session's mode.
+    Where the name or rows at the path exist, the new rows are completed in a
+    staging table first, as in ``overwrite_path``."""
+    spark = df.sparkSession
     parts = _parts(partition_by)
-    writer = clustered_for_write(df, parts).write.format(fmt).mode("overwrite").option("path", path)
-    if parts:
-        writer = writer.partitionBy(*parts)
-    writer.saveAsTable(name)
+
+    def write(rows: DataFrame) -> None:
+        writer = clustered_for_write(rows, parts).write.format(fmt).mode("overwrite").option("path", path)
+        with session_conf(spark, OVERWRITE_MODE, "static"):
+            (writer.partitionBy(*parts) if parts else writer).saveAsTable(name)
+
+    if not spark.catalog.tableExists(name) and _rows_at(spark, path, fmt) is None:
+        return write(df)
+    with staged(df, name) as rows:
+        write(rows)

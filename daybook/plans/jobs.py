@@ -24,8 +24,8 @@ def compute_features(
     spark: SparkSession,
     start: str,
     end: str,
-    population: str | DataFrame = "active_clients",
-    history: str | DataFrame = "agg_b_assignment_outcomes",
+    population: str | DataFrame,
+    history: str | DataFrame,
     features: Iterable[str] | None = None,
     **options,
 ) -> DataFrame:
@@ -47,8 +47,8 @@ def daily_publish_merge(
     end: str,
     table: str,
     merge_table: str,
-    population: str | DataFrame = "active_clients",
-    history: str | DataFrame = "agg_b_assignment_outcomes",
+    population: str | DataFrame,
+    history: str | DataFrame,
     *,
     merge_scope: str = "table",
     persist: bool = False,
@@ -59,25 +59,27 @@ def daily_publish_merge(
     updated on match, new rows inserted). ``merge_scope="window"`` merges
     only the partitions just published, which equals the full merge when
     earlier days were merged. With ``persist`` the features are computed
-    once: the preview is evaluated (and its few rows kept cached) while they
-    are cached, then the same cache feeds the publish. Returns the preview."""
+    once: the preview's few rows are taken while they are cached, then the same
+    cache feeds the publish. A population with repeated rows publishes and then
+    fails in the merge, which several rows of one key may not enter. Returns the preview."""
     if merge_scope not in ("table", "window"):
         raise ValueError('merge_scope must be "table" or "window"')
     df = compute_features(spark, start, end, population, history, **options)
     if persist:
         df = df.persist()
-    shown = positive_preview(df)
-    if persist:
-        shown = shown.cache()
-        shown.count()
-    tb.publish(df, table, partition_by="date")
+    try:
+        shown = positive_preview(df)
+        if persist:  # the few rows shown, so that they outlive the cache
+            shown = spark.createDataFrame(shown.collect(), shown.schema)
+        tb.publish(df, table, partition_by="date")
+    finally:
+        if persist:
+            df.unpersist()
     tb.create_table_as_select_if_absent(spark, merge_table, table, partition_by="date")
     source = spark.table(table)
     if merge_scope == "window":
         source = restrict_dates(source, start, end)
     merge_into(source, merge_table, keys=("date", "client_id"), update_cols=(HIRE,))
-    if persist:
-        df.unpersist()
     return shown
 
 
@@ -86,8 +88,8 @@ def compute_replace(
     start: str,
     end: str,
     table: str,
-    population: str | DataFrame = "active_clients",
-    history: str | DataFrame = "agg_b_assignment_outcomes",
+    population: str | DataFrame,
+    history: str | DataFrame,
     **options,
 ) -> DataFrame:
     """Compute, then replace ``table`` (unpartitioned). Returns the preview."""

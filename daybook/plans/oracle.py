@@ -97,6 +97,22 @@ SELECTED_FEATURE_NAMES = (
 # overlapping rows differ.
 WINDOW_A = ("1998-01-01", "1998-04-01", "1996-01-01")
 WINDOW_B = ("1998-03-01", "1998-07-01", "1997-01-01")
+ONE_DAY = ("1998-06-01", "1998-06-02", "1996-01-01")
+
+_MERGE_ROWS = """
+WITH c AS (
+  SELECT c_custkey AS id, CAST(c_custkey % 7 AS INTEGER) AS part, c_nationkey AS n,
+    CASE WHEN c_custkey % 4 >= 2 THEN 'p' || (c_custkey % 4) END AS name
+  FROM customer
+)
+"""
+
+
+def looks_sql(table: str, **looks: int) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{name}' AS look, least({n}, count(*)) AS n_rows, CAST(0 AS BIGINT) AS n_foreign FROM {table}"
+        for name, n in looks.items()
+    )
 
 
 def window_sql(window) -> str:
@@ -155,6 +171,18 @@ def oracle_queries() -> dict[str, str]:
     outcome_flags = ", ".join(list(FLAG_SQL)[3:])
     return {
         "pit_features": full,
+        "pit_features_one_day": window_sql(ONE_DAY),
+        "limit_rows_only": looks_sql("customer", limit=10),
+        "inspect_job": looks_sql("customer", api=5, sql=10),
+        "merge_key_without_partition": _MERGE_ROWS + """
+SELECT id, CASE WHEN id % 2 = 0 THEN n + 100 ELSE n END AS n, part FROM c WHERE id % 3 <> 0
+UNION ALL SELECT id, n + 100, 99 FROM c WHERE id % 3 = 0 AND id % 2 = 0""",
+        "merge_string_partition": _MERGE_ROWS + """
+SELECT id, CASE WHEN id % 4 = 2 THEN n + 100 ELSE n END AS n, name FROM c WHERE id % 3 <> 0
+UNION ALL SELECT id, n + 100, name FROM c WHERE id % 4 = 0 OR id % 4 = 2 AND id % 3 = 0""",
+        "append_partitioned": f"SELECT * FROM ({a}) UNION ALL SELECT * FROM ({b})",
+        "path_append_partitioned": "SELECT * FROM customer WHERE c_nationkey < 10 UNION ALL SELECT * FROM customer WHERE c_nationkey >= 5",
+        "external_partitioned_replace": "SELECT * FROM customer WHERE c_nationkey >= 5 UNION ALL SELECT * FROM customer WHERE c_nationkey >= 5",
         "pit_features_dup_population": pit_sql(distinct=False),
         "pit_features_prefix_sum": full,
         "pit_features_range_join": full,

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,9 +31,9 @@ from daybook.operators.pit import (
 )
 from daybook.plans import fixtures as fx
 from daybook.plans import jobs
-from daybook.plans.oracle import SELECTED_FEATURE_NAMES, WINDOW_A, WINDOW_B
+from daybook.plans.oracle import ONE_DAY, SELECTED_FEATURE_NAMES, WINDOW_A, WINDOW_B
 from daybook.session import shared_dir
-from daybook.sources import preview, read_parquet, read_path, read_sql, read_table, register_view
+from daybook.sources import preview, read_parquet, read_path, read_sql, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -68,6 +69,10 @@ def pit_features_direct(spark, sf_dir):
     return _features(spark, sf_dir, method="direct")
 
 
+def pit_features_one_day(spark, sf_dir):
+    return _features(spark, sf_dir, window=ONE_DAY)
+
+
 def pit_features_selected(spark, sf_dir):
     return _features(spark, sf_dir, features=SELECTED_FEATURE_NAMES)
 
@@ -88,13 +93,15 @@ def scan_parquet_project(spark, sf_dir):
 
 
 def scan_table(spark, sf_dir):
-    view = register_view(read_parquet(spark, fx.table_path(sf_dir, "customer")), "dbk_scan_customer")
-    return read_table(spark, view)
+    t = _scratch_db(spark, "scan") + ".t"
+    tb.create_table(_customer(spark, sf_dir), t)
+    return read_table(spark, f"spark_catalog.{t}")
 
 
 def scan_sql(spark, sf_dir):
-    view = register_view(read_parquet(spark, fx.table_path(sf_dir, "nation")), "dbk_sql_nation")
-    return read_sql(spark, view)
+    t = _scratch_db(spark, "sql") + ".t"
+    tb.create_table(read_parquet(spark, fx.table_path(sf_dir, "nation")), t)
+    return read_sql(spark, t)
 
 
 def scan_path(spark, sf_dir):
@@ -183,8 +190,20 @@ def preview_ordered(spark, sf_dir):
 
 
 def limit_rows_only(spark, sf_dir):
-    view = register_view(read_parquet(spark, fx.table_path(sf_dir, "customer")), "dbk_limit_customer")
-    return read_sql(spark, view, limit=10)
+    t = _scratch_db(spark, "limit") + ".t"
+    tb.create_table(_customer(spark, sf_dir), t)
+    return _looks(spark.table(t), limit=read_sql(spark, t, limit=10))
+
+
+def _looks(table: DataFrame, **looks: DataFrame) -> DataFrame:
+    """For each look: its rows, and how many of them the table doesn't hold."""
+    parts = [
+        rows.agg(F.lit(name).alias("look"), F.count(F.lit(1)).alias("n_rows")).crossJoin(
+            rows.exceptAll(table).agg(F.count(F.lit(1)).alias("n_foreign"))
+        )
+        for name, rows in looks.items()
+    ]
+    return reduce(DataFrame.unionAll, parts)
 
 
 # -- table writes ---------------------------------------------------------------
@@ -241,14 +260,18 @@ def dynamic_partition_overwrite(spark, sf_dir):
 
 def publish_first_run(spark, sf_dir):
     t = _scratch_db(spark, "pub1") + ".t"
-    assert tb.publish(_window(spark, sf_dir, WINDOW_A), t) == "create"
+    done = tb.publish(_window(spark, sf_dir, WINDOW_A), t)
+    if done != "create":
+        raise AssertionError(f"first publish did {done}")
     return spark.table(t)
 
 
 def publish_second_run(spark, sf_dir):
     t = _scratch_db(spark, "pub2") + ".t"
     tb.publish(_window(spark, sf_dir, WINDOW_A), t)
-    assert tb.publish(_window(spark, sf_dir, WINDOW_B), t) == "overwrite"
+    done = tb.publish(_window(spark, sf_dir, WINDOW_B), t)
+    if done != "overwrite":
+        raise AssertionError(f"second publish did {done}")
     return spark.table(t)
 
 
@@ -276,6 +299,56 @@ def merge_first_run_noop(spark, sf_dir):
     return spark.table(f"{db}.copy")
 
 
+def _merge_tables(spark, sf_dir, key: str, partition: str):
+    """Nations by ``partition``, then merged with changed and new rows."""
+    t = _scratch_db(spark, key) + ".t"
+    c = _customer(spark, sf_dir).selectExpr(
+        "c_custkey AS id", "CAST(c_custkey % 7 AS INT) AS part", "c_nationkey AS n",
+        "CASE c_custkey % 4 WHEN 0 THEN '' WHEN 1 THEN NULL ELSE concat('p', c_custkey % 4) END AS name",
+    )
+    tb.create_table(c.where("id % 3 <> 0").select("id", "n", partition), t, partition_by=partition)
+    return c, t
+
+
+def merge_key_without_partition(spark, sf_dir):
+    c, t = _merge_tables(spark, sf_dir, "merge_free", "part")
+    # the matches lie in other partitions than the source names
+    merge_into(c.where("id % 2 = 0").selectExpr("id", "n + 100 AS n", "CAST(99 AS INT) AS part"), t, keys=("id",), update_cols=("n",))
+    return spark.table(t)
+
+
+def merge_string_partition(spark, sf_dir):
+    c, t = _merge_tables(spark, sf_dir, "merge_text", "name")
+    merge_into(c.where("id % 2 = 0").selectExpr("id", "n + 100 AS n", "name"), t, keys=("id", "name"), update_cols=("n",))
+    return spark.table(t)
+
+
+def path_append_partitioned(spark, sf_dir):
+    db = _scratch_db(spark, "path_append_part")
+    path = shared_dir(spark, "path_append_part_files")
+    c = _customer(spark, sf_dir)
+    tb.append_path(c.where("c_nationkey < 10"), path, f"{db}.t", partition_by="c_nationkey")
+    tb.append_path(c.where("c_nationkey >= 5"), path, f"{db}.t")
+    return spark.table(f"{db}.t")
+
+
+def external_partitioned_replace(spark, sf_dir):
+    db = _scratch_db(spark, "external_part")
+    path = shared_dir(spark, "external_part_files")
+    c = _customer(spark, sf_dir)
+    with tb.session_conf(spark, tb.OVERWRITE_MODE, "dynamic"):
+        tb.save_external(c.where("c_nationkey < 10"), f"{db}.t", path, partition_by="c_nationkey")
+        tb.save_external(c.where("c_nationkey >= 5"), f"{db}.t", path, partition_by="c_nationkey")
+    return read_path(spark, path).unionByName(spark.table(f"{db}.t"))
+
+
+def append_partitioned(spark, sf_dir):
+    t = _scratch_db(spark, "append_part") + ".t"
+    tb.create_table(_window(spark, sf_dir, WINDOW_A), t, partition_by="date")
+    tb.append_by_name(_window(spark, sf_dir, WINDOW_B), t)
+    return spark.table(t)
+
+
 def path_overwrite(spark, sf_dir):
     path = shared_dir(spark, "path_overwrite")
     tb.overwrite_path(read_parquet(spark, fx.table_path(sf_dir, "nation")), path)
@@ -361,9 +434,8 @@ def register_job(spark, sf_dir):
 def inspect_job(spark, sf_dir):
     t = _scratch_db(spark, "inspect") + ".t"
     tb.create_table(_customer(spark, sf_dir), t)
-    first5, first10 = jobs.inspect_table(spark, t)
-    return first10
-
+    by_api, by_sql = jobs.inspect_table(spark, t)
+    return _looks(spark.table(t), api=by_api, sql=by_sql)
 
 
 def daily_publish_merge(spark, sf_dir):
@@ -388,6 +460,7 @@ QUERIES: dict[str, Query] = {
     "pit_features_prefix_sum": pit_features_prefix_sum,
     "pit_features_range_join": pit_features_range_join,
     "pit_features_direct": pit_features_direct,
+    "pit_features_one_day": pit_features_one_day,
     "pit_features_selected": pit_features_selected,
     "pit_features_corrected": pit_features_corrected,
     "features_positive_only": features_positive_only,
@@ -416,6 +489,11 @@ QUERIES: dict[str, Query] = {
     "ctas_if_not_exists": ctas_if_not_exists,
     "merge_update_insert": merge_update_insert,
     "merge_first_run_noop": merge_first_run_noop,
+    "merge_key_without_partition": merge_key_without_partition,
+    "merge_string_partition": merge_string_partition,
+    "append_partitioned": append_partitioned,
+    "path_append_partitioned": path_append_partitioned,
+    "external_partitioned_replace": external_partitioned_replace,
     "path_overwrite": path_overwrite,
     "path_append_registered": path_append_registered,
     "external_save_as_table": external_save_as_table,

@@ -3,6 +3,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from daybook.operators import tables as tb
 from daybook.operators.merge import MergeCardinalityError, merge_into
@@ -124,13 +125,48 @@ def test_merge_touching_many_partitions(spark, db):
     assert out.where("client_id % 2 = 1 AND n = client_id").count() == 200
 
 
-def test_touched_sql_renders_values():
-    from pyspark.sql import Row
+def test_unchanged_merge_keeps_every_file(spark, db):
+    t = f"{db}.t"
+    days = spark.range(40).selectExpr("date_add(DATE'2024-01-01', CAST(id % 8 AS INT)) AS date", "id AS client_id", "id AS n")
+    tb.create_table(days, t, partition_by="date")
+    before = sorted(spark.table(t).inputFiles())
+    merge_into(days, t, update_cols=("n",))
+    assert sorted(spark.table(t).inputFiles()) == before
+    merge_into(days.where("client_id = 3").withColumn("n", F.lit(-1).cast("long")), t, update_cols=("n",))
+    after = set(spark.table(t).inputFiles())
+    assert len(set(before) - after) == 1  # one partition was rewritten
+    assert spark.table(t).where("n = -1").count() == 1 and spark.table(t).count() == 40
+    assert [r.tableName for r in spark.sql(f"SHOW TABLES IN {db}").collect() if not r.isTemporary] == ["t"]  # no staging left
+
+
+def test_timestamp_partition_with_another_session_zone(spark, db):
+    t = f"{db}.t"
+    rows = "SELECT TIMESTAMP'2024-01-01 05:00:00' AS date, id AS client_id, id AS n FROM range(3)"
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        tb.create_table(spark.sql(rows), t, partition_by="date")
+        merge_into(spark.sql(rows).where("client_id = 1").withColumn("n", F.lit(9).cast("long")), t, update_cols=("n",))
+        assert sorted(tuple(r) for r in spark.table(t).select("client_id", "n").collect()) == [(0, 0), (1, 9), (2, 2)]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_decimal_and_quoted_text_partitions(spark, db):
+    t = f"{db}.t"
+    rows = spark.range(30).selectExpr(
+        "CAST(id % 5 AS DECIMAL(10,2)) AS d", 'concat("a\'", id % 3) AS s', "id AS k", "id AS n"
+    )
+    tb.create_table(rows, t, partition_by=["d", "s"])
+    merge_into(rows.where("k % 2 = 0").withColumn("n", F.col("n") + 100), t, keys=("d", "s", "k"), update_cols=("n",))
+    out = spark.table(t)
+    assert out.count() == 30 and out.where("n = k + 100").count() == 15
 
-    from daybook.functions.flags import sql_str
-    from daybook.operators.merge import _touched_sql
 
-    assert _touched_sql([Row(date=D1), Row(date=None)], ["date"]) == "`date` IN (DATE'2024-01-01') OR `date` IS NULL"
-    two = _touched_sql([Row(date=D1, s="a'b")], ["date", "s"])
-    assert two == f"(`date` <=> DATE'2024-01-01' AND `s` <=> {sql_str(chr(97) + chr(39) + chr(98))})"
-    assert _touched_sql([Row(x=1.5)], ["x"]) is None
+def test_letter_case_and_partition_updates(spark, db):
+    t = f"{db}.t"
+    tb.create_table(spark.range(3).selectExpr("DATE'2024-01-01' AS date", "id AS client_id", "id AS n"), t, partition_by="date")
+    merge_into(spark.range(2, 5).selectExpr("DATE'2024-01-01' AS DATE", "id AS Client_ID", "7L AS N"), t, update_cols=("n",))
+    assert sorted(tuple(r) for r in spark.table(t).select("client_id", "n").collect()) == [(0, 0), (1, 1), (2, 7), (3, 7), (4, 7)]
+    with pytest.raises(ValueError):
+        merge_into(spark.table(t), t, keys=("client_id",), update_cols=("date",))

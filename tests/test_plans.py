@@ -56,11 +56,19 @@ def test_history_is_combined_before_shuffle(spark, tables):
 
 
 def test_merge_slice_uses_partition_filter(spark, tables):
-    from daybook.operators.merge import _touched
+    from daybook.operators.merge import _within
 
     target = spark.table(f"{tables}.active_clients")
     day = target.orderBy("date").first().date
     source = target.where(f"date = DATE'{day}'")
-    plan = _plan(_touched(target, source, ["date"]))
+    plan = _plan(_within(target, source, ["date"]))
     pruning = plan.split("PartitionFilters")[1].split("\n")[0]
     assert str(day) in pruning
+
+
+def test_history_is_reduced_to_the_population_below_the_union(spark, tables):
+    df = compute_features(
+        spark, "1998-03-01", "1998-03-05", f"{tables}.active_clients", f"{tables}.outcomes", since="1996-01-01"
+    )
+    tree = df._jdf.queryExecution().optimizedPlan().toString()
+    assert tree.index("Union") < tree.index("LeftSemi")

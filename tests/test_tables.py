@@ -167,3 +167,47 @@ def test_path_overwrite_stays_static_under_dynamic_session_mode(spark, scratch):
     with tb.session_conf(spark, tb.OVERWRITE_MODE, "dynamic"):
         tb.overwrite_path(_frame(spark, [(3, 3, D(2024, 1, 2))]), path, partition_by="date")
     assert _rows(read_path(spark, path)) == [(D(2024, 1, 2), 3, 3)]
+
+
+BROKEN = "CAST(raise_error('broken') AS BIGINT)"
+
+
+def test_failing_final_write_keeps_the_old_table(spark, db, scratch):
+    t, path = f"{db}.t", scratch("kept")
+    old, bad = spark.range(5), spark.range(3).selectExpr(f"CASE WHEN id = 2 THEN {BROKEN} ELSE id END AS id")
+    tb.create_table(old, t)
+    tb.overwrite_path(old, path)
+    for write in (lambda: tb.create_or_replace(bad, t), lambda: tb.replace_rows(bad, t)):
+        with pytest.raises(Exception):
+            write()
+        assert spark.table(t).count() == 5
+    for write in (lambda: tb.overwrite_path(bad, path), lambda: tb.save_external(bad, f"{db}.e", path)):
+        with pytest.raises(Exception):
+            write()
+        assert spark.read.parquet(path).count() == 5
+    assert [r.tableName for r in spark.sql(f"SHOW TABLES IN {db}").collect() if not r.isTemporary] == ["t"]
+
+
+def test_append_writes_a_file_per_partition_and_not_per_task(spark, db):
+    t = f"{db}.t"
+    rows = spark.range(0, 4000, 1, 8).selectExpr("id", "CAST(id % 20 AS INT) AS p")
+    tb.create_table(rows, t, partition_by="p")
+    before = len(spark.table(t).inputFiles())
+    tb.append_by_name(rows, t)
+    assert len(spark.table(t).inputFiles()) - before == 20
+
+
+def test_append_to_another_layout_is_refused(spark, db, scratch):
+    path = scratch("layout")
+    rows = spark.range(6).selectExpr("id", "CAST(id % 2 AS INT) AS p")
+    tb.append_path(rows, path, partition_by="p")
+    with pytest.raises(ValueError):
+        tb.append_path(rows, path, partition_by="id")
+    tb.append_path(rows, path, f"{db}.t")
+    assert spark.table(f"{db}.t").count() == 12
+
+
+def test_publish_refuses_an_unpartitioned_table(spark, db):
+    tb.create_table(spark.range(3), f"{db}.t")
+    with pytest.raises(ValueError):
+        tb.publish(spark.range(2), f"{db}.t")
