@@ -63,7 +63,8 @@ def _ranked(df: DataFrame, plan: DataFrame, few: bool) -> DataFrame:
     """``df`` with its source's plan and its own rank variable ``q``."""
     plan = plan.withColumnRenamed("source", "plan_source")
     joined = df.join(F.broadcast(plan) if few else plan, F.col("source").eqNullSafe(F.col("plan_source")), "left")
-    return joined.withColumn("q", (F.col("u") / (1 - F.col("u"))) / (F.col("p") / (1 - F.col("p"))))
+    odds = F.col("p") / (1 - F.col("p"))
+    return joined.withColumn("q", F.when((F.col("p") > 0) & (F.col("p") < 1), (F.col("u") / (1 - F.col("u"))) / odds))
 
 
 def _drawn(docs: DataFrame) -> DataFrame:
