@@ -271,7 +271,7 @@ def predict(docs: DataFrame, model: Tagger | None, spans: bool = False) -> DataF
                 runs = []
                 for text, n in zip(batch.column("text").to_pylist(), size, strict=True):
                     label = p[at : at + n].argmax(1) if n else []
-                    places = [m.span() for m in WORDS.finditer(text.lower())] if n else []
+                    places = [m.span() for m in WORDS.finditer(text)] if n else []  # lower case may be longer, but has the same words
                     edge = [i for i in range(n) if not i or label[i] != label[i - 1]] + [n]
                     runs.append([
                         {"first": places[a][0], "end": places[b - 1][1], "lang": model.labels[label[a]]}
