@@ -46,7 +46,7 @@ _SEED = "seed long, o long, id long, pos int, byte int, o0 long, id0 long, pos0
 
 
 def _seeds(k: int, window: int):
-    """Seeds of a block. Those that repeat within it carry the block's first occurrence (o0, id0, pos0, byte0)."""
+    """Seeds of a block. Those of later documents carry the block's first occurrence (o0, id0, pos0, byte0)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in blocks(batches):
@@ -70,17 +70,19 @@ def _seeds(k: int, window: int):
             doc = batch.column("id").to_numpy()[row]
             by = np.lexsort((pos, o, doc, seed))
             seed, o, doc, pos, byte = seed[by], o[by], doc[by], pos[by], byte[by]
-            new = np.r_[True, seed[1:] != seed[:-1]] if len(seed) else np.zeros(0, bool)
-            lead = np.maximum.accumulate(np.where(new, np.arange(len(seed)), 0)) if len(seed) else np.zeros(0, np.int64)
-            again = ~new & ~((o[lead] == o) & (doc[lead] == doc))
-            keep = new | again
+            one = np.ones(len(seed), bool)  # rows equal in id and text bring the same occurrences
+            one[1:] = (seed[1:] != seed[:-1]) | (doc[1:] != doc[:-1]) | (o[1:] != o[:-1]) | (pos[1:] != pos[:-1])
+            seed, o, doc, pos, byte = seed[one], o[one], doc[one], pos[one], byte[one]
+            new = np.ones(len(seed), bool)
+            new[1:] = seed[1:] != seed[:-1]
+            lead = np.maximum.accumulate(np.where(new, np.arange(len(seed)), 0))
+            own = (o[lead] == o) & (doc[lead] == doc)  # all that the block's first document holds: it may repeat an earlier one's
             cols = [
-                pa.array(seed.view(np.int64)[keep]), pa.array(o[keep]), pa.array(doc[keep]),
-                pa.array(pos[keep].astype(np.int32)), pa.array(byte[keep].astype(np.int32)),
+                pa.array(seed.view(np.int64)), pa.array(o), pa.array(doc),
+                pa.array(pos.astype(np.int32)), pa.array(byte.astype(np.int32)),
             ]
-            none = pa.array(new[keep])
             for x, kind in ((o, pa.int64()), (doc, pa.int64()), (pos, pa.int32()), (byte, pa.int32())):
-                cols.append(pa.array(x[lead][keep].astype(kind.to_pandas_dtype()), kind, mask=none.to_numpy(zero_copy_only=False)))
+                cols.append(pa.array(x[lead].astype(kind.to_pandas_dtype()), kind, mask=own))
             yield pa.record_batch(cols, ["seed", "o", "id", "pos", "byte", "o0", "id0", "pos0", "byte0"])
 
     return run
@@ -150,7 +152,7 @@ _CHAIN = T.StructType([T.StructField(c, T.LongType()) for c in ("id", "o", "id0"
 
 
 def _chains(k: int):
-    """Chains of each document pair; a pair's anchors come one after another."""
+    """Chains of each document pair; a pair's anchors come one after another, repeated ones next to each other."""
 
     def finish(pair, rows):
         x, y, xb, yb = (np.concatenate([r[c] for r in rows]) for c in ("pos", "pos0", "byte", "byte0"))
@@ -172,10 +174,15 @@ def _chains(k: int):
         return pa.record_batch([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], [f.name for f in _CHAIN])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pair, rows = None, []
+        pair, rows, last = None, [], None
         for batch in batches:
-            col = {c: batch.column(c).to_numpy() for c in batch.schema.names}
-            key = np.stack([col[c] for c in names], 1)
+            if not batch.num_rows:
+                continue
+            place = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in (*names, "pos", "pos0")], 1)
+            one = np.r_[last is None or bool((place[0] != last).any()), (place[1:] != place[:-1]).any(1)]
+            last = place[-1]
+            col = {c: batch.column(c).to_numpy()[one] for c in batch.schema.names}
+            key = place[one, : len(names)]
             edge = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]).any(1), True]) if len(key) else np.zeros(1, int)
             out = []
             for a, b in zip(edge[:-1], edge[1:], strict=True):
@@ -288,7 +295,7 @@ def _passages(docs: DataFrame, min_words: int, similarity: float) -> DataFrame:
         .unionAll(seeds.where("o0 is not null").select("id", "o", "pos", "byte", "id0", "o0", "pos0", "byte0"))
     )
     pair = ["id", "o", "id0", "o0"]
-    chains = anchors.repartition(*pair).sortWithinPartitions(*pair).mapInArrow(_chains(K), _CHAIN)
+    chains = anchors.repartition(*pair).sortWithinPartitions(*pair, "pos", "pos0").mapInArrow(_chains(K), _CHAIN)
     chains = written(chains, "chains").withColumn("from_a", F.greatest(F.col("xb") - MARGIN, F.lit(0))).withColumn(
         "from_b", F.greatest(F.col("yb") - MARGIN, F.lit(0))
     )
