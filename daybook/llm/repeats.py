@@ -267,7 +267,8 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
     whole = places.join(contexts.where("n > 1").select("h", "c"), ["h", "c"], "left_semi").select(
         "uid", F.col("lo").alias("first"), (F.col("hi") + length).alias("end")
     )
-    return hits.unionAll(whole).groupBy("uid").agg(F.collect_list(F.struct("first", "end")).alias("spans"))
+    # a set, for equal rows share a uid and bring each span again
+    return hits.unionAll(whole).groupBy("uid").agg(F.collect_set(F.struct("first", "end")).alias("spans"))
 
 
 def without_repeated_bytes(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
