@@ -6,7 +6,7 @@ more than ``cap`` times its own size, the excess shared anew by weight.
 
 A source whose target is f times its size takes floor(f) whole copies of every
 document. The rest is an order sample of fixed size: each document draws a
-uniform number u from its id, its rank variable is the odds of u over the odds
+uniform number u from its id (without one, its text), its rank variable is the odds of u over the odds
 of its inclusion probability, and documents are taken in that order while that
 brings the words nearer to the target. So a source misses its target by at most
 half the size of one document, and no document is taken more than ``cap`` times.
@@ -34,9 +34,9 @@ def size_of(text: str) -> Column:
     return F.coalesce(F.regexp_count(F.col(text), F.lit(WORD_PATTERN)), F.lit(0)).cast("long")
 
 
-def _uniform(doc_id: str) -> Column:
-    """In (0, 1), from 48 bits of the md5 of the id's text."""
-    digits = F.substring(F.md5(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")), 1, 12)
+def _uniform(doc_id: str, text: str) -> Column:
+    """In (0, 1), from 48 bits of the md5 of the id as text; documents without id are told apart by their text."""
+    digits = F.substring(F.md5(F.coalesce(F.col(doc_id).cast("string"), F.col(text), F.lit("")).cast("binary")), 1, 12)
     return (F.conv(digits, 16, 10).cast("double") + 0.5) / F.lit(float(1 << 48))
 
 
@@ -72,7 +72,7 @@ def _drawn(docs: DataFrame) -> DataFrame:
     return docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
         F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"),
-        size_of("text").alias("size"), _uniform("doc_id").alias("u"), F.xxhash64("text").alias("tie"),
+        size_of("text").alias("size"), _uniform("doc_id", "text").alias("u"), F.xxhash64("text").alias("tie"),
     )
 
 

@@ -95,7 +95,7 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE
     "op5_mixing": f"""
 WITH d AS (
   SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '{_WORD}')) AS BIGINT) AS size,
-    (CAST(CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 12) AS BIGINT) AS DOUBLE) + 0.5) / 281474976710656.0 AS u
+    (CAST(CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), text, '')), 1, 12) AS BIGINT) AS DOUBLE) + 0.5) / 281474976710656.0 AS u
   FROM documents
 ), s AS (
   SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source
