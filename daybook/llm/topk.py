@@ -23,8 +23,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-#: Vectors and queries of a cell; a task holds one cell.
-BLOCK, QUERIES = 8192, 512
+#: Vectors and queries of a cell; a task holds one cell. Every vector travels once for each QUERIES queries.
+BLOCK, QUERIES = 8192, 8192
+#: Queries that a task scores together.
+TOGETHER = 512
 LEVELS = 10
 #: Possible members for each query, as a multiple of k, at which scoring them beats processing more segments.
 FEW = 12
@@ -88,10 +90,13 @@ def _cell(k: int):
         out = {"query_id": [], "vec_id": [], "score": []}
         if vectors.num_rows and queries.num_rows:
             ids, asked = vectors["vec_id"].to_numpy(), queries["vec_id"].to_numpy()
-            for q, at, score in ImpactIndex(matrix(vectors["v"])).best(ids, matrix(queries["v"]), asked, k):
-                out["query_id"] += [int(asked[q])] * len(at)
-                out["vec_id"] += ids[at].tolist()
-                out["score"] += score.tolist()
+            index, asking = ImpactIndex(matrix(vectors["v"])), matrix(queries["v"])
+            for first in range(0, len(asked), TOGETHER):
+                part = slice(first, first + TOGETHER)
+                for q, at, score in index.best(ids, asking[part], asked[part], k):
+                    out["query_id"] += [int(asked[first + q])] * len(at)
+                    out["vec_id"] += ids[at].tolist()
+                    out["score"] += score.tolist()
         return pa.table({c: pa.array(x, pa.int64()) for c, x in out.items()})
 
     return run
