@@ -20,12 +20,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from daybook.llm.common import LOWER, Rolling, blocks, flat, word_spans
 
 PASSAGE = 64
-#: Bound of the training sample: labelled documents.
-SAMPLE_DOCS = 4000
+#: Bounds of the training sample: labelled documents, bytes of one text, and bytes of all.
+SAMPLE_DOCS, SAMPLE_TEXT, SAMPLE_BYTES = 4000, 1 << 24, 1 << 27
 THRESHOLD = 0.3
 _PAIRS = 64  # buckets of letter pairs
 _SIGNS = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~\n"
@@ -154,18 +155,26 @@ def fit(texts: list[str], labels: list[int], rounds: int = 40, hidden: int = 24,
 def fit_sample(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_DOCS) -> Attention | None:
     """Trains on at most ``sample`` labelled documents, those with the least hashes of their id.
 
-    Null labels and null ids are no examples; without any example there is no model.
+    Longer texts than ``SAMPLE_TEXT`` are passed over, and the sample ends where its
+    texts would exceed ``SAMPLE_BYTES``, so what the driver gets is bounded. Of
+    documents with the same id one is an example. Null labels and null ids are no
+    examples; without any example there is no model.
     """
+    order = F.xxhash64("doc_id")
     picked = (
         labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("y"))
         .where("doc_id is not null and y is not null").groupBy("doc_id").agg(F.min("y").alias("y"))
-        .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
+        .orderBy(order, "doc_id").limit(sample)
     )
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    upto = Window.orderBy(order, "doc_id").rowsBetween(Window.unboundedPreceding, 0)  # over the sample's rows alone
     some = (
-        docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-        .join(F.broadcast(picked), "doc_id").toPandas().sort_values(["doc_id", "text"])
+        texts.where(F.octet_length("text") <= SAMPLE_TEXT).join(F.broadcast(picked), "doc_id")
+        .groupBy("doc_id").agg(F.min(F.struct(F.xxhash64("text"), "text", "y")).alias("one")).select("doc_id", "one.text", "one.y")
+        .withColumn("bytes", F.sum(F.octet_length("text")).over(upto)).where(F.col("bytes") <= SAMPLE_BYTES)
+        .toPandas().sort_values(["doc_id", "text"])
     )
-    return fit(some["text"].fillna("").tolist(), some["y"].tolist()) if len(some) else None
+    return fit(some["text"].tolist(), some["y"].tolist()) if len(some) else None
 
 
 def score_block(model: Attention | None, texts: pa.Array) -> np.ndarray:
