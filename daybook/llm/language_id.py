@@ -20,6 +20,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -217,17 +218,28 @@ def fit(texts: list[str], languages: list[str], rounds: int = 6, seed: int = 7)
 def fit_sample(labelled: DataFrame, docs_per_language: int = SAMPLE_DOCS) -> Tagger | None:
     """Trains on at most ``docs_per_language`` rows (text, lang) of each language, those with the least hashes.
 
-    Rows without text or language are no examples; without any example there is no model.
+    Only the words that training reads leave the executors, and equal rows are one
+    example, so what the driver gets is bounded. Rows without text or language are
+    no examples; without any example there is no model.
     """
     rows = labelled.where("text is not null and lang is not null and text <> ''").select(
-        F.xxhash64("doc_id", "lang").alias("h"), F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text")
-    )
-    order = Window.partitionBy("lang").orderBy("h")
+        F.xxhash64("doc_id", "lang").alias("h"), F.xxhash64("text").alias("t"), F.col("lang").cast("string").alias("lang"),
+        F.col("text").cast("string").alias("text"),
+    )
+    order = Window.partitionBy("lang").orderBy("h", "t")
     picked = (  # row numbers up to a bound are cut in every task before the shuffle, so a hot language sends no more
-        rows.select("h", "lang").withColumn("r", F.row_number().over(order)).where(F.col("r") <= docs_per_language)
-        .select("h").distinct()
+        rows.select("h", "t", "lang").withColumn("r", F.row_number().over(order)).where(F.col("r") <= docs_per_language)
+        .select("h", "t").distinct()
     )
-    some = rows.join(F.broadcast(picked), "h", "left_semi").select("h", "lang", "text").toPandas()
+
+    def first_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words = [" ".join(m[0] for m in islice(WORDS.finditer(t.lower()), SAMPLE_WORDS)) for t in batch.column("text").to_pylist()]
+            yield pa.record_batch([batch.column("h"), batch.column("lang"), pa.array(words, pa.string())], ["h", "lang", "text"])
+
+    some = rows.join(F.broadcast(picked), ["h", "t"], "left_semi").select("h", "lang", "text").mapInArrow(
+        first_words, "h long, lang string, text string"
+    ).distinct().toPandas()
     some = some.sort_values(["h", "lang", "text"])
     return fit(some["text"].tolist(), some["lang"].tolist()) if len(some) else None
 
