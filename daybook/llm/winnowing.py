@@ -128,7 +128,8 @@ def edited_fingerprints(docs: DataFrame, k: int = K, window: int = WINDOW) -> Da
     dealt to ranges of doc_id with one shuffle of the texts; the first document
     of each range also visits the range before it, so that each has its
     follower beside it. Ranges come from quantiles over all ids, and their
-    number follows the session's shuffle partitions.
+    number follows the session's shuffle partitions; an id that fills several
+    ranges, and the rows without id, are cut into ranges of the text's hash.
     """
     spark = docs.sparkSession
     docs = docs.select(
@@ -136,33 +137,48 @@ def edited_fingerprints(docs: DataFrame, k: int = K, window: int = WINDOW) -> Da
     )
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     n = 2 * parts
-    cuts = docs.select(F.percentile_approx("doc_id", [i / n for i in range(1, n)], max(10000, 20 * n))).first()[0]
-    cuts = np.unique(np.array(cuts or [], np.int64))  # range 0 holds the ids up to the first cut
+    quantiles = F.percentile_approx("doc_id", [i / n for i in range(1, n)], max(10000, 20 * n))
+    rows, known, found = docs.select(F.count("*"), F.count("doc_id"), quantiles).first()
+    if not rows:
+        return spark.createDataFrame([], _EDITED)
+    ids, times = np.unique(np.array(found or [], np.int64), return_counts=True)
+    often = times > 1
+    cuts = np.union1d(ids, ids[often] - 1)  # range 1 holds the ids up to the first cut, range 0 the rows without id
+    split = np.ones(len(cuts) + 2, np.int64)
+    split[np.searchsorted(cuts, ids[often]) + 1] = times[often] + 1
+    split[0] = max(1, -(-n * (rows - known) // rows))
+    base = np.cumsum(split) - split
+    digest = F.xxhash64("text") if (split > 1).any() else F.lit(0).cast("long")
+    key = [F.coalesce("doc_id", F.lit(0)), F.col("doc_id").isNull(), digest]
+
+    def ranges(id_: pd.Series, null: pd.Series, h: pd.Series) -> np.ndarray:
+        at = np.where(null.to_numpy(bool), 0, np.searchsorted(cuts, id_.to_numpy(np.int64), "left") + 1)
+        share = (h.to_numpy(np.float64) + 2.0**63) / 2.0**64  # smaller hashes come first, so in the higher range
+        return base[at] + split[at] - 1 - np.minimum((share * split[at]).astype(np.int64), split[at] - 1)
 
     @F.pandas_udf("int")
-    def range_of(ids: pd.Series) -> pd.Series:
-        at = np.searchsorted(cuts, ids.fillna(0).to_numpy(np.int64), "left") + 1
-        return pd.Series(np.where(ids.isna().to_numpy(), 0, at).astype(np.int32))
+    def range_of(id_: pd.Series, null: pd.Series, h: pd.Series) -> pd.Series:
+        return pd.Series(ranges(id_, null, h).astype(np.int32))
 
     first = (
-        docs.select("doc_id", range_of("doc_id").alias("bucket")).groupBy("bucket").agg(F.max("doc_id").alias("top"))
-        .orderBy("bucket").collect()
+        docs.select(range_of(*key).alias("bucket"), key[0].alias("id"), digest.alias("h"))
+        .groupBy("bucket").agg(F.max(F.struct("id", F.bitwise_not("h").alias("h"))).alias("top")).orderBy("bucket").collect()
     )  # a row for each range
-    if not first:
-        return spark.createDataFrame([], _EDITED)
-    # the follower of a range's last document is the first of the range below; below the lowest is the highest
-    above = {r.bucket: first[(i + 1) % len(first)].bucket for i, r in enumerate(first)}
-    tops = F.create_map(*[F.lit(x) for r in first for x in (r.bucket, r.top)])
-    hosts = F.create_map(*[F.lit(x) for pair in above.items() for x in pair])
-
-    def place(bucket, guest):
-        return F.struct(bucket.alias("bucket"), F.lit(guest).alias("guest"))
-
-    own = F.col("own")
-    placed = docs.withColumn("own", range_of("doc_id")).withColumn(
-        "places",
-        F.when(F.col("doc_id").eqNullSafe(tops[own]), F.array(place(own, False), place(hosts[own], True)))
-        .otherwise(F.array(place(own, False))),
+    tops, hashes, hosts = (np.zeros(split.sum(), np.int64) for _ in range(3))
+    for i, r in enumerate(first):
+        # the follower of a range's last document is the first of the range below; below the lowest is the highest
+        tops[r.bucket], hashes[r.bucket], hosts[r.bucket] = r.top.id, ~r.top.h, first[(i + 1) % len(first)].bucket
+
+    @F.pandas_udf("bucket int, host int")
+    def place_of(id_: pd.Series, null: pd.Series, h: pd.Series) -> pd.DataFrame:
+        bucket = ranges(id_, null, h)
+        top = (id_.to_numpy(np.int64) == tops[bucket]) & (h.to_numpy(np.int64) == hashes[bucket])
+        return pd.DataFrame({"bucket": bucket.astype(np.int32), "host": np.where(top, hosts[bucket], -1).astype(np.int32)})
+
+    own = F.struct(F.col("at.bucket").alias("bucket"), F.lit(False).alias("guest"))
+    visit = F.struct(F.col("at.host").alias("bucket"), F.lit(True).alias("guest"))
+    placed = docs.withColumn("at", place_of(*key)).withColumn(
+        "places", F.when(F.col("at.host") >= 0, F.array(own, visit)).otherwise(F.array(own))
     )
     return (
         placed.select("doc_id", "text", F.explode("places").alias("p")).select("p.bucket", "p.guest", "doc_id", "text")
