@@ -176,6 +176,31 @@ def test_fingerprints(spark, odd, nothing):
     assert set(a[: len(a) // 2 + 1].tolist()) & set(a[len(a) // 2 :].tolist())
 
 
+def test_fingerprints_of_hot_and_missing_ids(spark):
+    rng = np.random.default_rng(12)
+    ids = [None] * 40 + [7] * 50 + [(1 << 60) + i for i in range(40)]
+    rows = [(d, "".join(rng.choice(list("abc d"), 40 + i % 9))) for i, d in enumerate(ids)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    order = {(r.doc_id, r.text): r.h for r in docs.withColumn("h", F.xxhash64("text")).collect()}
+    rows.sort(key=lambda r: (r[0] is None, -(r[0] or 0), order[r]))
+    want = []
+    for i, (d, t) in enumerate(rows):
+        m = len(t) // 2
+        want.append((d, len(t), hashlib.sha256((t[: len(t) - m] + rows[(i + 1) % len(rows)][1][:m]).encode()).hexdigest()))
+    got = [(r.doc_id, r.n_chars, r.edited_sha256) for r in winnowing.edited_fingerprints(docs).collect()]
+    assert Counter(got) == Counter(want)
+
+
+def test_passage_twice_in_the_first_document_of_a_block(spark):
+    rng = np.random.default_rng(4)
+    fresh = lambda n: [f"w{x}" for x in rng.integers(0, 10**9, n)]
+    body, gap, schema = fresh(70), fresh(60), "doc_id long, text string"
+    one = spark.createDataFrame([(1, " ".join(body))], schema).coalesce(1)
+    two = spark.createDataFrame([(2, " ".join(body + gap + body))] * 3, schema).coalesce(1)
+    found = passages.fuzzy_passages(one.unionAll(two)).collect()
+    assert sorted((r.doc_id, r.partner_id, r.first_word, r.n_words) for r in found) == [(2, 1, 0, 70), (2, 1, 130, 70)]
+
+
 def test_passages(spark, odd, nothing):
     rng = np.random.default_rng(2)
     fresh = lambda n: [f"w{x}" for x in rng.integers(0, 10**9, n)]
@@ -240,10 +265,15 @@ def test_language_and_quality_held_out(spark, odd, nothing):
     assert {s.lang for s in language_id.predict(mixed, model, spans=True).first().spans} >= {"en", "de"}
     pred = language_id.predict(odd, model).collect()
     assert len(pred) == odd.count() and {r.lang_pred for r in pred if not r.n_words} == {"und"}
+    again = docs.where("doc_id < 300").withColumn("doc_id", F.lit(None).cast("long"))  # rows without id are told apart by text
+    bounded = language_id.fit_sample(again.unionAll(again), 5)
+    assert bounded.labels == sorted({r.lang for r in docs.where("doc_id < 300 and lang is not null and text <> ''").collect()})
     assert language_id.fit_sample(nothing) is None and language_id.predict(odd, None).where("lang_pred <> 'und'").count() == 0
     judge = quality.fit_sample(docs, labels)
     assert quality.score(odd, judge).where("score between 0 and 1").count() == odd.count()
     assert quality.accepted(odd, judge).columns == odd.columns and quality.score(nothing, judge).count() == 0
+    twice = quality.fit_sample(docs.unionAll(docs), labels)  # one example of each id
+    assert all(np.array_equal(getattr(twice, k), getattr(judge, k)) for k in quality.Attention.NAMES)
     assert quality.fit_sample(nothing, labels) is None and quality.accepted(odd, None).count() == odd.count()
 
 
@@ -267,7 +297,7 @@ def test_marginals_equal_one_pass():
         at += n
 
 
-def test_topk(spark):
+def test_topk(spark, monkeypatch):
     rng = np.random.default_rng(8)
     rows = [(i, [float(x) for x in rng.normal(size=5)]) for i in range(300)]
     rows += [(300, None), (350, [None, 1.0, 1.0, 1.0, 1.0]), (400, [float("nan")] * 5), (450, [float("inf")] * 5), (None, [1.0] * 5)]
@@ -281,6 +311,10 @@ def test_topk(spark):
             want += [(q, k + 1, i, -s) for k, (s, i) in enumerate(scored)]
     assert got == sorted(want)
     assert topk.top_k(spark.createDataFrame([], "vec_id long, embedding array<double>")).count() == 0
+    monkeypatch.setattr(topk, "BLOCK", 64)
+    monkeypatch.setattr(topk, "QUERIES", 4)
+    monkeypatch.setattr(topk, "TOGETHER", 2)
+    assert got == sorted(tuple(r) for r in topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect())
 
 
 def test_licenses(odd, nothing):
