@@ -2,7 +2,7 @@
 
 1. Seeds: hashes of every run of ``K`` words (ASCII lower case), winnowed to the
    least of each ``WINDOW`` consecutive ones, so any equal passage of
-   ``K + WINDOW - 1`` words shares a seed.
+   ``K + WINDOW - 1`` words shares a seed. Seeds of periodic text are numbered.
 2. Anchors: every seed occurrence is joined to the seed's first occurrence in
    document order. Within a block of text this happens before the shuffle, so a
    seed that a third of all documents hold sends one row a block. Links form a
@@ -18,6 +18,9 @@
 The document order is doc_id (nulls last), then a hash of the text; the first
 document of a passage keeps it. Rows equal in doc_id and text count as one
 document. Null texts are empty. Runs within one document are not looked for.
+A passage whose seeds have different first documents is found where two seeds of
+one of them lie within ``GAP``; the ends of a periodic text (one word or line again
+and again) may lack up to a window and a period of words.
 """
 
 from __future__ import annotations
@@ -35,6 +38,8 @@ from daybook.llm.common import LOWER, Rolling, blocks, flat, mix, window_minima,
 
 K, WINDOW = 5, 16
 MIN_WORDS, SIMILARITY = 50, 0.8
+#: Words in which the numbers of a periodic text's seeds go round.
+CYCLE = 16
 #: Words between two runs of a chain, at most, in either document.
 GAP = 48
 #: Cost of a word between two runs, in words gained.
@@ -45,6 +50,19 @@ MARGIN = 400
 _SEED = "seed long, o long, id long, pos int, byte int, o0 long, id0 long, pos0 int, byte0 int"
 
 
+def _numbered(seed: np.ndarray, o: np.ndarray, doc: np.ndarray, pos: np.ndarray) -> np.ndarray:
+    """Seeds, sorted by seed, document and place, that follow themselves closely are told apart by a number
+    that goes round in ``CYCLE`` words: so two periodic texts match place by place, not all places with the
+    first one, and a long one matches a shorter one's cycle again and again."""
+    near = np.zeros(len(seed), bool)
+    near[1:] = (seed[1:] == seed[:-1]) & (doc[1:] == doc[:-1]) & (o[1:] == o[:-1]) & (np.diff(pos) <= CYCLE)
+    at = np.arange(len(seed))
+    head = np.maximum.accumulate(np.where(near, 0, at))
+    period = np.maximum(np.append(np.diff(pos), 1)[head], 1) if len(seed) else at
+    nth = (at - head) % np.maximum(CYCLE // period, 2)
+    return np.where(nth > 0, mix(seed + nth.astype(np.uint64)), seed)
+
+
 def _seeds(k: int, window: int):
     """Seeds of a block. Those of later documents carry the block's first occurrence (o0, id0, pos0, byte0)."""
 
@@ -73,6 +91,9 @@ def _seeds(k: int, window: int):
             one = np.ones(len(seed), bool)  # rows equal in id and text bring the same occurrences
             one[1:] = (seed[1:] != seed[:-1]) | (doc[1:] != doc[:-1]) | (o[1:] != o[:-1]) | (pos[1:] != pos[:-1])
             seed, o, doc, pos, byte = seed[one], o[one], doc[one], pos[one], byte[one]
+            seed = _numbered(seed, o, doc, pos)
+            by = np.lexsort((pos, o, doc, seed))
+            seed, o, doc, pos, byte = seed[by], o[by], doc[by], pos[by], byte[by]
             new = np.ones(len(seed), bool)
             new[1:] = seed[1:] != seed[:-1]
             lead = np.maximum.accumulate(np.where(new, np.arange(len(seed)), 0))

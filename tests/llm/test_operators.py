@@ -201,6 +201,22 @@ def test_passage_twice_in_the_first_document_of_a_block(spark):
     assert sorted((r.doc_id, r.partner_id, r.first_word, r.n_words) for r in found) == [(2, 1, 0, 70), (2, 1, 130, 70)]
 
 
+@pytest.mark.parametrize("period", [1, 2, 3, 7, 20])
+def test_passages_in_periodic_text(spark, period):
+    rng = np.random.default_rng(period)
+    fresh = lambda n: [f"w{x}" for x in rng.integers(0, 10**9, n)]
+    line = fresh(period)
+    runs = {1: line * (20 // period), 2: (line * 70)[:70], 3: (line * 300)[2:300], 4: (line * 65)[:64]}
+    rows = [(d, " ".join(fresh(30) + run + fresh(30))) for d, run in runs.items()]
+    found = passages.fuzzy_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id for r in found} == {3, 4}
+    for d in (3, 4):
+        got = {w for r in found if r.doc_id == d for w in range(r.first_word, r.first_word + r.n_words)}
+        short = passages.WINDOW + period  # the ends of periodic text may lack so many words
+        want = set(range(30 + short, 30 + len(runs[d]) - short))
+        assert want <= got and got <= set(range(20, 40 + len(runs[d])))
+
+
 def test_passages(spark, odd, nothing):
     rng = np.random.default_rng(2)
     fresh = lambda n: [f"w{x}" for x in rng.integers(0, 10**9, n)]
