@@ -20,7 +20,8 @@ document of a passage keeps it. Rows equal in doc_id and text count as one
 document. Null texts are empty. Runs within one document are not looked for.
 A passage whose seeds have different first documents is found where two seeds of
 one of them lie within ``GAP``; the ends of a periodic text (one word or line again
-and again) may lack up to a window and a period of words.
+and again) may lack up to a window and a period of words. Periodic text with a period
+of more than ``CYCLE`` words is matched with the first document of its seeds only.
 """
 
 from __future__ import annotations
@@ -50,17 +51,41 @@ MARGIN = 400
 _SEED = "seed long, o long, id long, pos int, byte int, o0 long, id0 long, pos0 int, byte0 int"
 
 
-def _numbered(seed: np.ndarray, o: np.ndarray, doc: np.ndarray, pos: np.ndarray) -> np.ndarray:
-    """Seeds, sorted by seed, document and place, that follow themselves closely are told apart by a number
-    that goes round in ``CYCLE`` words: so two periodic texts match place by place, not all places with the
-    first one, and a long one matches a shorter one's cycle again and again."""
-    near = np.zeros(len(seed), bool)
-    near[1:] = (seed[1:] == seed[:-1]) & (doc[1:] == doc[:-1]) & (o[1:] == o[:-1]) & (np.diff(pos) <= CYCLE)
-    at = np.arange(len(seed))
-    head = np.maximum.accumulate(np.where(near, 0, at))
-    period = np.maximum(np.append(np.diff(pos), 1)[head], 1) if len(seed) else at
-    nth = (at - head) % np.maximum(CYCLE // period, 2)
-    return np.where(nth > 0, mix(seed + nth.astype(np.uint64)), seed)
+def _numbered(seed: np.ndarray, o: np.ndarray, doc: np.ndarray, at: np.ndarray, words: np.ndarray, k: int, first: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Seeds, sorted by seed, document and place, that follow themselves at one distance stand in periodic text.
+
+    They are told apart by a number that goes round in ``CYCLE`` words, so that two
+    periodic texts match place by place and a long one matches a shorter one's
+    cycle again and again. Those in periodic text of ``MIN_WORDS`` or more are told
+    apart from the others, so that a short one that comes first doesn't stand for
+    all. ``at`` is the place among all ``words``, ``first`` and ``end`` are the bounds of its row.
+    """
+    n = len(seed)
+    if not n:
+        return seed
+    gap = np.zeros(n, np.int64)
+    gap[1:] = np.where((seed[1:] == seed[:-1]) & (doc[1:] == doc[:-1]) & (o[1:] == o[:-1]), np.diff(at), 0)
+    gap[(gap < 0) | (gap > CYCLE)] = 0
+    start = gap == 0
+    start[1:] |= (gap[:-1] > 0) & (gap[1:] != gap[:-1])
+    head = np.flatnonzero(start)
+    tail = np.append(head[1:], n) - 1
+    head, tail = head[tail > head], tail[tail > head]
+    period, low, high = gap[head + 1], at[head], at[tail] + k
+    for _ in range(2 * CYCLE):  # the period goes on beyond the outer seeds, by less than a window and a period
+        more = (low > first[head]) & (words[low - 1] == words[low - 1 + period])
+        low = low - more
+        more = high < end[head]
+        more[more] = words[high[more]] == words[high[more] - period[more]]
+        high = high + more
+    size = tail - head + 1
+    run = np.repeat(np.arange(len(head)), size)
+    nth = np.arange(len(run)) - np.repeat(np.cumsum(size) - size, size)
+    where = head[run] + nth
+    number = nth % np.maximum(CYCLE // period, 2)[run] + np.where(high - low >= MIN_WORDS, 1 << 16, 0)[run]
+    out = seed.copy()
+    out[where] = np.where(number > 0, mix(seed[where] + number.astype(np.uint64)), seed[where])
+    return out
 
 
 def _seeds(k: int, window: int):
@@ -87,11 +112,11 @@ def _seeds(k: int, window: int):
             o = batch.column("o").to_numpy()[row]
             doc = batch.column("id").to_numpy()[row]
             by = np.lexsort((pos, o, doc, seed))
-            seed, o, doc, pos, byte = seed[by], o[by], doc[by], pos[by], byte[by]
+            seed, o, doc, pos, byte, chosen, row = seed[by], o[by], doc[by], pos[by], byte[by], chosen[by], row[by]
             one = np.ones(len(seed), bool)  # rows equal in id and text bring the same occurrences
             one[1:] = (seed[1:] != seed[:-1]) | (doc[1:] != doc[:-1]) | (o[1:] != o[:-1]) | (pos[1:] != pos[:-1])
             seed, o, doc, pos, byte = seed[one], o[one], doc[one], pos[one], byte[one]
-            seed = _numbered(seed, o, doc, pos)
+            seed = _numbered(seed, o, doc, chosen[one], words, k, first[row[one]], first[row[one] + 1])
             by = np.lexsort((pos, o, doc, seed))
             seed, o, doc, pos, byte = seed[by], o[by], doc[by], pos[by], byte[by]
             new = np.ones(len(seed), bool)
