@@ -14,6 +14,7 @@
 4. Alignment: each chain's two passages are fetched, extended word by word along
    the outer runs while they agree, and aligned; a chain of at least
    ``MIN_WORDS`` words that agree in ``SIMILARITY`` or more of them is a passage.
+   A chain that agrees in fewer is taken apart: its longest parts that do are passages.
 
 The document order is doc_id (nulls last), then a hash of the text; the first
 document of a passage keeps it. Rows equal in doc_id and text count as one
@@ -270,6 +271,78 @@ def _extend(a: np.ndarray, b: np.ndarray, drop: int = 12) -> tuple[int, int]:
     return far, int(same[:far].sum())
 
 
+def _parts(a: np.ndarray, b: np.ndarray, runs: list, min_words: int, similarity: float) -> list[tuple[int, int, int, int, int]]:
+    """Passages (x, end of x, y, end of y, matches) in a chain that is none as a whole.
+
+    The chain is cut into stretches of equal words; between two runs, each goes on
+    as far as the words agree. Parts from one stretch to another that are long and
+    alike enough, and not within a longer such part, are passages; one whose
+    stretches two others hold is left out.
+    """
+    blocks, bridge = [], []  # (x, y, words); matches between a block and the one before
+
+    def add(x: int, y: int, same: np.ndarray) -> None:
+        edge = np.flatnonzero(np.diff(np.r_[False, same, False].astype(np.int8)))
+        for first, end in zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True):
+            blocks.append((x + first, y + first, end - first))
+            bridge.append(0)
+
+    at = None
+    for x, y, n in runs:
+        between = 0
+        if at:
+            far, _ = _extend(a[at[0] : x], b[at[1] : y])
+            add(*at, a[at[0] : at[0] + far] == b[at[1] : at[1] + far])
+            u, v = at[0] + far, at[1] + far
+            back, _ = _extend(a[u:x][::-1], b[v:y][::-1])
+            between = _common(a[u : x - back], b[v : y - back])
+            x, y, n = x - back, y - back, n + back
+        before = len(blocks)
+        add(x, y, a[x : x + n] == b[y : y + n])
+        if len(blocks) > before:
+            bridge[before] = between
+        at = x + n, y + n
+    if not blocks:
+        return []
+    x, y, n = np.array(blocks).T
+    hits = np.cumsum(n + bridge)  # up to a block's end
+    base = hits - n
+    good = []
+    for i in range(len(n)):
+        low = good[-1][1] + 1 if good else i
+        low = max(low, i)
+        words, partner = x[low:] + n[low:] - x[i], y[low:] + n[low:] - y[i]
+        fits = np.flatnonzero((words >= min_words) & (hits[low:] - base[i] >= similarity * np.maximum(words, partner)))
+        if len(fits):
+            part = i, low + int(fits[-1])
+            if len(good) > 1 and i <= good[-2][1] + 1:
+                good.pop()
+            good.append(part)
+    out = []
+    for i, j in good:
+        i, j = _trimmed(x, n, i, j, min_words)
+        out.append((int(x[i]), int(x[j] + n[j]), int(y[i]), int(y[j] + n[j]), int(hits[j] - base[i])))
+    return out
+
+
+def _trimmed(x: np.ndarray, n: np.ndarray, i: int, j: int, min_words: int) -> tuple[int, int]:
+    """A part's blocks without those at its ends that a ``_extend`` wouldn't reach, if it stays long enough."""
+    for _ in range(2):
+        gain, best, cut = 0, 0, j
+        for k in range(j, i, -1):
+            gain += int(n[k]) - 2 * int(x[k] - x[k - 1] - n[k - 1])
+            if gain < best and x[k - 1] + n[k - 1] - x[i] >= min_words:
+                best, cut = gain, k - 1
+        j = cut
+        gain, best, cut = 0, 0, i
+        for k in range(i, j):
+            gain += int(n[k]) - 2 * int(x[k + 1] - x[k] - n[k])
+            if gain < best and x[j] + n[j] - x[k + 1] >= min_words:
+                best, cut = gain, k + 1
+        i = cut
+    return i, j
+
+
 _FOUND = T.StructType([T.StructField(c, T.LongType()) for c in ("id", "o", "id0", "o0")] + [
     T.StructField(c, T.IntegerType()) for c in ("first_word", "n_words", "first_byte", "end_byte", "partner_word", "partner_words")
 ] + [T.StructField("similarity", T.DoubleType())])
@@ -302,12 +375,22 @@ def _align(min_words: int, similarity: float):
                 hits += more + most
                 words, partner = at[0] - x0 + left + right, at[1] - y0 + left + right
                 alike = hits / max(words, partner)
-                if words >= min_words and alike >= similarity:
+                if words < min_words:
+                    continue
+                if alike >= similarity:
+                    parts = [(x0 - left, at[0] + right, y0 - left, at[1] + right, hits)]
+                elif hits >= similarity * min_words:
+                    ends = [(x0 - left, y0 - left, left)] if left else []
+                    ends += [*runs.tolist(), (*at, right)] if right else runs.tolist()
+                    parts = _parts(a, b, ends, min_words, similarity)
+                else:
+                    parts = []
+                shift = cols["from_a"][i] - int(oa[i])
+                for x, xe, y, ye, same in parts:
                     keep.append(i)
-                    shift = cols["from_a"][i] - int(oa[i])
                     out.append((
-                        cols["x"][i] - left, words, int(sa[fa[i] + x0 - left]) + shift, int(ea[fa[i] + at[0] + right - 1]) + shift,
-                        cols["y"][i] - left, partner, alike,
+                        cols["x"][i] + x - x0, xe - x, int(sa[fa[i] + x]) + shift, int(ea[fa[i] + xe - 1]) + shift,
+                        cols["y"][i] + y - y0, ye - y, same / max(xe - x, ye - y),
                     ))
             keep = pa.array(keep, pa.int64())
             new = list(zip(*out, strict=True)) if out else [[] for _ in range(7)]

@@ -201,6 +201,21 @@ def test_passage_twice_in_the_first_document_of_a_block(spark):
     assert sorted((r.doc_id, r.partner_id, r.first_word, r.n_words) for r in found) == [(2, 1, 0, 70), (2, 1, 130, 70)]
 
 
+@pytest.mark.parametrize("between,second", [(26, 50), (30, 50), (40, 50), (30, 20)])
+def test_passages_with_other_words_between(spark, between, second):
+    rng = np.random.default_rng(between)
+    fresh = lambda n: [f"w{x}" for x in rng.integers(0, 10**9, n)]
+    rows, want = [], set()
+    for d in range(0, 40, 2):  # seeds differ from pair to pair
+        one, two = fresh(50 if second >= 50 else 60), fresh(second)
+        rows += [(i, " ".join(fresh(30) + one + fresh(between) + two + fresh(30))) for i in (d, d + 1)]
+        want.add((d + 1, d, 30, len(one)))
+        if second >= 50:
+            want.add((d + 1, d, 30 + len(one) + between, second))
+    found = passages.fuzzy_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r.doc_id, r.partner_id, r.first_word, r.n_words) for r in found} == want and all(r.similarity == 1 for r in found)
+
+
 @pytest.mark.parametrize("period", [1, 2, 3, 7, 12])
 def test_passages_in_periodic_text(spark, period):
     rng = np.random.default_rng(period)
