@@ -15,12 +15,17 @@
    the outer runs while they agree, and aligned; a chain of at least
    ``MIN_WORDS`` words that agree in ``SIMILARITY`` or more of them is a passage.
    A chain that agrees in fewer is taken apart: its longest parts that do are passages.
+5. Second round: a seed's first document may hold too little of a passage that two
+   later ones share. Where linked seeds are left outside the passages, every window
+   of ``MIN_WORDS`` words in all documents that hold those seeds one after another is
+   joined to the first document with the same window; steps 3 and 4 follow. So a run
+   of ``MIN_WORDS`` equal words is found whatever documents come before.
 
 The document order is doc_id (nulls last), then a hash of the text; the first
 document of a passage keeps it. Rows equal in doc_id and text count as one
 document. Null texts are empty. Runs within one document are not looked for.
-A passage whose seeds have different first documents is found where two seeds of
-one of them lie within ``GAP``; the ends of a periodic text (one word or line again
+A passage whose seeds have different first documents, and that has no ``MIN_WORDS``
+equal words on end, is found where two seeds of one of them lie within ``GAP``; the ends of a periodic text (one word or line again
 and again) may lack up to a window and a period of words. Periodic text with a period
 of more than ``CYCLE`` words is matched with the first document of its seeds only.
 """
@@ -49,7 +54,8 @@ GAP_COST = 0.15
 #: Bytes fetched beyond a chain's ends, to extend it.
 MARGIN = 400
 
-_SEED = "seed long, o long, id long, pos int, byte int, o0 long, id0 long, pos0 int, byte0 int"
+_SEED = "seed long, o long, id long, pos int, byte int, o0 long, id0 long, pos0 int, byte0 int, more boolean"
+_WINDOW = "seed long, o long, id long, pos int, byte int, last int, o0 long, id0 long, pos0 int, byte0 int, last0 int, open boolean"
 
 
 def _numbered(seed: np.ndarray, o: np.ndarray, doc: np.ndarray, at: np.ndarray, words: np.ndarray, k: int, first: np.ndarray, end: np.ndarray) -> np.ndarray:
@@ -90,7 +96,10 @@ def _numbered(seed: np.ndarray, o: np.ndarray, doc: np.ndarray, at: np.ndarray,
 
 
 def _seeds(k: int, window: int):
-    """Seeds of a block. Those of later documents carry the block's first occurrence (o0, id0, pos0, byte0)."""
+    """Seeds of a block. Those of later documents carry the block's first occurrence (o0, id0, pos0, byte0).
+
+    ``more`` tells whether the block's first document with the seed isn't the only one.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in blocks(batches):
@@ -130,7 +139,8 @@ def _seeds(k: int, window: int):
             ]
             for x, kind in ((o, pa.int64()), (doc, pa.int64()), (pos, pa.int32()), (byte, pa.int32())):
                 cols.append(pa.array(x[lead].astype(kind.to_pandas_dtype()), kind, mask=own))
-            yield pa.record_batch(cols, ["seed", "o", "id", "pos", "byte", "o0", "id0", "pos0", "byte0"])
+            cols.append(pa.array(~own[np.flatnonzero(np.r_[new[1:], True])][np.cumsum(new) - 1] if len(own) else own))
+            yield pa.record_batch(cols, ["seed", "o", "id", "pos", "byte", "o0", "id0", "pos0", "byte0", "more"])
 
     return run
 
@@ -413,22 +423,107 @@ def _keyed(docs: DataFrame, *more: str) -> DataFrame:
     )
 
 
-def _passages(docs: DataFrame, min_words: int, similarity: float) -> DataFrame:
-    keyed = _keyed(docs)
-    seeds = written(keyed.mapInArrow(_seeds(K, WINDOW), _SEED), "seeds")
-    order = Window.partitionBy("seed").orderBy("id", "o", "pos")
-    leads = seeds.where("o0 is null").withColumn("f", F.first(F.struct("id", "o", "pos", "byte")).over(order))
-    anchors = (
-        leads.where("id <> f.id or o <> f.o")
-        .select("id", "o", "pos", "byte", F.col("f.id").alias("id0"), F.col("f.o").alias("o0"), F.col("f.pos").alias("pos0"), F.col("f.byte").alias("byte0"))
-        .unionAll(seeds.where("o0 is not null").select("id", "o", "pos", "byte", "id0", "o0", "pos0", "byte0"))
-    )
+def _covered(spans: list | None, first: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Whether the words from ``first`` to ``end`` lie within spans, taken together where they touch."""
+    starts, ends = [-1], [-1]
+    for s in sorted((s["first"], s["end"]) for s in spans or ()):
+        if s[0] <= ends[-1]:
+            ends[-1] = max(ends[-1], s[1])
+        else:
+            starts.append(s[0])
+            ends.append(s[1])
+    return end <= np.array(ends)[np.searchsorted(starts, first, "right") - 1]
+
+
+def _rows_of(pos: np.ndarray, k: int, window: int, min_words: int) -> np.ndarray:
+    """Which of the ascending places stand in a row of seeds that ``min_words`` equal words may have."""
+    if not len(pos):
+        return np.zeros(0, bool)
+    new = np.r_[True, np.diff(pos) > window]
+    head = np.flatnonzero(new)
+    tail = np.r_[head[1:], len(pos)] - 1
+    return (pos[tail] - pos[head] + k + 2 * (window - 1) >= min_words)[np.cumsum(new) - 1]
+
+
+def _wanted(k: int, window: int, min_words: int):
+    """Seeds within ``min_words`` of a linked one that, with the words that it stands for, isn't covered."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = [np.zeros(0, np.int64)]
+            for seeds, spans in zip(batch.column("seeds").to_pylist(), batch.column("spans").to_pylist(), strict=True):
+                held = sorted((s["pos"], s["seed"], s["linked"]) for s in seeds)
+                pos, seed, linked = (np.array(v) for v in zip(*held, strict=True))
+                need = linked & _rows_of(pos, k, window, min_words)
+                need &= ~_covered(spans, np.maximum(pos - window + 1, 0), pos + k + window - 1)
+                if need.any():
+                    at = pos[need]
+                    near = np.searchsorted(at, pos - min_words) < np.searchsorted(at, pos + min_words, "right")
+                    out.append(seed[near].astype(np.int64))
+            yield pa.record_batch([pa.array(np.unique(np.concatenate(out)))], ["seed"])
+
+    return run
+
+
+def _windows(k: int, window: int, min_words: int):
+    """Windows of ``min_words`` words around rows of seeds, one of each in a block and those that aren't covered.
+
+    Those of later documents carry the block's first one, as seeds do. ``last`` is the byte of the last ``k`` words.
+    """
+    ahead = min_words - k
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in blocks(batches, "t"):
+            raw, off = flat(batch.column("t"))
+            start, end, first = word_spans(raw, off)
+            grams = Rolling(Rolling(LOWER[raw]).of(start, end)).grams(min_words)
+            chosen, free = [np.zeros(0, np.int64)], [np.zeros(0, bool)]
+            for i, (pos, spans) in enumerate(zip(batch.column("places").to_pylist(), batch.column("spans").to_pylist(), strict=True)):
+                pos = np.unique(np.array(pos, np.int64))
+                pos = pos[_rows_of(pos, k, window, min_words)]
+                size = int(first[i + 1] - first[i]) - min_words + 1
+                if size <= 0 or not len(pos):
+                    continue
+                edge = np.zeros(size + 1, np.int64)
+                np.add.at(edge, np.clip(pos - min_words + k, 0, size), 1)  # the windows that hold a seed
+                np.add.at(edge, np.clip(pos + 1, 0, size), -1)
+                at = np.flatnonzero(np.cumsum(edge[:-1]) > 0)
+                chosen.append(at + first[i])
+                free.append(~_covered(spans, at, at + min_words))
+            at, free = np.concatenate(chosen), np.concatenate(free)
+            row = np.searchsorted(first, at, "right") - 1
+            o, doc = batch.column("o").to_numpy()[row], batch.column("id").to_numpy()[row]
+            pos, key = at - first[row], grams[at]
+            by = np.lexsort((pos, o, doc, key))
+            key, o, doc, pos, at, row, free = (v[by] for v in (key, o, doc, pos, at, row, free))
+            new = np.ones(len(key), bool)
+            new[1:] = key[1:] != key[:-1]
+            lead = np.maximum.accumulate(np.where(new, np.arange(len(key)), 0))
+            own = (o[lead] == o) & (doc[lead] == doc)
+            again = np.zeros(len(key), bool)  # a window of periodic text follows itself closely: some cover all
+            again[1:] = (key[1:] == key[:-1]) & (doc[1:] == doc[:-1]) & (o[1:] == o[:-1]) & (np.diff(pos) < min_words)
+            turn = np.r_[again[1:], False] & again & (pos // min_words == np.r_[0, pos[:-1]] // min_words)
+            keep = np.flatnonzero(new | (free & ~turn))
+            byte, last = start[at] - off[row], start[at + ahead] - off[row]
+            cols = [
+                pa.array(key[keep].view(np.int64)), pa.array(o[keep]), pa.array(doc[keep]),
+                *(pa.array(v[keep].astype(np.int32)) for v in (pos, byte, last)),
+            ]
+            for v, kind in ((o, pa.int64()), (doc, pa.int64()), (pos, pa.int32()), (byte, pa.int32()), (last, pa.int32())):
+                cols.append(pa.array(v[lead[keep]].astype(kind.to_pandas_dtype()), kind, mask=own[keep]))
+            names = ["seed", "o", "id", "pos", "byte", "last", "o0", "id0", "pos0", "byte0", "last0", "open"]
+            yield pa.record_batch([*cols, pa.array(free[keep])], names)
+
+    return run
+
+
+def _aligned(anchors: DataFrame, texts: DataFrame, min_words: int, similarity: float) -> DataFrame:
+    """The passages of anchors, steps 3 and 4."""
     pair = ["id", "o", "id0", "o0"]
     chains = anchors.repartition(*pair).sortWithinPartitions(*pair, "pos", "pos0").mapInArrow(_chains(K), _CHAIN)
     chains = written(chains, "chains").withColumn("from_a", F.greatest(F.col("xb") - MARGIN, F.lit(0))).withColumn(
         "from_b", F.greatest(F.col("yb") - MARGIN, F.lit(0))
     )
-    texts = keyed.select("id", "o", F.col("text").cast("binary").alias("t"))
     # the passages are cut out as the join's rows are made, so a partner of many chains never travels whole
     both = (
         chains.join(texts, ["id", "o"])
@@ -441,6 +536,48 @@ def _passages(docs: DataFrame, min_words: int, similarity: float) -> DataFrame:
     ).distinct()
 
 
+def _passages(docs: DataFrame, min_words: int, similarity: float) -> DataFrame:
+    keyed = _keyed(docs)
+    texts = keyed.select("id", "o", F.col("text").cast("binary").alias("t"))
+    seeds = written(keyed.mapInArrow(_seeds(K, WINDOW), _SEED), "seeds")
+    every = Window.partitionBy("seed").orderBy("id", "o", "pos").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    anchor = ["seed", "id", "o", "pos", "byte", "id0", "o0", "pos0", "byte0"]
+    later = F.expr("id <> f.id or o <> f.o")
+    leads = (
+        seeds.where("o0 is null")
+        .withColumn("f", F.first(F.struct("id", "o", "pos", "byte")).over(every))
+        .withColumn("z", F.last(F.struct("id", "o")).over(every))
+        .withColumn("more", F.max("more").over(every))
+        .where("more or z.id <> f.id or z.o <> f.o")
+        .select(*anchor[:5], *[F.when(later, F.col(f"f.{c}")).alias(c + "0") for c in ("id", "o", "pos", "byte")])
+    )
+    links = written(leads.unionAll(seeds.where("o0 is not null").select(*anchor)), "links")  # every seed that two documents hold
+    found = written(_aligned(links.where("o0 is not null").drop("seed"), texts, min_words, similarity), "passages")
+
+    spans = found.groupBy("id", "o").agg(F.collect_list(F.expr("struct(first_word as first, first_word + n_words as end)")).alias("spans"))
+    held = links.groupBy("id", "o").agg(F.collect_list(F.expr("struct(pos, seed, o0 is not null as linked)")).alias("seeds"))
+    wanted = held.join(spans, ["id", "o"], "left").select("seeds", "spans").mapInArrow(_wanted(K, WINDOW, min_words), "seed long").distinct()
+    places = links.join(wanted, "seed", "left_semi").groupBy("id", "o").agg(F.collect_list("pos").alias("places"))
+    windows = places.join(spans, ["id", "o"], "left").join(texts, ["id", "o"]).select("id", "o", "places", "spans", "t")
+    windows = written(windows.mapInArrow(_windows(K, WINDOW, min_words), _WINDOW), "windows")
+    order = Window.partitionBy("seed").orderBy("id", "o", "pos")
+    more = ["id", "o", "pos", "byte", "last", "id0", "o0", "pos0", "byte0", "last0"]
+    runs = (
+        windows.where("o0 is null").withColumn("f", F.first(F.struct(*more[:5])).over(order))
+        .where("open").where(later).select(*more[:5], *[F.col(f"f.{c}").alias(c + "0") for c in more[:5]])
+        .unionAll(windows.where("o0 is not null").select(*more))
+    )
+    ahead = min_words - K  # a window is a run from its first seed to its last
+    ends = runs.select("id", "o", "id0", "o0", F.expr(
+        f"inline(array(struct(pos, byte, pos0, byte0), struct(pos + {ahead} as pos, last as byte, pos0 + {ahead} as pos0, last0 as byte0)))"
+    ))
+    both = found.unionAll(_aligned(ends, texts, min_words, similarity))
+    # a passage of the first round may be the part of one of the second that its seeds reached
+    line = Window.partitionBy("id", "o", "id0", "o0", F.expr("first_word - partner_word")).orderBy("first_word", F.desc("n_words"), "partner_words", "similarity")
+    reach = F.max(F.expr("first_word + n_words")).over(line.rowsBetween(Window.unboundedPreceding, -1))
+    return both.withColumn("reach", reach).where("reach is null or first_word + n_words > reach").drop("reach")
+
+
 def fuzzy_passages(docs: DataFrame, min_words: int = MIN_WORDS, similarity: float = SIMILARITY) -> DataFrame:
     """One row for each passage of a document that an earlier document holds too.
 

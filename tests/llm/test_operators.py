@@ -216,6 +216,36 @@ def test_passages_with_other_words_between(spark, between, second):
     assert {(r.doc_id, r.partner_id, r.first_word, r.n_words) for r in found} == want and all(r.similarity == 1 for r in found)
 
 
+@pytest.mark.parametrize("apart", [False, True])
+@pytest.mark.parametrize("held,whole", [(45, 55), (45, 60), (48, 60), (45, 70)])
+def test_passages_behind_a_document_with_less_of_it(spark, held, whole, apart):
+    rng = np.random.default_rng(held + whole)
+    fresh = lambda n: [f"w{x}" for x in rng.integers(0, 10**9, n)]
+    rows, want = [], set()
+    for d in range(0, 60, 3):
+        body, at = fresh(whole), d % (whole - held + 1)
+        rows.append((d, " ".join(fresh(30) + body[at : at + held] + fresh(30))))
+        rows += [(i, " ".join(fresh(30) + body + fresh(30))) for i in (d + 1, d + 2)]
+        want.add((d + 2, d + 1, 30, whole))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    docs = docs.repartition(len(rows)) if apart else docs.coalesce(1)
+    found = passages.fuzzy_passages(docs).collect()
+    assert {(r.doc_id, r.partner_id, r.first_word, r.n_words) for r in found if r.doc_id % 3 == 2 and r.partner_id % 3} == want
+    assert all(r.n_words >= 50 and r.similarity >= 0.8 for r in found)
+
+
+@pytest.mark.parametrize("apart", [False, True])
+def test_passages_of_sentences_of_several_documents(spark, apart):
+    rng = np.random.default_rng(9)
+    fresh = lambda n: [f"w{x}" for x in rng.integers(0, 10**9, n)]
+    parts = [fresh(22) for _ in range(4)]
+    rows = [(d, " ".join(fresh(30) + p + fresh(30))) for d, p in enumerate(parts)]
+    rows += [(d, " ".join(fresh(30) + sum(parts, []) + fresh(30))) for d in (7, 8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = passages.fuzzy_passages(docs.repartition(8) if apart else docs.coalesce(1)).collect()
+    assert [(r.doc_id, r.partner_id, r.first_word, r.n_words) for r in found] == [(8, 7, 30, 88)]
+
+
 @pytest.mark.parametrize("period", [1, 2, 3, 7, 12])
 def test_passages_in_periodic_text(spark, period):
     rng = np.random.default_rng(period)
