@@ -3,7 +3,11 @@
 A text is cut into sentences at line ends and after ``.``, ``!`` or ``?`` that
 white space or the end follows; a sentence is normalised to ASCII lower case
 with every other run of characters than ``a-z0-9`` as one space. Normalised
-sentences that are known map to sentence identifiers. A rule is a sequence of
+sentences that are known map to sentence identifiers. A known sentence may be wrapped:
+it runs from the start of a line or sentence to the end of one, over any line ends
+and comment leaders between (punctuation, ``rem`` or ``dnl``), and may be cut at a
+full stop of its own (``v. 2.0``). Neighbours of a rule may also stand in one
+sentence. ``n_sentences`` counts the pieces of the cut. A rule is a sequence of
 identifiers; it matches where they stand next to each other among the text's
 known sentences. Rules are ordered: the first that matches is the text's
 ``license``, all that match are its ``licenses``.
@@ -87,17 +91,30 @@ def sentences(text: Column) -> Column:
     return F.filter(F.transform(F.split(plain, "\n"), lambda s: F.trim(s)), lambda s: s != "")
 
 
+def _phrases(known: dict[int, str], rules) -> dict[str, list[int]]:
+    """Identifiers by text: of the known sentences, and of a rule's neighbours without a sentence end between."""
+    runs = {rule[a:b] for _, rule in rules for a in range(len(rule)) for b in range(a + 2, len(rule) + 1)}
+    out = {" ".join(known[n] for n in run): list(run) for run in sorted(runs)}
+    return out | {text: [number] for number, text in known.items()}
+
+
 def scan_licenses(docs: DataFrame, known: dict[int, str] = SENTENCES, rules=RULES) -> DataFrame:
     """(doc_id, n_sentences, sentence_ids, license, licenses) of every document.
 
     ``sentence_ids`` and ``licenses`` are arrays in text order and rule order.
     """
-    ids = F.create_map(*[F.lit(x) for number, text in known.items() for x in (text, number)])
+    phrases = _phrases(known, rules)
+    ids = F.create_map(*[x for text, numbers in phrases.items() for x in (F.lit(text), F.array(*map(F.lit, numbers)))])
+    leader = "(?:(?:rem|dnl) )?"
+    longest = sorted(phrases, key=lambda t: (-len(t), t))
+    wrapped = f"\n{leader}(" + "|".join(t.replace(" ", f"(?: |\n{leader})") for t in longest) + ")(?=\n)"
+    lines = F.concat(F.lit("\n"), F.array_join("s", "\n"), F.lit("\n"))
+    joined = lambda t: F.regexp_replace(t, f"\n{leader}", " ")
     found = docs.select(
         F.col("doc_id").cast("long"), F.coalesce(sentences(F.col("text").cast("string")), F.array().cast("array<string>")).alias("s")
     ).select(
         "doc_id", F.size("s").cast("long").alias("n_sentences"),
-        F.filter(F.transform("s", lambda s: ids[s]), lambda n: n.isNotNull()).alias("sentence_ids"),
+        F.flatten(F.transform(F.regexp_extract_all(lines, F.lit(wrapped), F.lit(1)), lambda t: ids[joined(t)])).alias("sentence_ids"),
     )
     chain = F.concat(F.lit(","), F.array_join(F.col("sentence_ids").cast("array<string>"), ","), F.lit(","))
     # a text without known sentences, as most are, needs no rule

@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import textwrap
 from collections import Counter
 
 import numpy as np
@@ -384,6 +385,43 @@ def test_licenses(odd, nothing):
     assert out[0].n_sentences == 0 and out[0].license is None and licenses.scan_licenses(nothing).count() == 0
 
 
+NOTICES = {
+    "MIT": """The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS BE LIABLE.""",
+    "BSD-3-Clause": """Redistribution and use are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.
+3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.""",
+    "GPL-3.0-or-later": """This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.
+
+This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the GNU General Public License for more details.""",
+    "Apache-2.0": """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law, the software is distributed on an "AS IS" BASIS. See the License for the specific language governing permissions and limitations under the License.""",
+    "MPL-2.0": """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.""",
+}
+
+
+def test_licenses_of_wrapped_texts(spark):
+    rows, want = [], {}
+    for name, text in NOTICES.items():
+        for width in (10**6, 80, 72, 40):
+            for leader in ("", "# ", " * ", "// ", "! ", "REM ", "dnl "):
+                for end in ("\n", "\r\n"):
+                    lines = [w for line in text.split("\n") for w in textwrap.wrap(line, width) or [""]]
+                    want[len(rows)] = name
+                    rows.append((len(rows), end.join(["int main() {}", *(leader + w for w in lines), "x = 1"])))
+    rows.append((len(rows), "It says so: the above copyright notice\nand this permission notice shall be\nleft out."))
+    got = {r.doc_id: r for r in licenses.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {d: got[d].license for d in want} == want
+    assert all(got[d].licenses == ([name] if name[0] != "B" else [name, "BSD-2-Clause"]) for d, name in want.items())
+    assert not got[len(want)].licenses and not got[len(want)].sentence_ids
+
+
 @pytest.mark.parametrize("name", sorted(LLM_ORACLES))
 def test_query_equals_its_sql(spark, name):
     res = compare(spark, duckdb_connection(SF), name, LLM_QUERIES[name], LLM_ORACLES[name], SF)
