@@ -14,6 +14,7 @@
 4. Alignment: each chain's two passages are fetched, extended word by word along
    the outer runs while they agree, and aligned; a chain of at least
    ``MIN_WORDS`` words that agree in ``SIMILARITY`` or more of them is a passage.
+   A chain may be one seed; a short one is looked at with ``MIN_WORDS`` more on each side.
    A chain that agrees in fewer is taken apart: its longest parts that do are passages.
 5. Second round: a seed's first document may hold too little of a passage that two
    later ones share. Where linked seeds are left outside the passages, every window
@@ -216,8 +217,6 @@ def _chains(k: int):
         at_x, at_y = dict(zip(x.tolist(), xb.tolist(), strict=True)), dict(zip(y.tolist(), yb.tolist(), strict=True))
         for runs in chain(x.astype(np.int64), y.astype(np.int64), k):
             (x0, y0, _), (x1, y1, size) = runs[0], runs[-1]
-            if x1 + size - x0 <= k:
-                continue  # one seed alone, as two documents share by chance; passages of MIN_WORDS equal words share two
             yield (
                 *pair, x0, y0, at_x[x0], at_y[y0], at_x[x1 + size - k], at_y[y1 + size - k],
                 [v for a, b, n in runs for v in (a - x0, b - y0, n)],
@@ -385,9 +384,13 @@ def _align(min_words: int, similarity: float):
                 hits += more + most
                 words, partner = at[0] - x0 + left + right, at[1] - y0 + left + right
                 alike = hits / max(words, partner)
-                if words < min_words:
-                    continue
-                if alike >= similarity:
+                if words < min_words:  # the extension ends with its best; a passage may need more words of either side
+                    left, right = min(x0, y0, min_words), min(len(a) - at[0], len(b) - at[1], min_words)
+                    if at[0] - x0 + left + right < min_words:
+                        continue
+                    ends = [(x0 - left, y0 - left, left), *runs.tolist(), (*at, right)]
+                    parts = _parts(a, b, ends, min_words, similarity)
+                elif alike >= similarity:
                     parts = [(x0 - left, at[0] + right, y0 - left, at[1] + right, hits)]
                 elif hits >= similarity * min_words:
                     ends = [(x0 - left, y0 - left, left)] if left else []

@@ -247,6 +247,26 @@ def test_passages_of_sentences_of_several_documents(spark, apart):
     assert [(r.doc_id, r.partner_id, r.first_word, r.n_words) for r in found] == [(8, 7, 30, 88)]
 
 
+def test_passages_with_changed_words(spark):
+    rng = np.random.default_rng(11)
+    fresh = lambda n: [f"w{x}" for x in rng.integers(0, 10**6, n)]
+    rows, kind = [], {}
+    for size in (50, 80):
+        for kept in (80, 85, 90):
+            for _ in range(60):
+                body = fresh(size)
+                near = list(body)
+                for at in rng.choice(np.arange(1, size - 1), size * (100 - kept) // 100, replace=False):
+                    near[at] = "changed"
+                rows += [(len(rows) + i, " ".join(fresh(40) + b + fresh(40))) for i, b in enumerate((body, near))]
+                kind[len(rows) - 1] = size, kept
+    found = passages.fuzzy_passages(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    assert all(r.n_words >= 50 and r.similarity >= 0.8 and r.partner_id == r.doc_id - 1 for r in found)
+    recall = Counter(kind[d] for d in {r.doc_id for r in found})
+    least = {(50, 80): 0.5, (50, 85): 0.7, (50, 90): 0.85, (80, 80): 0.8, (80, 85): 0.9, (80, 90): 0.95}
+    assert all(recall[k] >= 60 * v for k, v in least.items()), recall
+
+
 @pytest.mark.parametrize("period", [1, 2, 3, 7, 12])
 def test_passages_in_periodic_text(spark, period):
     rng = np.random.default_rng(period)
