@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from daybook.llm import jaccard_join, language_id, licenses, mixing, passages, pieces, quality, repeats, topk, winnowing
+from daybook.llm import (
+    alignment, credentials, jaccard_join, language_id, licenses, mixing, passages, pieces, prefix_trie, quality, repeats, topk, winnowing,
+)
 from daybook.llm.common import id_remainder, read
 
 # Rows may be learned from unless the crc32 of the id's text leaves this remainder.
@@ -62,6 +64,18 @@ def op10_repeated_bytes(spark, sf_dir):
     return repeats.without_repeated_bytes(read(spark, sf_dir, "documents")).drop("kept")
 
 
+def op11_credentials(spark, sf_dir):
+    return credentials.span_digests(credentials.scan_credentials(read(spark, sf_dir, "documents")))
+
+
+def op12_prefix_trie(spark, sf_dir):
+    return prefix_trie.conversation_trie(read(spark, sf_dir, "conversations"))
+
+
+def op13_alignment(spark, sf_dir):
+    return alignment.alignment_scores(read(spark, sf_dir, "documents"))
+
+
 LLM_QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_quality": op2_quality,
@@ -73,6 +87,9 @@ LLM_QUERIES = {
     "op8_winnowing": op8_winnowing,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_repeated_bytes": op10_repeated_bytes,
+    "op11_credentials": op11_credentials,
+    "op12_prefix_trie": op12_prefix_trie,
+    "op13_alignment": op13_alignment,
 }
 
 _WORD = r"[^\x20\x09-\x0D]+"
@@ -125,4 +142,44 @@ SELECT doc_id, size, source_size, CAST(target AS DOUBLE) AS target,
 FROM o
 """,
     "op6_licenses": licenses.scan_sql(),
+    "op12_prefix_trie": """
+WITH t AS (
+  SELECT conv_id AS c, turn, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    sha256(concat(CAST(length(coalesce(role, '')) AS VARCHAR), ':', coalesce(role, ''), coalesce(text, ''))) AS id
+  FROM conversations WHERE conv_id IS NOT NULL
+), p AS (
+  SELECT *, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, substr(id, 1, 30)) - 1 AS pos FROM t
+), k AS (
+  SELECT c, c - c % 100 AS base, xor(list_reduce(list_concat([4294967295], list_transform(string_split(CAST(c AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+    lambda a, b: list_reduce(list_concat([xor(a, b)], [0, 0, 0, 0, 0, 0, 0, 0]), lambda u, v: xor(u >> 1, 3988292384 * (u & 1)))), 4294967295) % 6 AS h
+  FROM (SELECT DISTINCT c FROM p)
+), b AS (
+  SELECT k.*, least(h, coalesce(n, 0)) AS taken FROM k LEFT JOIN (SELECT c AS base, count(*) AS n FROM p GROUP BY c) USING (base)
+), r AS (
+  SELECT b.c, p.pos, p.id, length(p.text) AS chars FROM b JOIN p ON p.c = b.base AND p.pos < b.taken
+  UNION ALL
+  SELECT b.c, p.pos - b.h + b.taken, p.id, length(p.text) FROM b JOIN p ON p.c = b.c AND p.pos >= b.h
+), n AS (
+  SELECT c, pos + 1 AS depth, chars, string_agg(id, '') OVER (PARTITION BY c ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS path FROM r
+  UNION ALL
+  SELECT c, 0, 0, '' FROM k
+), l AS (
+  SELECT c, max(depth) AS len FROM n GROUP BY c
+), g AS (
+  SELECT path, depth, min(c) AS conv_id, count(*) AS n_convs, max(chars) AS chars,
+    coalesce(string_agg(CASE WHEN len = depth THEN CAST(c AS VARCHAR) END, ',' ORDER BY c), '') AS ends
+  FROM n JOIN l USING (c) GROUP BY path, depth
+), e AS (
+  SELECT g.*, up.conv_id AS parent_conv_id, up.path AS up FROM g
+  LEFT JOIN g AS up ON g.depth = up.depth + 1 AND substr(g.path, 1, 64 * (g.depth - 1)) = up.path
+), q AS (
+  SELECT e.*, (SELECT count(*) FROM e AS x WHERE x.up = e.path AND x.depth = e.depth + 1) AS n_children FROM e
+)
+SELECT q.conv_id, CAST(q.depth AS BIGINT) AS depth, q.parent_conv_id, q.n_convs, q.n_children,
+  CAST(sum(CASE WHEN d.n_children = 0 THEN 1 ELSE 0 END) AS BIGINT) AS n_leaves,
+  CAST(sum((d.n_convs - 1) * d.chars) AS BIGINT) AS saved_tokens, sha256(q.ends) AS ends_sha256
+FROM q JOIN n ON n.c = q.conv_id AND n.depth = q.depth
+JOIN (SELECT q.*, m.path AS prefix FROM q JOIN n AS m ON m.c = q.conv_id AND m.depth <= q.depth) AS d ON d.prefix = q.path
+GROUP BY q.conv_id, q.depth, q.parent_conv_id, q.n_convs, q.n_children, q.ends
+""",
 }
