@@ -286,6 +286,8 @@ def burst_trie(rows: DataFrame, capacity: int = CAPACITY) -> DataFrame:
         "rep", "k", "len", f"CAST({first} AS BIGINT) AS m", "CAST(0 AS BIGINT) AS d", "CAST(NULL AS BIGINT) AS pm",
         "CAST(array() AS array<struct<m:bigint,d:bigint>>) AS path", f"{n_reps > 1} AS several", f"{size > capacity} AS big",
     )
+    if size > capacity:
+        place = written(place, "trie-place")
     settled, heads, look = [], [], LOOK
     while True:
         settled.append(place.where("NOT (big AND several)"))
