@@ -47,8 +47,7 @@ def json_answers_sql(answer_col: str, path: str = ANSWER_PATH) -> str:
     """Text at ``path`` of the JSON in column ``answer_col``; NULL input, absent
     path, JSON null or malformed text give NULL; an array comes back as
     compact JSON text."""
-    c = sql_ident(answer_col)
-    return f"CASE WHEN {c} IS NOT NULL THEN get_json_object({c}, {sql_str(path)}) ELSE NULL END"
+    return f"get_json_object({sql_ident(answer_col)}, {sql_str(path)})"
 
 
 def code_flag_sql(answers_sql: str, code: str) -> str:
@@ -57,7 +56,7 @@ def code_flag_sql(answers_sql: str, code: str) -> str:
     The needle keeps its quotes, so ``"191"`` and an unquoted ``19`` do not match.
     """
     needle = sql_str('"' + code + '"')
-    return f"coalesce(CASE WHEN contains({answers_sql}, {needle}) THEN 1 ELSE 0 END, 0)"
+    return f"CASE WHEN contains({answers_sql}, {needle}) THEN 1 ELSE 0 END"
 
 
 def one_hot_sql(category_sql: str, value: str) -> str:
@@ -83,8 +82,7 @@ def code_flag(answers: str | Column, code: str) -> Column:
     """Flag over a column name, or over any string Column (e.g. ``json_answers``)."""
     if isinstance(answers, str):
         return F.expr(code_flag_sql(sql_ident(answers), code))
-    hit = answers.contains('"' + code + '"')
-    return F.coalesce(F.when(hit, F.lit(1)).otherwise(F.lit(0)), F.lit(0))
+    return F.when(answers.contains('"' + code + '"'), 1).otherwise(0)
 
 
 def one_hot(category: str | Column, value: str) -> Column:

@@ -2,8 +2,20 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterable, Mapping, Sequence
+from urllib.parse import unquote
+
 from pyspark.sql import SparkSession
 
+from daybook.functions.flags import sql_ident, sql_str
+from daybook.sources.readers import kept_schema
+
+# The folder name that stands for NULL in a partitioned layout.
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+#: Partitions that one ALTER TABLE statement adds or drops.
+PARTITIONS_AT_ONCE = 200
+
 
 def _quote(path: str) -> str:
     return path.replace("\\", "\\\\").replace("'", "\\'")
@@ -59,6 +71,104 @@ def partition_columns(spark: SparkSession, name: str) -> list[str]:
     return out
 
 
+def name_parts(name: str) -> list[str]:
+    """The parts of a table name, without their backticks."""
+    return [p[1:-1].replace("``", "`") if p.startswith("`") else p for p in re.findall(r"`(?:[^`]|``)*`|[^.`]+", name)]
+
+
+def two_part_name(spark: SparkSession, name: str) -> tuple[str, str]:
+    """(database, table) of a name of one, two or three parts in the built-in catalog."""
+    parts = name_parts(name)
+    return (parts[-2] if len(parts) > 1 else current_database(spark)), parts[-1]
+
+
+def quoted(*parts: str) -> str:
+    return ".".join(sql_ident(p) for p in parts)
+
+
+def table_info(spark: SparkSession, name: str, partition: str | None = None) -> dict[str, str]:
+    """What ``DESCRIBE TABLE EXTENDED`` tells of a table, or of one of its partitions (a PARTITION
+    clause): ``Location``, ``Type``, ``Provider`` and so on."""
+    rows = [tuple(r)[:2] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name} {partition or ''}").collect()]
+    section = "# Detailed Partition Information" if partition else "# Detailed Table Information"
+    rows = rows[[r[0] for r in rows].index(section) + 1 :]
+    end = next((i for i, r in enumerate(rows) if not r[0]), len(rows))
+    return dict(rows[:end])
+
+
+# -- partitions and their folders ---------------------------------------------------
+
+
+def partition_clause(values: Mapping[str, str | None]) -> str:
+    """``PARTITION (...)`` of values rendered as text; ``''`` and None are the NULL partition."""
+    return "PARTITION (" + ", ".join(f"{sql_ident(c)} = {sql_str(v) if v else 'NULL'}" for c, v in values.items()) + ")"
+
+
+def folder_values(folder: str) -> dict[str, str | None]:
+    """Partition values of a folder like ``a=1/b=x%2Fy``."""
+    pairs = [level.split("=", 1) for level in folder.split("/")]
+    return {unquote(c): None if v == NULL_PARTITION else unquote(v) for c, v in pairs}
+
+
+def _hadoop(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    fs, p = _hadoop(spark, path)
+    fs.delete(p, True)
+
+
+def partition_folders(spark: SparkSession, path: str, levels: int) -> list[str]:
+    """Partition folders below ``path``, relative to it: a listing, no job."""
+    fs, _ = _hadoop(spark, path)
+    found = fs.globStatus(spark._jvm.org.apache.hadoop.fs.Path(path + "/*=*" * levels)) or []
+    return sorted("/".join(f.getPath().toString().split("/")[-levels:]) for f in found if f.isDirectory())
+
+
+def partition_names(spark: SparkSession, name: str) -> set[str]:
+    """Partitions in the catalog, named like their folders."""
+    return {r[0] for r in spark.sql(f"SHOW PARTITIONS {name}").collect()}
+
+
+def _in_runs(clauses: Sequence[str]) -> Iterable[Sequence[str]]:
+    return (clauses[i : i + PARTITIONS_AT_ONCE] for i in range(0, len(clauses), PARTITIONS_AT_ONCE))
+
+
+def add_partitions(spark: SparkSession, name: str, values: Iterable[Mapping[str, str | None]], root: str | None = None, folders: Sequence[str] = ()) -> None:
+    """Add partitions that the catalog lacks: at their default folders, or at ``folders`` below ``root``."""
+    clauses = [partition_clause(v) for v in values]
+    if root:
+        clauses = [f"{c} LOCATION '{_quote(f'{root}/{f}')}'" for c, f in zip(clauses, folders, strict=True)]
+    for run in _in_runs(clauses):
+        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {' '.join(run)}")
+
+
+def drop_partitions(spark: SparkSession, name: str, folders: Sequence[str]) -> None:
+    """Drop partitions, named like their folders; a managed table's files go with them."""
+    for run in _in_runs([partition_clause(folder_values(f)) for f in folders]):
+        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {', '.join(run)}")
+
+
+def set_location(spark: SparkSession, name: str, path: str, partition: str = "") -> None:
+    spark.sql(f"ALTER TABLE {name} {partition} SET LOCATION '{_quote(path)}'")
+
+
+def point_partitions(spark: SparkSession, name: str, root: str, folders: Sequence[str]) -> list[str]:
+    """Let the partitions of ``folders`` be those below ``root``, each by one catalog call: any of them
+    is the old or the new one at every moment. Returns the places they had."""
+    have, old = partition_names(spark, name), []
+    for f in folders:
+        if f in have:
+            clause = partition_clause(folder_values(f))
+            old.append(table_info(spark, name, clause)["Location"])
+            set_location(spark, name, f"{root}/{f}", clause)
+    new = [f for f in folders if f not in have]
+    add_partitions(spark, name, [folder_values(f) for f in new], root, new)
+    return old
+
+
 def _repair_if_partitioned(spark: SparkSession, name: str) -> None:
     if partition_columns(spark, name):
         spark.sql(f"MSCK REPAIR TABLE {name}")
@@ -67,14 +177,20 @@ def _repair_if_partitioned(spark: SparkSession, name: str) -> None:
 def register_location(
     spark: SparkSession, name: str, location: str, fmt: str = "parquet", if_not_exists: bool = True
 ) -> None:
-    """Register existing files as an external table; schema (and partition
-    columns) are inferred from the files. Partition folders already there are
-    added to the catalog, otherwise a partitioned table would read empty. An
-    empty location raises ``UNABLE_TO_INFER_SCHEMA``."""
+    """Register existing files as an external table; schema and partition
+    columns are those kept with the files, or inferred from them. Partition
+    folders already there are added to the catalog, otherwise a partitioned table
+    would read empty. An empty location raises ``UNABLE_TO_INFER_SCHEMA``."""
     existed = if_not_exists and spark.catalog.tableExists(name)
+    kept = None if existed else kept_schema(spark, location)
+    columns, layout = "", ""
+    if kept:
+        schema, parts = kept
+        columns = " (" + ", ".join(f"{sql_ident(f.name)} {f.dataType.simpleString()}" for f in schema) + ")"
+        layout = f" PARTITIONED BY ({', '.join(sql_ident(p) for p in parts)})"
     spark.sql(
         "CREATE TABLE " + ("IF NOT EXISTS " if if_not_exists else "")
-        + f"{name} USING {fmt} LOCATION '{_quote(location)}'"
+        + f"{name}{columns} USING {fmt}{layout} LOCATION '{_quote(location)}'"
     )
     if not existed:
         _repair_if_partitioned(spark, name)

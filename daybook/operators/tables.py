@@ -13,11 +13,28 @@ from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from daybook.functions.flags import sql_ident
-from daybook.operators.catalog import drop_table, ensure_registered, partition_columns
+from daybook.operators.catalog import (
+    add_partitions,
+    delete_path,
+    drop_partitions,
+    drop_table,
+    partition_clause,
+    partition_columns,
+    partition_folders,
+    partition_names,
+    folder_values,
+    point_partitions,
+    quoted,
+    register_location,
+    set_location,
+    table_info,
+    two_part_name,
+)
+from daybook.sources.readers import keep_schema, read_path
 
 OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 
@@ -86,16 +103,20 @@ def append_by_name(df: DataFrame, name: str) -> None:
     clustered_for_write(align_to_table(df, name), partition_columns(df.sparkSession, name)).write.insertInto(name, overwrite=False)
 
 
-def _beside(name: str, tag: str) -> str:
+def _fresh(tag: str) -> str:
+    return f"{tag}_{uuid.uuid4().hex[:12]}"
+
+
+def _beside(spark: SparkSession, name: str, tag: str) -> str:
     """A new table name in the database of ``name``."""
-    *db, table = name.split(".")
-    return ".".join([*db, f"{table.strip('`')}__{tag}_{uuid.uuid4().hex[:12]}"])
+    db, table = two_part_name(spark, name)
+    return quoted(db, f"{table}__{_fresh(tag)}")
 
 
 @contextmanager
 def staged(df: DataFrame, name: str) -> Iterator[DataFrame]:
     """``df`` written to a table beside ``name`` and read back; the table and its files go at the end."""
-    stage = _beside(name, "stage")
+    stage = _beside(df.sparkSession, name, "stage")
     try:
         df.write.format("parquet").saveAsTable(stage)
         yield df.sparkSession.table(stage)
@@ -103,65 +124,175 @@ def staged(df: DataFrame, name: str) -> Iterator[DataFrame]:
         drop_table(df.sparkSession, stage)
 
 
-def create_or_replace(df: DataFrame, name: str, partition_by=None, fmt: str = "parquet") -> None:
-    """Create, or replace schema and all rows (every partition) of ``name``.
+def _save(df: DataFrame, path: str, parts: Sequence[str], fmt: str) -> None:
+    writer = clustered_for_write(df, parts).write.mode("overwrite").format(fmt).option("partitionOverwriteMode", "static")
+    (writer.partitionBy(*parts) if parts else writer).save(path)
 
-    An existing table is replaced by writing the new one, once, under another
-    name in the same database; only when it is complete the old one is dropped
-    and the new one takes its name. A job that fails, in its computation or in
-    the last file, leaves the old table as it was, and ``df`` may read the table
-    that it replaces. Between drop and rename, two catalog calls, the table is
-    absent.
-    """
-    spark = df.sparkSession
-    parts = _parts(partition_by)
 
-    def write(to: str) -> None:
-        writer = clustered_for_write(df, parts).write.mode("overwrite").format(fmt)
-        (writer.partitionBy(*parts) if parts else writer).saveAsTable(to)
+def _point(spark: SparkSession, name: str, path: str, parts: Sequence[str]) -> None:
+    """Let the table read the complete rows at ``path``: one catalog call, and one for each partition."""
+    if not parts:
+        set_location(spark, name, path)
+    else:
+        folders = partition_folders(spark, path, len(parts))
+        set_location(spark, name, path)  # of the folder for new partitions; those there have places of their own
+        point_partitions(spark, name, path, folders)
+        drop_partitions(spark, name, sorted(partition_names(spark, name) - set(folders)))
+    spark.catalog.refreshTable(name)
 
-    if not spark.catalog.tableExists(name):
-        return write(name)
-    new = _beside(name, "new")
+
+def _new_root(location: str) -> str:
+    """A folder beside a table's; the mark of an earlier replace gives way to the new one."""
+    return f"{location.rstrip('/').split('__new_')[0]}__{_fresh('new')}"
+
+
+def _swap_location(df: DataFrame, name: str, parts: Sequence[str], info: dict[str, str]) -> None:
+    """Replace all rows of a table that keeps its schema, by changing its place."""
+    spark, old = df.sparkSession, info["Location"]
+    new = _new_root(old)
+    try:
+        _save(df, new, parts, info["Provider"])
+    except BaseException:
+        delete_path(spark, new)
+        raise
+    _point(spark, name, new, parts)
+    if info["Type"] == "MANAGED":
+        delete_path(spark, old)
+        return
+    # an external table is also read by its path: the rows move there while the name reads the new folder
+    _save(spark.table(name), old, parts, info["Provider"])
+    _point(spark, name, old, parts)
+    delete_path(spark, new)
+
+
+def _swap_names(df: DataFrame, name: str, parts: Sequence[str], fmt: str, info: dict[str, str]) -> None:
+    """Replace a table by one of another schema, layout or format, by changing names."""
+    spark = df.sparkSession
+    table = quoted(*two_part_name(spark, name))
+    new, old = _beside(spark, name, "new"), _beside(spark, name, "old")
+    external = info["Type"] != "MANAGED"
+    root = _new_root(info["Location"])
+    try:
+        writer = clustered_for_write(df, parts).write.mode("overwrite").format(fmt)
+        writer = writer.option("path", root) if external else writer
+        (writer.partitionBy(*parts) if parts else writer).saveAsTable(new)
+    except BaseException:
+        drop_table(spark, new)
+        if external:
+            delete_path(spark, root)
+        raise
+    had = partition_columns(spark, table)
+    places = {f: table_info(spark, table, partition_clause(folder_values(f)))["Location"] for f in partition_names(spark, table)} if had else {}
+    spark.sql(f"ALTER TABLE {table} RENAME TO {old}")
     try:
-        write(new)
+        spark.sql(f"ALTER TABLE {new} RENAME TO {table}")
     except BaseException:
+        spark.sql(f"ALTER TABLE {old} RENAME TO {table}")
+        back = table_info(spark, table)["Location"]
+        for f, place in places.items():  # a managed table's folder has moved with its names
+            set_location(spark, table, place.replace(info["Location"], back, 1), partition_clause(folder_values(f)))
         drop_table(spark, new)
+        if external:
+            delete_path(spark, root)
         raise
-    drop_table(spark, name)
-    spark.sql(f"ALTER TABLE {new} RENAME TO {name}")
-    if parts:  # a catalog may still hold the partitions under the folder's first name
-        spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
+    drop_table(spark, old)
+    if external:
+        _save(spark.table(table), info["Location"], parts, fmt)
+        _point(spark, table, info["Location"], parts)
+        delete_path(spark, root)
+    elif parts:  # a catalog may still hold the partitions under the folder's first name
+        spark.sql(f"MSCK REPAIR TABLE {table} SYNC PARTITIONS")
+    spark.catalog.refreshTable(table)
 
 
-def replace_rows(df: DataFrame, name: str) -> None:
-    """Replace all rows of an unpartitioned table by ``df``, which may read it.
+def _same_layout(df: DataFrame, name: str, parts: Sequence[str], fmt: str, info: dict[str, str]) -> bool:
+    spark = df.sparkSession
+    have = [(f.name, f.dataType) for f in spark.table(name).schema]
+    want = [(f.name, f.dataType) for f in df.schema if f.name not in parts] + [(p, df.schema[p].dataType) for p in parts]
+    plain = info.get("Provider", "").lower() == fmt.lower() and "Num Buckets" not in info
+    return plain and have == want and partition_columns(spark, name) == list(parts)
+
+
+def create_or_replace(df: DataFrame, name: str, partition_by=None, fmt: str = "parquet") -> None:
+    """Create, or replace schema and all rows (every partition) of ``name``.
 
-    A managed table is swapped as in ``create_or_replace``. An external table
-    keeps its location: the rows are complete in a staging table before its files
-    are overwritten.
+    The new rows are written once, to a new folder. Only when they are complete
+    does an existing table take them: where schema, partitions and format stay,
+    its location changes (with partitions, one catalog call for each), so the
+    table is there at every moment, with its old or its new rows. Otherwise two
+    renames put a new table in its place; if the second fails, the old table gets
+    its name back. A job that fails leaves the old table as it was, and ``df`` may
+    read the table that it replaces. An external table stays external, at its
+    path: its name reads the new folder while the path is rewritten.
     """
     spark = df.sparkSession
-    df = align_to_table(df, name)
-    if spark.catalog.getTable(name).tableType == "MANAGED":
-        return create_or_replace(df, name)
-    with staged(df, name) as rows:
-        align_to_table(rows, name).write.insertInto(name, overwrite=True)
+    parts = _parts(partition_by)
+    if not spark.catalog.tableExists(name):
+        writer = clustered_for_write(df, parts).write.mode("overwrite").format(fmt)
+        return (writer.partitionBy(*parts) if parts else writer).saveAsTable(name)
+    info = table_info(spark, name)
+    if _same_layout(df, name, parts, fmt, info):
+        _swap_location(df, name, parts, info)
+    else:
+        _swap_names(df, name, parts, fmt, info)
+
+
+def replace_rows(df: DataFrame, name: str) -> None:
+    """Replace all rows of an unpartitioned table by ``df``, which may read it. Swapped in as in
+    ``create_or_replace``."""
+    info = table_info(df.sparkSession, name)
+    if "Num Buckets" in info:
+        with staged(align_to_table(df, name), name) as rows:
+            return align_to_table(rows, name).write.insertInto(name, overwrite=True)
+    _swap_location(align_to_table(df, name), name, [], info)
+
+
+#: Folder below a managed table's own for partitions written by an overwrite; readers of paths pass it over.
+SWAP = "_swap-"
+
+
+def _drop_swapped(spark: SparkSession, places: Sequence[str], levels: int) -> None:
+    """Delete the folders that partitions have left, and overwrite folders that are empty then."""
+    for place in places:
+        delete_path(spark, place)
+    for root in {p.rsplit("/", levels)[0] for p in places}:
+        if root.rsplit("/", 1)[-1].startswith(SWAP) and not partition_folders(spark, root, levels):
+            delete_path(spark, root)
 
 
 def overwrite_partitions(df: DataFrame, name: str) -> None:
     """Dynamic partition overwrite: partitions present in ``df`` are replaced,
     all others are kept; an empty ``df`` changes nothing. Columns by name; '' in a
     string partition column is stored as NULL. An unpartitioned table is one
-    partition: all its rows are replaced, by none if ``df`` is empty.
-
-    ``insertInto`` ignores a per-write overwrite-mode option, so the session
-    conf is switched for this one statement; other threads sharing the
-    session should not run table overwrites at the same moment."""
+    partition: all its rows are replaced, by none if ``df`` is empty. ``df`` may read
+    the partitions that it replaces.
+
+    A managed table's new partitions are written whole to a folder of their own
+    and then swapped in, each by one catalog call. Whenever the driver is lost,
+    each partition is the old or the new one, never absent; running the job again
+    completes it. External and bucketed tables keep their layout: Spark's own
+    dynamic overwrite moves the files, partition by partition (other threads of the
+    session should not write tables at that moment)."""
     spark = df.sparkSession
-    aligned = clustered_for_write(align_to_table(df, name), partition_columns(spark, name))
-    with session_conf(spark, OVERWRITE_MODE, "dynamic"):
-        aligned.write.insertInto(name, overwrite=True)
+    parts = partition_columns(spark, name)
+    if not parts:
+        return replace_rows(df, name)
+    aligned, info = align_to_table(df, name), table_info(spark, name)
+    if info["Type"] != "MANAGED" or "Num Buckets" in info:
+        with session_conf(spark, OVERWRITE_MODE, "dynamic"):
+            return clustered_for_write(aligned, parts).write.insertInto(name, overwrite=True)
+    root = f"{info['Location'].rstrip('/')}/{SWAP}{uuid.uuid4().hex[:12]}"
+    try:
+        _save(aligned, root, parts, info["Provider"])
+        folders = partition_folders(spark, root, len(parts))
+    except BaseException:
+        delete_path(spark, root)
+        raise
+    if not folders:
+        return delete_path(spark, root)
+    old = point_partitions(spark, name, root, folders)
+    spark.catalog.refreshTable(name)
+    _drop_swapped(spark, old, len(parts))
 
 
 def publish(df: DataFrame, name: str, partition_by: str | Sequence[str] = "date") -> str:
@@ -191,14 +322,16 @@ def create_table_as_select_if_absent(
 
 def _rows_at(spark: SparkSession, path: str, fmt: str) -> DataFrame | None:
     try:
-        return spark.read.format(fmt).load(path)
+        return read_path(spark, path, fmt)
     except AnalysisException:  # no such path, or no files in it
         return None
 
 
 def overwrite_path(df: DataFrame, path: str, fmt: str = "parquet", partition_by=None) -> None:
     """Replace everything at ``path`` (static overwrite, pinned as a writer
-    option so a session-wide dynamic mode cannot turn it into a partial one).
+    option so a session-wide dynamic mode cannot turn it into a partial one). With
+    partitions, the schema is kept beside the files, so that partition columns
+    come back with their types.
 
     Where the path holds rows, the new ones are completed in a staging table
     first: a computation that fails leaves the old rows, and ``df`` may read
@@ -206,11 +339,9 @@ def overwrite_path(df: DataFrame, path: str, fmt: str = "parquet", partition_by=
     parts = _parts(partition_by)
 
     def write(rows: DataFrame) -> None:
-        writer = (
-            clustered_for_write(rows, parts).write.mode("overwrite").format(fmt)
-            .option("partitionOverwriteMode", "static")
-        )
-        (writer.partitionBy(*parts) if parts else writer).save(path)
+        _save(rows, path, parts, fmt)
+        if parts:
+            keep_schema(rows, path, parts)
 
     if _rows_at(df.sparkSession, path, fmt) is None:
         return write(df)
@@ -233,8 +364,10 @@ def append_path(
 ) -> None:
     """Append files at ``path``; with ``name``, make sure the location is
     registered under that name and refreshed so readers by name see the new
-    files and partitions. The layout is that of the registered table, or of the
-    files at the path; another ``partition_by`` raises ``ValueError``."""
+    files and partitions. A name that is there already gets the partitions that
+    this append wrote, and no other is looked at. The layout is that of the
+    registered table, or of the files at the path; another ``partition_by`` raises
+    ``ValueError``."""
     spark = df.sparkSession
     have = None
     if name and spark.catalog.tableExists(name):
@@ -244,10 +377,22 @@ def append_path(
     parts = _parts(partition_by) if partition_by is not None else have or []
     if have is not None and parts != have:
         raise ValueError(f"{path} is partitioned by {have}, not by {parts}")
+    known = bool(name) and spark.catalog.tableExists(name)
+    seen = Observation()
+    if known and parts:  # the partitions written, found while they are written
+        spec = F.struct(*[F.col(p).cast("string").alias(p) for p in parts])
+        df = df.observe(seen, F.collect_set(spec).alias("specs"))
     writer = clustered_for_write(df, parts).write.mode("append").format(fmt)
     (writer.partitionBy(*parts) if parts else writer).save(path)
-    if name:
-        ensure_registered(spark, name, path, fmt)
+    if parts and have is None:
+        keep_schema(df, path, parts)
+    if not known:
+        if name:
+            register_location(spark, name, path, fmt, if_not_exists=False)
+        return
+    if parts:
+        add_partitions(spark, name, [dict(zip(parts, tuple(v), strict=True)) for v in seen.get["specs"]])
+    spark.catalog.refreshTable(name)
 
 
 def save_external(df: DataFrame, name: str, path: str, fmt: str = "parquet", partition_by=None) -> None:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from daybook.operators import catalog as cat
 from daybook.operators import tables as tb
 from daybook.operators.merge import merge_into
-from daybook.operators.pit import point_in_time_features, restrict_dates
+from daybook.operators.pit import point_in_time_features, restrict_dates, running_totals, totals_day
 from daybook.sources import preview, read_parquet, read_path, read_sql, read_table
 
 HIRE = "cl_count_of_hire_v1"
@@ -83,6 +83,40 @@ def daily_publish_merge(
     return shown
 
 
+def daily_features(
+    spark: SparkSession,
+    start: str,
+    end: str,
+    table: str,
+    totals_table: str,
+    population: str | DataFrame,
+    history: str | DataFrame,
+    features: Iterable[str] | None = None,
+    since: str | None = "2014-01-01",
+) -> None:
+    """One daily run on running totals: publish the features of ``[start, end)``, equal to those of the
+    full computation, but read only the history since the run before.
+
+    ``totals_table`` holds every entity's totals over the history before a day. It
+    is first advanced to ``start`` (built from all history on the first run), then
+    the window's own days are added for the features. A run can be repeated; a
+    window before the totals' day raises ``ValueError``. A row that arrives after
+    the totals have passed its date is refused: it counts in no later run. Drop the
+    totals table to count such rows; the next run builds it anew. ``since`` must
+    stay the same from run to run."""
+    pop, hist = _frame(spark, population), _frame(spark, history)
+    known = spark.catalog.tableExists(totals_table)
+    carried = spark.table(totals_table) if known else None
+    day = totals_day(carried) if known else None
+    if day and day > start:
+        raise ValueError(f"{totals_table} has passed {start}: it counts all days before {day}")
+    if day != start:
+        tb.create_or_replace(running_totals(hist, start, carried, since=since), totals_table)
+    new_days = hist.where(f"end_date >= DATE'{start}'")
+    df = point_in_time_features(pop, new_days, start, end, features, since=since, carried=spark.table(totals_table))
+    tb.publish(df, table, partition_by="date")
+
+
 def compute_replace(
     spark: SparkSession,
     start: str,

@@ -67,9 +67,12 @@ def pit_sql(
     where: str = "",
     start: str = POPULATION_START,
     end: str = POPULATION_END,
+    instants: bool = False,
 ) -> str:
     """The feature table, written the way the published job reads: inner
-    range join, group, left join back, zero fill."""
+    range join, group, left join back, zero fill. ``instants``: history ends at hour
+    ``employer % 24`` of its day, and the population's dates are at noon."""
+    same_day = " OR h.end_date = p.date AND h.employer % 24 < 12" if instants else ""
     aggs = ",\n       ".join(_agg_sql(f) for f in features)
     outs = ",\n       ".join(f"COALESCE(a.{f.name}, 0) AS {f.name}" for f in features)
     return f"""
@@ -77,7 +80,7 @@ WITH p AS ({population_sql(distinct, start, end)}),
      h AS ({history_sql(since)}),
      a AS (SELECT p.client_id, p.date,
        {aggs}
-       FROM h JOIN p ON h.employer = p.client_id AND h.end_date < p.date
+       FROM h JOIN p ON h.employer = p.client_id AND (h.end_date < p.date{same_day})
        GROUP BY p.client_id, p.date)
 SELECT * FROM (
 SELECT COALESCE(p.client_id, 0) AS client_id, p.date,
@@ -97,6 +100,7 @@ SELECTED_FEATURE_NAMES = (
 # overlapping rows differ.
 WINDOW_A = ("1998-01-01", "1998-04-01", "1996-01-01")
 WINDOW_B = ("1998-03-01", "1998-07-01", "1997-01-01")
+DAYS = ("1998-06-01", "1998-06-02", "1998-06-03", "1998-06-04", "1998-06-05")
 ONE_DAY = ("1998-06-01", "1998-06-02", "1996-01-01")
 
 _MERGE_ROWS = """
@@ -187,6 +191,17 @@ UNION ALL SELECT id, n + 100, name FROM c WHERE id % 4 = 0 OR id % 4 = 2 AND id
         "pit_features_prefix_sum": full,
         "pit_features_range_join": full,
         "pit_features_direct": full,
+        "pit_features_chunked": full,
+        "pit_features_instants": pit_sql(instants=True),
+        "daily_totals_runs": window_sql((DAYS[0], DAYS[-1], WINDOW_A[2])),
+        "replace_three_part_name": "SELECT * FROM customer WHERE c_nationkey >= 5",
+        "replace_external": "SELECT * FROM customer WHERE c_nationkey >= 5 UNION ALL SELECT * FROM customer WHERE c_nationkey >= 5",
+        "merge_unpartitioned_three_part": """
+SELECT c_custkey AS id, CASE WHEN c_custkey % 2 = 0 THEN c_nationkey + 100 ELSE c_nationkey END AS n FROM customer WHERE c_custkey % 3 <> 0
+UNION ALL SELECT c_custkey, c_nationkey + 100 FROM customer WHERE c_custkey % 3 = 0 AND c_custkey % 2 = 0""",
+        "path_text_partition": """
+SELECT o_orderkey, strftime(o_orderdate, '%Y-%m') AS date, 'string' AS kind FROM orders
+UNION ALL SELECT o_orderkey, strftime(o_orderdate, '%Y-%m'), 'string' FROM orders""",
         "pit_features_selected": pit_sql(select_features(SELECTED_FEATURE_NAMES)),
         "pit_features_corrected": pit_sql(CORRECTED_FEATURES),
         "features_positive_only": pit_sql(where="WHERE cl_count_of_hire_v1 > 0"),

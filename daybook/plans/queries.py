@@ -31,7 +31,7 @@ from daybook.operators.pit import (
 )
 from daybook.plans import fixtures as fx
 from daybook.plans import jobs
-from daybook.plans.oracle import ONE_DAY, SELECTED_FEATURE_NAMES, WINDOW_A, WINDOW_B
+from daybook.plans.oracle import DAYS, ONE_DAY, SELECTED_FEATURE_NAMES, WINDOW_A, WINDOW_B
 from daybook.session import shared_dir
 from daybook.sources import preview, read_parquet, read_path, read_sql, read_table
 
@@ -81,6 +81,19 @@ def pit_features_corrected(spark, sf_dir):
     return _features(spark, sf_dir, registry=CORRECTED_FEATURES)
 
 
+def pit_features_chunked(spark, sf_dir):
+    return _features(spark, sf_dir, method="chunked")
+
+
+def pit_features_instants(spark, sf_dir):
+    """TIMESTAMP population and history: every instant is a day of its own."""
+    orders = fx.read_table(spark, sf_dir, "orders")
+    pop = fx.population_from(orders, True).withColumn("date", F.expr("CAST(date AS TIMESTAMP) + make_interval(0, 0, 0, 0, 12)"))
+    hist = fx.history_from(orders).withColumn("end_date", F.expr("CAST(end_date AS TIMESTAMP) + make_interval(0, 0, 0, 0, CAST(pmod(employer, 24) AS INT))"))
+    rows = point_in_time_features(pop, hist, fx.POPULATION_START, fx.POPULATION_END, since=fx.HISTORY_SINCE, method="chunked")
+    return rows.withColumn("date", F.expr("CAST(date AS DATE)"))
+
+
 def features_positive_only(spark, sf_dir):
     return _features(spark, sf_dir).where(F.col("cl_count_of_hire_v1") > 0)
 
@@ -342,6 +355,53 @@ def external_partitioned_replace(spark, sf_dir):
     return read_path(spark, path).unionByName(spark.table(f"{db}.t"))
 
 
+def replace_three_part_name(spark, sf_dir):
+    t = "spark_catalog." + _scratch_db(spark, "replace3") + ".t"
+    tb.create_or_replace(_customer(spark, sf_dir).limit(0), t)
+    tb.create_or_replace(_customer(spark, sf_dir), t)
+    tb.create_or_replace(spark.table(t).where("c_nationkey >= 5"), t)
+    return spark.table(t)
+
+
+def replace_external(spark, sf_dir):
+    t = _scratch_db(spark, "replace_ext") + ".t"
+    path = shared_dir(spark, "replace_ext_files")
+    tb.save_external(_customer(spark, sf_dir).where("c_nationkey < 10"), t, path, partition_by="c_nationkey")
+    tb.create_or_replace(_customer(spark, sf_dir).where("c_nationkey >= 5"), t, partition_by="c_nationkey")
+    if cat.table_info(spark, t)["Type"] != "EXTERNAL":
+        raise AssertionError("the external table has become a managed one")
+    by_path = read_path(spark, path)
+    return spark.table(t).unionByName(by_path)
+
+
+def merge_unpartitioned_three_part(spark, sf_dir):
+    c = _customer(spark, sf_dir).selectExpr("c_custkey AS id", "c_nationkey AS n")
+    t = "spark_catalog." + _scratch_db(spark, "merge3") + ".t"
+    tb.create_table(c.where("id % 3 <> 0"), t)
+    merge_into(c.where("id % 2 = 0").selectExpr("id", "n + 100 AS n"), t, keys=("id",), update_cols=("n",))
+    return spark.table(t)
+
+
+def path_text_partition(spark, sf_dir):
+    """A date written as text comes back as text, by path and by name."""
+    db = _scratch_db(spark, "text_part")
+    path = shared_dir(spark, "text_part_files")
+    orders = fx.read_table(spark, sf_dir, "orders").selectExpr("o_orderkey", "date_format(o_orderdate, 'yyyy-MM') AS date")
+    tb.append_path(orders.where("o_orderkey % 2 = 0"), path, partition_by="date")
+    tb.append_path(orders.where("o_orderkey % 2 = 1"), path, f"{db}.t")
+    by_path, by_name = read_path(spark, path), spark.table(f"{db}.t")
+    return by_path.selectExpr("o_orderkey", "date", "typeof(date) AS kind").unionByName(by_name.selectExpr("o_orderkey", "date", "typeof(date) AS kind"))
+
+
+def daily_totals_runs(spark, sf_dir):
+    """Four daily runs on running totals."""
+    db = _scratch_db(spark, "totals")
+    pop, hist = fx.population(spark, sf_dir), fx.history(spark, sf_dir)
+    for start, end in zip(DAYS[:-1], DAYS[1:], strict=True):
+        jobs.daily_features(spark, start, end, f"{db}.features", f"{db}.totals", pop, hist, since=WINDOW_A[2])
+    return spark.table(f"{db}.features")
+
+
 def append_partitioned(spark, sf_dir):
     t = _scratch_db(spark, "append_part") + ".t"
     tb.create_table(_window(spark, sf_dir, WINDOW_A), t, partition_by="date")
@@ -463,6 +523,13 @@ QUERIES: dict[str, Query] = {
     "pit_features_one_day": pit_features_one_day,
     "pit_features_selected": pit_features_selected,
     "pit_features_corrected": pit_features_corrected,
+    "pit_features_chunked": pit_features_chunked,
+    "pit_features_instants": pit_features_instants,
+    "daily_totals_runs": daily_totals_runs,
+    "replace_three_part_name": replace_three_part_name,
+    "replace_external": replace_external,
+    "merge_unpartitioned_three_part": merge_unpartitioned_three_part,
+    "path_text_partition": path_text_partition,
     "features_positive_only": features_positive_only,
     "scan_parquet_project": scan_parquet_project,
     "scan_table": scan_table,

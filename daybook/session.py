@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Confs every daybook job wants. Shuffle partition count and memory are left
 # to the caller: they depend on cluster size and data volume.
@@ -68,3 +68,10 @@ def shared_dir(spark: SparkSession, name: str) -> str:
         root = tempfile.mkdtemp(prefix="daybook-")
         spark.sparkContext.setCheckpointDir(root)
     return f"{root.rstrip('/')}/daybook/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def cut_lineage(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to the shared folder and read back, for work that reads it several times."""
+    path = shared_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -3,9 +3,39 @@ and Catalyst pushes later filters and projections into the file scan."""
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import types as T
+
+#: Folder below a path that holds its schema; readers of the path pass it over.
+SCHEMA_FOLDER = "_schema"
+
+
+def keep_schema(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
+    """Keep ``df``'s schema with the files at ``path``. Folder names hold partition values as text alone,
+    so without it a string of digits or a date comes back as a number or a DATE."""
+    text = json.dumps({"schema": df.schema.jsonValue(), "partition_by": list(partition_by)})
+    rows = df.sparkSession.range(1).selectExpr(f"'{_quoted(text)}' AS value")
+    rows.write.mode("overwrite").text(f"{path.rstrip('/')}/{SCHEMA_FOLDER}")
+
+
+def kept_schema(spark: SparkSession, path: str) -> tuple[T.StructType, list[str]] | None:
+    """The schema and partition columns kept with the files at ``path``, if any."""
+    try:
+        row = spark.read.text(f"{path.rstrip('/')}/{SCHEMA_FOLDER}").first()
+    except AnalysisException:  # files of others
+        return None
+    if row is None:
+        return None
+    kept = json.loads(row[0])
+    return T.StructType.fromJson(kept["schema"]), kept["partition_by"]
+
+
+def _quoted(text: str) -> str:
+    return text.replace("\\", "\\\\").replace("'", "\\'")
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
@@ -14,8 +44,11 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_path(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """A table previously written to ``path``, read without the catalog."""
-    return spark.read.format(fmt).load(path)
+    """A table previously written to ``path``, read without the catalog. Partition columns have the
+    types they were written with where this library wrote them, inferred ones elsewhere."""
+    kept = kept_schema(spark, path)
+    reader = spark.read.format(fmt)
+    return (reader.schema(kept[0]) if kept else reader).load(path)
 
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:

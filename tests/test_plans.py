@@ -68,7 +68,32 @@ def test_merge_slice_uses_partition_filter(spark, tables):
 
 def test_history_is_reduced_to_the_population_below_the_union(spark, tables):
     df = compute_features(
-        spark, "1998-03-01", "1998-03-05", f"{tables}.active_clients", f"{tables}.outcomes", since="1996-01-01"
+        spark, "1998-03-01", "1998-03-05", f"{tables}.active_clients", f"{tables}.outcomes", since="1996-01-01",
+        reduce_history=True,
     )
     tree = df._jdf.queryExecution().optimizedPlan().toString()
     assert tree.index("Union") < tree.index("LeftSemi")
+
+
+@pytest.mark.parametrize("method", ["prefix_sum", "chunked"])
+def test_population_and_history_are_scanned_once(spark, tables, method):
+    df = compute_features(
+        spark, "1998-03-01", "1998-03-05", f"{tables}.active_clients", f"{tables}.outcomes", since="1996-01-01", method=method
+    )
+    if method == "prefix_sum":
+        tree = df._jdf.queryExecution().executedPlan().toString()
+        assert tree.count("FileScan") == 2 and tree.count("active_clients") == 1
+        assert "Join" not in tree
+    else:  # both were read into the sorted chunks, which alone are read again
+        tree = df._jdf.queryExecution().optimizedPlan().toString()
+        assert "active_clients" not in tree and "outcomes" not in tree
+
+
+def test_daily_run_reads_the_new_days_alone(spark, tables):
+    from daybook.operators.pit import running_totals
+
+    history = spark.table(f"{tables}.outcomes")
+    carried = running_totals(history, "1998-03-01", since="1996-01-01").persist()
+    plan = _plan(running_totals(history, "1998-03-02", carried, since="1996-01-01"))
+    assert "GreaterThanOrEqual(end_date,1998-03-01)" in plan and "LessThan(end_date,1998-03-02)" in plan
+    carried.unpersist()
