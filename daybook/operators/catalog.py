@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from urllib.parse import unquote
 
 from pyspark.sql import SparkSession
@@ -15,6 +16,8 @@ from daybook.sources.readers import kept_schema
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 #: Partitions that one ALTER TABLE statement adds or drops.
 PARTITIONS_AT_ONCE = 200
+#: Calls for single partitions that are under way together.
+CALLS_AT_ONCE = 8
 
 
 def _quote(path: str) -> str:
@@ -115,16 +118,29 @@ def _hadoop(spark: SparkSession, path: str):
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
+def at_once(call: Callable, items: Sequence) -> None:
+    """One catalog or file system call for each item, a few at a time: they wait for each other's
+    answers otherwise. The first failure is raised when the calls under way have ended."""
+    with ThreadPoolExecutor(CALLS_AT_ONCE) as pool:
+        for done in [pool.submit(call, x) for x in items]:
+            done.result()
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     fs, p = _hadoop(spark, path)
     fs.delete(p, True)
 
 
 def partition_folders(spark: SparkSession, path: str, levels: int) -> list[str]:
-    """Partition folders below ``path``, relative to it: a listing, no job."""
+    """Partition folders below ``path`` (which may be a pattern), relative to it: a listing, no job."""
+    return sorted({"/".join(f.split("/")[-levels:]) for f in partition_paths(spark, path, levels)})
+
+
+def partition_paths(spark: SparkSession, path: str, levels: int) -> list[str]:
+    """Partition folders below ``path``, whole."""
     fs, _ = _hadoop(spark, path)
     found = fs.globStatus(spark._jvm.org.apache.hadoop.fs.Path(path + "/*=*" * levels)) or []
-    return sorted("/".join(f.getPath().toString().split("/")[-levels:]) for f in found if f.isDirectory())
+    return [f.getPath().toString() for f in found if f.isDirectory()]
 
 
 def partition_names(spark: SparkSession, name: str) -> set[str]:
@@ -155,18 +171,13 @@ def set_location(spark: SparkSession, name: str, path: str, partition: str = "")
     spark.sql(f"ALTER TABLE {name} {partition} SET LOCATION '{_quote(path)}'")
 
 
-def point_partitions(spark: SparkSession, name: str, root: str, folders: Sequence[str]) -> list[str]:
+def point_partitions(spark: SparkSession, name: str, root: str, folders: Sequence[str]) -> None:
     """Let the partitions of ``folders`` be those below ``root``, each by one catalog call: any of them
-    is the old or the new one at every moment. Returns the places they had."""
-    have, old = partition_names(spark, name), []
-    for f in folders:
-        if f in have:
-            clause = partition_clause(folder_values(f))
-            old.append(table_info(spark, name, clause)["Location"])
-            set_location(spark, name, f"{root}/{f}", clause)
+    is the old or the new one at every moment."""
+    have = partition_names(spark, name)
+    at_once(lambda f: set_location(spark, name, f"{root}/{f}", partition_clause(folder_values(f))), [f for f in folders if f in have])
     new = [f for f in folders if f not in have]
     add_partitions(spark, name, [folder_values(f) for f in new], root, new)
-    return old
 
 
 def _repair_if_partitioned(spark: SparkSession, name: str) -> None:

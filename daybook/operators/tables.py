@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from daybook.functions.flags import sql_ident
 from daybook.operators.catalog import (
     add_partitions,
+    at_once,
     delete_path,
     drop_partitions,
     drop_table,
@@ -26,6 +27,7 @@ from daybook.operators.catalog import (
     partition_columns,
     partition_folders,
     partition_names,
+    partition_paths,
     folder_values,
     point_partitions,
     quoted,
@@ -251,13 +253,16 @@ def replace_rows(df: DataFrame, name: str) -> None:
 SWAP = "_swap-"
 
 
-def _drop_swapped(spark: SparkSession, places: Sequence[str], levels: int) -> None:
-    """Delete the folders that partitions have left, and overwrite folders that are empty then."""
-    for place in places:
-        delete_path(spark, place)
-    for root in {p.rsplit("/", levels)[0] for p in places}:
-        if root.rsplit("/", 1)[-1].startswith(SWAP) and not partition_folders(spark, root, levels):
-            delete_path(spark, root)
+def _drop_left(spark: SparkSession, table_root: str, new_root: str, folders: Sequence[str], levels: int) -> None:
+    """Delete the folders that the partitions of ``folders`` have left, and overwrite folders that are empty then."""
+    now = set(folders)
+    older = [p for p in partition_paths(spark, f"{table_root}/{SWAP}*", levels) if not p.startswith(f"{new_root}/")]
+    left, kept = set(), set()
+    for place in [*partition_paths(spark, table_root, levels), *older]:
+        (left if "/".join(place.rsplit("/", levels)[1:]) in now else kept).add(place)
+    roots_left, roots_kept = ({p.rsplit("/", levels)[0] for p in places} for places in (left, kept))
+    emptied = {r for r in roots_left - roots_kept if r.rsplit("/", 1)[-1].startswith(SWAP)}
+    at_once(lambda p: delete_path(spark, p), [*(p for p in left if p.rsplit("/", levels)[0] not in emptied), *emptied])
 
 
 def overwrite_partitions(df: DataFrame, name: str) -> None:
@@ -290,9 +295,9 @@ def overwrite_partitions(df: DataFrame, name: str) -> None:
         raise
     if not folders:
         return delete_path(spark, root)
-    old = point_partitions(spark, name, root, folders)
+    point_partitions(spark, name, root, folders)
     spark.catalog.refreshTable(name)
-    _drop_swapped(spark, old, len(parts))
+    _drop_left(spark, info["Location"].rstrip("/"), root, folders, len(parts))
 
 
 def publish(df: DataFrame, name: str, partition_by: str | Sequence[str] = "date") -> str:

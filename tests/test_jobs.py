@@ -73,3 +73,35 @@ def test_daily_job_rerun_is_idempotent(spark, db):
     once = (_rows(spark.table(f"{db}.pub")), _rows(spark.table(f"{db}.copy")))
     jobs.daily_publish_merge(spark, start, end, f"{db}.pub", f"{db}.copy", pop, hist, since=since)
     assert (_rows(spark.table(f"{db}.pub")), _rows(spark.table(f"{db}.copy"))) == once
+
+
+def test_daily_runs_on_totals_equal_the_full_computation(spark, db):
+    import pytest
+
+    from daybook.operators.pit import point_in_time_features, totals_day
+
+    pop, hist = fx.population(spark, SF_SMALL), fx.history(spark, SF_SMALL)
+    since, days = "1996-01-01", [f"1998-06-{d:02d}" for d in range(1, 9)]
+    pop = pop.unionByName(pop.limit(1).withColumn("date", F.expr(f"DATE'{days[5]}'")))
+    table, totals = f"{db}.f", f"{db}.totals"
+    windows = [(days[0], days[1]), (days[1], days[4]), (days[4], days[4 + 1]), (days[5], days[7])]
+    for start, end in windows:
+        jobs.daily_features(spark, start, end, table, totals, pop, hist, since=since)
+    full = point_in_time_features(pop, hist, days[0], days[-1], since=since)
+    assert _rows(spark.table(table)) == _rows(full) and full.count()
+    assert totals_day(spark.table(totals)) == days[5]
+    jobs.daily_features(spark, *windows[-1], table, totals, pop, hist, since=since)  # again
+    assert _rows(spark.table(table)) == _rows(full)
+    with pytest.raises(ValueError):
+        jobs.daily_features(spark, *windows[0], table, totals, pop, hist, since=since)
+
+    # a row that arrives after the totals passed its date is refused until they are built anew
+    client = pop.where(f"date = DATE'{days[5]}'").first().client_id
+    row = hist.limit(1).withColumns({"employer": F.lit(client).cast("long"), "end_date": F.expr("DATE'1998-01-01'"), "start_date": F.expr("DATE'1997-12-01'")})
+    more = hist.unionByName(row)
+    jobs.daily_features(spark, *windows[-1], table, totals, pop, more, since=since)
+    assert _rows(spark.table(table)) == _rows(full)
+    spark.sql(f"DROP TABLE {totals}")
+    jobs.daily_features(spark, *windows[-1], table, totals, pop, more, since=since)
+    anew = point_in_time_features(pop, more, *windows[-1], since=since)
+    assert _rows(spark.table(table).where(f"date >= DATE'{days[5]}'")) == _rows(anew) != _rows(full.where(f"date >= DATE'{days[5]}'"))

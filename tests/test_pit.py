@@ -169,3 +169,34 @@ def test_grouped_forms_agree_with_groupby_over_join(spark):
         F.count("*").alias("n"), F.sum("outcome_is_good").alias("g"), F.avg("outcome_is_good").alias("r")))
     for method in METHODS:
         assert _rows(pit_grouped(pop, hist, feats, method=method)) == brute, method
+
+
+def test_hot_population_key_is_emitted_in_runs(spark):
+    from daybook.operators import pit
+
+    pop = spark.range(10_000).selectExpr("DATE'2024-02-09' AS date", "1L AS client_id").unionByName(
+        _population(spark, [(D(2024, 2, 9), 2), (None, 1)])
+    )
+    out = point_in_time_features(pop, _history(spark, GOLDEN_HISTORY), "2024-02-01", "2024-03-01", FEATS)
+    rows = out.groupBy(*out.columns).count().collect()
+    assert sorted(tuple(r) for r in rows) == [(1, D(2024, 2, 9), 20_000, 10_000, 0.5, 10_000), (2, D(2024, 2, 9), 0, 0, 0.0, 1)]
+    runs = pit._copies(spark.range(3).selectExpr("id", f"id * {pit.COPIES} + 1 AS __k"))
+    assert sorted((r.id, r["count"]) for r in runs.groupBy("id").count().collect()) == [(i, i * pit.COPIES + 1) for i in range(3)]
+
+
+def test_instants_of_a_hot_entity_spread_over_chunks(spark, monkeypatch):
+    from daybook.operators import pit
+
+    instant = "TIMESTAMP'2024-02-01 00:00:00' + make_interval(0, 0, 0, 0, 0, 0, {})"
+    hist = spark.range(6000).selectExpr(
+        "IF(id % 6 = 0, id % 97, 1L) AS employer", "DATE'2024-01-01' AS start_date", f"{instant.format('id')} AS end_date",
+        "CAST(NULL AS STRING) AS contractor_recom_score_answer", "IF(id % 2 = 0, 'good', 'bad') AS outcome",
+    )
+    pop = spark.range(3000).selectExpr(f"{instant.format('2 * id')} AS date", "IF(id % 3 = 0, id % 97, 1L) AS client_id")
+    chunks, cut = [], pit.cut_lineage
+    monkeypatch.setattr(pit, "cut_lineage", lambda df, name: chunks.append(cut(df, name)) or chunks[-1])
+    got = point_in_time_features(pop, hist, "2024-02-01", "2024-03-01", FEATS, method="chunked")
+    want = point_in_time_features(pop, hist, "2024-02-01", "2024-03-01", FEATS, method="direct")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    sizes = [r["count"] for r in chunks[0].groupBy("__e", "__c").count().collect()]
+    assert max(sizes) < 0.5 * chunks[0].count()  # the hot entity has 7,000 of 9,000 rows
