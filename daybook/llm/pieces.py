@@ -19,6 +19,7 @@ No letter is normalised. Null texts encode as empty.
 from __future__ import annotations
 
 import hashlib
+import heapq
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daybook.llm.common import Rolling, blocks, mix
+from daybook.llm.common import blocks, mix, word_hashes
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"  # stands for a space, one is put before the text
@@ -35,6 +36,8 @@ KEPT_WORDS = 500_000
 _BASE = np.uint64(0xD1342543DE82EF95)
 #: Letters of equal-length words that advance together.
 LETTERS = 1 << 18
+#: Letters of a word from which on its merges are kept in a heap.
+LONG = 256
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, object]]:
@@ -195,7 +198,10 @@ class Pieces:
         """Merges the best pair of every word until none is left; result as of ``_best``."""
         n, size, wide = ids.shape
         length = np.ones((n, size), np.int64)  # of the piece that ends here; 0 where none does
-        if size > 1:
+        if size > LONG:
+            for i in range(n):
+                length[i] = self._merged_long(ids[i])
+        elif size > 1:
             rows = np.arange(n)
             while len(rows):
                 some = length[rows]
@@ -215,6 +221,37 @@ class Pieces:
                 length[rows, at] = both[k, at]
         return np.take_along_axis(ids, np.maximum(length - 1, 0)[:, :, None], 2)[:, :, 0], length
 
+    def _merged_long(self, ids: np.ndarray) -> np.ndarray:
+        """``_merged`` of one long word, its candidate pairs in a heap: near-linear in its letters."""
+        size, wide = ids.shape
+        table, scores = ids.tolist(), self.scores.tolist()
+        length, after = [1] * size, list(range(1, size + 1))  # the end of the piece behind the one that ends here
+        pairs: list[tuple[float, int, int, int]] = []
+
+        def pair(end: int) -> tuple[float, int, int, int] | None:
+            own = length[end]
+            if own > end:
+                return None
+            left = length[end - own]
+            if own + left > wide:
+                return None
+            piece = table[end][own + left - 1]
+            return (-scores[piece], end, own, left) if piece >= 0 else None
+
+        pairs = [p for p in map(pair, range(1, size)) if p]
+        heapq.heapify(pairs)
+        while pairs:
+            _, end, own, left = heapq.heappop(pairs)
+            if length[end] != own or length[end - own] != left:
+                continue  # one of the two has been merged since
+            length[end - own], length[end] = 0, own + left
+            if end >= own + left:
+                after[end - own - left] = end
+            for e in (end, after[end]):
+                if e < size and (new := pair(e)):
+                    heapq.heappush(pairs, new)
+        return np.array(length, np.int64)
+
     def _spelled(self, codes: np.ndarray, table: np.ndarray, merge: bool) -> tuple[np.ndarray, np.ndarray]:
         """Ids of equal-length words one after another, and how many each has."""
         ids, back = (self._merged if merge else self._best)(table)
@@ -274,7 +311,7 @@ class Pieces:
         cut[off[off < len(codes)]] = True
         start = np.flatnonzero(cut)
         size = np.diff(start, append=len(codes))
-        keys, first, word = np.unique(Rolling(codes).of(start, start + size), return_index=True, return_inverse=True)
+        keys, first, word = np.unique(word_hashes(codes, start, start + size), return_index=True, return_inverse=True)
         if len(kept.keys) > KEPT_WORDS:
             kept.__init__()
         new = np.flatnonzero(~kept.find(keys)[1])
