@@ -8,6 +8,8 @@ block of its own, so task memory is bounded by the longest text.
 
 from __future__ import annotations
 
+import gc
+import hashlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -31,14 +33,27 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written to the shared folder and read back: cuts lineage, survives lost executors."""
+def written(df: DataFrame, name: str, codec: str | None = None) -> DataFrame:
+    """``df`` written to the shared folder and read back: cuts lineage, survives lost executors.
+
+    ``codec`` is for tables that take much room; the session's own otherwise."""
     spark = df.sparkSession
     path = shared_dir(spark, name)
-    df.write.parquet(path)
+    (df.write.option("compression", codec) if codec else df.write).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let the driver drop the plans, broadcasts and shuffle files of finished work now.
+
+    They go when their last reference is collected, in Python and then in the JVM; a
+    driver with room left collects late, and holds them through many stages."""
+    gc.collect()
+    jvm = getattr(spark, "_jvm", None)  # a Connect session has none
+    if jvm is not None:
+        jvm.java.lang.System.gc()
+
+
 def id_remainder(mod: int):
     """crc32 of the id's text modulo ``mod``; a null id counts as the empty string."""
     return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % mod
@@ -163,6 +178,20 @@ class Rolling:
         return mix((self.sums[k:] - self.sums[:n]) * self.down[:n] + np.uint64(k))
 
 
+#: Letters from which on a word's hash is a digest.
+LONG_WORD = 256
+
+
+def word_hashes(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hashes of words. Polynomials modulo 2**64 are equal for some different words, such as those of two
+    letters in turns of 1, 2, 4, ... up to 1,024 letters and more, whatever the base; so long words get a
+    cryptographic digest."""
+    out = Rolling(raw).of(start, end)
+    for i in np.flatnonzero(end - start >= LONG_WORD).tolist():
+        out[i] = int.from_bytes(hashlib.blake2b(raw[start[i] : end[i]].tobytes(), digest_size=8).digest(), "little")
+    return out
+
+
 def window_minima(keys: np.ndarray, off: np.ndarray, window: int) -> np.ndarray:
     """Winnowing: positions of the least key of every ``window`` consecutive keys of a row,
     the rightmost among equals. ``off`` are the rows' offsets in ``keys``. A row with

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from daybook.llm.common import LOWER, Rolling, blocks, components, flat, mix, word_spans, written
+from daybook.llm.common import LOWER, blocks, components, flat, mix, release, word_hashes, word_spans, written
 
 #: At most so many frequent shingles are put last; only the order depends on it.
 FREQUENT = 100_000
@@ -52,7 +52,7 @@ _ROWS = T.StructType([
 def shingles(raw: np.ndarray, off: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
     """Hash of every shingle of a block and its row (not yet distinct)."""
     starts, ends, first = word_spans(raw, off)
-    words = Rolling(LOWER[raw]).of(starts, ends)
+    words = word_hashes(LOWER[raw], starts, ends)
     count = np.diff(first)
     row = np.repeat(np.arange(len(count)), count)
     h = np.zeros(len(words), np.uint64)
@@ -214,6 +214,8 @@ def jaccard_links(docs: DataFrame, width: int = 4, percent: int = 85) -> tuple[D
     texts = docs.select("uid", "text").where("text is not null")
 
     def linked(pairs: DataFrame, name: str) -> DataFrame:
+        pairs = written(pairs, name)  # the plans so far end here, and what they hold on the driver goes
+        release(docs.sparkSession)
         one = bits.select(F.col("uid").alias("a"), F.col("n").alias("na"), F.col("bits").alias("bits_a")).dropDuplicates(["a"])
         two = bits.select(F.col("uid").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("bits_b")).dropDuplicates(["b"])
         near = written(pairs.join(one, "a").join(two, "b").mapInArrow(_near(percent), "a long, b long"), name)

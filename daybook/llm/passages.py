@@ -37,12 +37,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from daybook.llm.common import LOWER, Rolling, blocks, flat, mix, window_minima, word_spans, written
+from daybook.llm.common import LOWER, Rolling, blocks, flat, mix, release, window_minima, word_hashes, word_spans, written
 
 K, WINDOW = 5, 16
 MIN_WORDS, SIMILARITY = 50, 0.8
@@ -54,6 +55,8 @@ GAP = 48
 GAP_COST = 0.15
 #: Bytes fetched beyond a chain's ends, to extend it.
 MARGIN = 400
+#: Bytes fetched behind a chain's last seed where fewer than ``K`` words end within two margins.
+LONG_MARGIN = 64 * MARGIN
 
 _SEED = "seed long, o long, id long, pos int, byte int, o0 long, id0 long, pos0 int, byte0 int, more boolean"
 _WINDOW = "seed long, o long, id long, pos int, byte int, last int, o0 long, id0 long, pos0 int, byte0 int, last0 int, open boolean"
@@ -107,7 +110,7 @@ def _seeds(k: int, window: int):
             raw, off = flat(batch.column("text"))
             start, end, first = word_spans(raw, off)
             count = np.diff(first)
-            words = Rolling(LOWER[raw]).of(start, end)
+            words = word_hashes(LOWER[raw], start, end)
             grams = np.zeros(max(len(words) - k + 1, 0), np.uint64)
             for i in range(k):
                 grams += mix(words[i : len(words) - k + 1 + i] + np.uint64(i)) * np.uint64(2 * i + 3)
@@ -257,6 +260,8 @@ def _chains(k: int):
 
 def _common(a: np.ndarray, b: np.ndarray) -> int:
     """Words that a best alignment of two short runs matches."""
+    if not len(a) or not len(b):
+        return 0
     if len(a) == len(b) and (a == b).mean() > 0.5:
         return int((a == b).sum())
     best = np.zeros(len(b) + 1, np.int64)
@@ -357,6 +362,30 @@ _FOUND = T.StructType([T.StructField(c, T.LongType()) for c in ("id", "o", "id0"
 ] + [T.StructField("similarity", T.DoubleType())])
 
 
+def _too_few(
+    a: tuple[np.ndarray, np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray, np.ndarray], n: np.ndarray,
+    min_words: int, similarity: float, drop: int = 12,
+) -> np.ndarray:
+    """Which chains of one run of ``n`` words can be no passage, all looked at together.
+
+    A side is (word hashes, index of the run's first word, bounds of the row: first
+    and end, as one array of two rows). A chain can be none if its extension ends
+    on both sides within ``min_words`` words, and the diagonal through it has too few
+    equal words in that many on each side: no part of it is long and alike enough.
+    """
+    (words_a, x, ends_a), (words_b, y, ends_b) = a, b
+    few, ended = n.copy(), np.ones(len(n), bool)
+    far = np.arange(min_words)
+    for i, j, step in ((x - 1, y - 1, -1), (x + n, y + n, 1)):
+        i, j = i[:, None] + step * far, j[:, None] + step * far
+        there = (i >= ends_a[0][:, None]) & (i < ends_a[1][:, None]) & (j >= ends_b[0][:, None]) & (j < ends_b[1][:, None])
+        same = there & (words_a[np.where(there, i, 0)] == words_b[np.where(there, j, 0)])
+        gain = np.cumsum(np.where(same, 1, np.where(there, -2, -4 * min_words)), axis=1)
+        ended &= (np.maximum.accumulate(np.maximum(gain, 0), axis=1) - gain > drop).any(axis=1)
+        few = few + same.sum(axis=1)
+    return ended & (few < similarity * min_words)
+
+
 def _align(min_words: int, similarity: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in blocks(blocks(batches, "a"), "b"):
@@ -364,15 +393,31 @@ def _align(min_words: int, similarity: float):
             for c in ("a", "b"):
                 raw, off = flat(batch.column(c))
                 start, end, first = word_spans(raw, off)
-                sides.append((Rolling(LOWER[raw]).of(start, end), start, end, first, off))
-            cols = {c: batch.column(c).to_pylist() for c in ("x", "y", "xb", "yb", "from_a", "from_b", "runs")}
+                sides.append((word_hashes(LOWER[raw], start, end), start, end, first, off))
+            (ha, sa, ea, fa, oa), (hb, sb, _, fb, ob) = sides
+            place = {c: batch.column(c).to_numpy().astype(np.int64) for c in ("xb", "yb", "from_a", "from_b")}
+            at_a = np.searchsorted(sa, oa[:-1] + place["xb"] - place["from_a"])  # the run's first word in the block
+            at_b = np.searchsorted(sb, ob[:-1] + place["yb"] - place["from_b"])
+            values, size = batch.column("runs").flatten().to_numpy().astype(np.int64), pc.list_value_length(batch.column("runs")).to_numpy()
+            first_value = np.cumsum(size) - size
+            single = np.flatnonzero(size == 3)
+            none = np.zeros(batch.num_rows, bool)
+            if len(single) and len(ha) and len(hb):
+                none[single] = _too_few(
+                    (ha, at_a[single], np.stack([fa[single], fa[single + 1]])), (hb, at_b[single], np.stack([fb[single], fb[single + 1]])),
+                    values[first_value[single] + 2], min_words, similarity,
+                )
+            cols = {c: batch.column(c).to_pylist() for c in ("x", "y", "from_a")}
             out, keep = [], []
-            for i in range(batch.num_rows):
-                (ha, sa, ea, fa, oa), (hb, sb, _, fb, ob) = sides
+            for i in np.flatnonzero(~none).tolist():
                 a, b = ha[fa[i] : fa[i + 1]], hb[fb[i] : fb[i + 1]]
-                x0 = int(np.searchsorted(sa[fa[i] : fa[i + 1]], oa[i] + cols["xb"][i] - cols["from_a"][i]))
-                y0 = int(np.searchsorted(sb[fb[i] : fb[i + 1]], ob[i] + cols["yb"][i] - cols["from_b"][i]))
-                runs = np.array(cols["runs"][i]).reshape(-1, 3) + [x0, y0, 0]
+                x0, y0 = int(at_a[i] - fa[i]), int(at_b[i] - fb[i])
+                runs = values[first_value[i] : first_value[i] + size[i]].reshape(-1, 3) + [x0, y0, 0]
+                # what was fetched may end within the last seed where its words are very long
+                runs[:, 2] = np.minimum(runs[:, 2], np.minimum(len(a) - runs[:, 0], len(b) - runs[:, 1]))
+                runs = runs[runs[:, 2] > 0]
+                if not len(runs):
+                    continue
                 hits, at = 0, None
                 for x, y, n in runs.tolist():
                     if at:
@@ -426,16 +471,16 @@ def _keyed(docs: DataFrame, *more: str) -> DataFrame:
     )
 
 
-def _covered(spans: list | None, first: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """Whether the words from ``first`` to ``end`` lie within spans, taken together where they touch."""
-    starts, ends = [-1], [-1]
-    for s in sorted((s["first"], s["end"]) for s in spans or ()):
-        if s[0] <= ends[-1]:
-            ends[-1] = max(ends[-1], s[1])
-        else:
-            starts.append(s[0])
-            ends.append(s[1])
-    return end <= np.array(ends)[np.searchsorted(starts, first, "right") - 1]
+def _covered(starts: np.ndarray, ends: np.ndarray, first: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Whether the words from ``first`` to ``end`` lie within the spans, taken together where they touch."""
+    if not len(starts):
+        return np.zeros(len(first), bool)
+    by = np.argsort(starts, kind="stable")
+    starts, reach = starts[by], np.maximum.accumulate(ends[by])
+    opens = np.flatnonzero(np.r_[True, starts[1:] > reach[:-1]])
+    reach = reach[np.r_[opens[1:], len(starts)] - 1]
+    at = np.searchsorted(starts[opens], first, "right") - 1
+    return (at >= 0) & (end <= reach[np.maximum(at, 0)])
 
 
 def _rows_of(pos: np.ndarray, k: int, window: int, min_words: int) -> np.ndarray:
@@ -448,22 +493,35 @@ def _rows_of(pos: np.ndarray, k: int, window: int, min_words: int) -> np.ndarray
     return (pos[tail] - pos[head] + k + 2 * (window - 1) >= min_words)[np.cumsum(new) - 1]
 
 
+def _lists(col: pa.Array) -> tuple[np.ndarray, dict[str, np.ndarray]]:
+    """The row of each struct of a list column, and the structs' fields; a null list is empty."""
+    size = pc.fill_null(pc.list_value_length(col), 0).to_numpy(zero_copy_only=False)
+    fields = col.flatten()
+    names = [f.name for f in fields.type]
+    return np.repeat(np.arange(len(col)), size), {c: fields.field(i).to_numpy(zero_copy_only=False) for i, c in enumerate(names)}
+
+
 def _wanted(k: int, window: int, min_words: int):
     """Seeds within ``min_words`` of a linked one that, with the words that it stands for, isn't covered."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = [np.zeros(0, np.int64)]
-            for seeds, spans in zip(batch.column("seeds").to_pylist(), batch.column("spans").to_pylist(), strict=True):
-                held = sorted((s["pos"], s["seed"], s["linked"]) for s in seeds)
-                pos, seed, linked = (np.array(v) for v in zip(*held, strict=True))
-                need = linked & _rows_of(pos, k, window, min_words)
-                need &= ~_covered(spans, np.maximum(pos - window + 1, 0), pos + k + window - 1)
-                if need.any():
-                    at = pos[need]
-                    near = np.searchsorted(at, pos - min_words) < np.searchsorted(at, pos + min_words, "right")
-                    out.append(seed[near].astype(np.int64))
-            yield pa.record_batch([pa.array(np.unique(np.concatenate(out)))], ["seed"])
+            row, seeds = _lists(batch.column("seeds"))
+            span_row, spans = _lists(batch.column("spans"))
+            if not len(row):
+                continue
+            # all documents on one line, further apart than anything reaches
+            pos = seeds["pos"].astype(np.int64)
+            step = int(max(pos.max(), spans["end"].max(initial=0))) + 2 * min_words + 2 * window + k
+            by = np.lexsort((pos, row))
+            base, pos, seed, linked = row[by] * step, pos[by], seeds["seed"][by], seeds["linked"][by].astype(bool)
+            at = base + pos
+            need = linked & _rows_of(at, k, window, min_words)
+            shift = span_row * step
+            need &= ~_covered(spans["first"] + shift, spans["end"] + shift, base + np.maximum(pos - window + 1, 0), at + k + window - 1)
+            left = at[need]
+            near = np.searchsorted(left, at - min_words) < np.searchsorted(left, at + min_words, "right")
+            yield pa.record_batch([pa.array(np.unique(seed[near].astype(np.int64)))], ["seed"])
 
     return run
 
@@ -479,7 +537,7 @@ def _windows(k: int, window: int, min_words: int):
         for batch in blocks(batches, "t"):
             raw, off = flat(batch.column("t"))
             start, end, first = word_spans(raw, off)
-            grams = Rolling(Rolling(LOWER[raw]).of(start, end)).grams(min_words)
+            grams = Rolling(word_hashes(LOWER[raw], start, end)).grams(min_words)
             chosen, free = [np.zeros(0, np.int64)], [np.zeros(0, bool)]
             for i, (pos, spans) in enumerate(zip(batch.column("places").to_pylist(), batch.column("spans").to_pylist(), strict=True)):
                 pos = np.unique(np.array(pos, np.int64))
@@ -492,7 +550,8 @@ def _windows(k: int, window: int, min_words: int):
                 np.add.at(edge, np.clip(pos + 1, 0, size), -1)
                 at = np.flatnonzero(np.cumsum(edge[:-1]) > 0)
                 chosen.append(at + first[i])
-                free.append(~_covered(spans, at, at + min_words))
+                held = np.array([(x["first"], x["end"]) for x in spans or ()], np.int64).reshape(-1, 2)
+                free.append(~_covered(held[:, 0], held[:, 1], at, at + min_words))
             at, free = np.concatenate(chosen), np.concatenate(free)
             row = np.searchsorted(first, at, "right") - 1
             o, doc = batch.column("o").to_numpy()[row], batch.column("id").to_numpy()[row]
@@ -524,15 +583,20 @@ def _aligned(anchors: DataFrame, texts: DataFrame, min_words: int, similarity: f
     """The passages of anchors, steps 3 and 4."""
     pair = ["id", "o", "id0", "o0"]
     chains = anchors.repartition(*pair).sortWithinPartitions(*pair, "pos", "pos0").mapInArrow(_chains(K), _CHAIN)
-    chains = written(chains, "chains").withColumn("from_a", F.greatest(F.col("xb") - MARGIN, F.lit(0))).withColumn(
+    chains = written(chains, "chains", "zstd")
+    release(anchors.sparkSession)
+    chains = chains.withColumn("from_a", F.greatest(F.col("xb") - MARGIN, F.lit(0))).withColumn(
         "from_b", F.greatest(F.col("yb") - MARGIN, F.lit(0))
     )
     # the passages are cut out as the join's rows are made, so a partner of many chains never travels whole
+    # and go on behind the last seed; further where its words, told by the spaces, are long
+    behind = f"CAST(substring(t, {{0}} + 1, {2 * MARGIN}) AS STRING)"
+    more = f"IF(length({behind}) - length(replace({behind}, ' ')) < {K}, {LONG_MARGIN}, {2 * MARGIN})"
     both = (
         chains.join(texts, ["id", "o"])
-        .withColumn("a", F.expr(f"substring(t, from_a + 1, xe - from_a + {2 * MARGIN})")).drop("t")
+        .withColumn("a", F.expr(f"substring(t, from_a + 1, xe - from_a + {more.format('xe')})")).drop("t")
         .join(texts.select(F.col("id").alias("id0"), F.col("o").alias("o0"), "t"), ["id0", "o0"])
-        .withColumn("b", F.expr(f"substring(t, from_b + 1, ye - from_b + {2 * MARGIN})")).drop("t")
+        .withColumn("b", F.expr(f"substring(t, from_b + 1, ye - from_b + {more.format('ye')})")).drop("t")
     )
     return both.select("id", "o", "id0", "o0", "x", "y", "xb", "yb", "from_a", "from_b", "runs", "a", "b").mapInArrow(
         _align(min_words, similarity), _FOUND
@@ -542,7 +606,7 @@ def _aligned(anchors: DataFrame, texts: DataFrame, min_words: int, similarity: f
 def _passages(docs: DataFrame, min_words: int, similarity: float) -> DataFrame:
     keyed = _keyed(docs)
     texts = keyed.select("id", "o", F.col("text").cast("binary").alias("t"))
-    seeds = written(keyed.mapInArrow(_seeds(K, WINDOW), _SEED), "seeds")
+    seeds = written(keyed.mapInArrow(_seeds(K, WINDOW), _SEED), "seeds", "zstd")
     every = Window.partitionBy("seed").orderBy("id", "o", "pos").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     anchor = ["seed", "id", "o", "pos", "byte", "id0", "o0", "pos0", "byte0"]
     later = F.expr("id <> f.id or o <> f.o")
@@ -554,15 +618,18 @@ def _passages(docs: DataFrame, min_words: int, similarity: float) -> DataFrame:
         .where("more or z.id <> f.id or z.o <> f.o")
         .select(*anchor[:5], *[F.when(later, F.col(f"f.{c}")).alias(c + "0") for c in ("id", "o", "pos", "byte")])
     )
-    links = written(leads.unionAll(seeds.where("o0 is not null").select(*anchor)), "links")  # every seed that two documents hold
+    links = written(leads.unionAll(seeds.where("o0 is not null").select(*anchor)), "links", "zstd")  # every seed that two documents hold
+    release(docs.sparkSession)  # the shuffle files of each step go before the next one's come
     found = written(_aligned(links.where("o0 is not null").drop("seed"), texts, min_words, similarity), "passages")
+    release(docs.sparkSession)
 
     spans = found.groupBy("id", "o").agg(F.collect_list(F.expr("struct(first_word as first, first_word + n_words as end)")).alias("spans"))
     held = links.groupBy("id", "o").agg(F.collect_list(F.expr("struct(pos, seed, o0 is not null as linked)")).alias("seeds"))
     wanted = held.join(spans, ["id", "o"], "left").select("seeds", "spans").mapInArrow(_wanted(K, WINDOW, min_words), "seed long").distinct()
     places = links.join(wanted, "seed", "left_semi").groupBy("id", "o").agg(F.collect_list("pos").alias("places"))
     windows = places.join(spans, ["id", "o"], "left").join(texts, ["id", "o"]).select("id", "o", "places", "spans", "t")
-    windows = written(windows.mapInArrow(_windows(K, WINDOW, min_words), _WINDOW), "windows")
+    windows = written(windows.mapInArrow(_windows(K, WINDOW, min_words), _WINDOW), "windows", "zstd")
+    release(docs.sparkSession)
     order = Window.partitionBy("seed").orderBy("id", "o", "pos")
     more = ["id", "o", "pos", "byte", "last", "id0", "o0", "pos0", "byte0", "last0"]
     runs = (
