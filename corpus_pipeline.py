@@ -11,6 +11,7 @@ Stages, each over all rows that the one before kept:
    documents.
 5. encoding: every text as piece ids, checked by decoding them.
 
+Each stage first lets the driver drop what earlier ones left there.
 All but the last keep the columns of ``documents``.
 """
 
@@ -19,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from daybook.llm import jaccard_join, mixing, passages, pieces, quality
-from daybook.llm.common import read, written
+from daybook.llm.common import read, release, written
 
 # Near-duplicate stages take five words and a similarity of 0.8.
 SHINGLE_WORDS, SIMILARITY_PERCENT = 5, 80
@@ -27,24 +28,29 @@ SHINGLE_WORDS, SIMILARITY_PERCENT = 5, 80
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Learns from all labelled documents and keeps those that it doesn't reject."""
+    release(spark)
     return quality.accepted(docs, quality.fit_sample(docs, read(spark, sf_dir, "labels")))
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each component; documents without words have no near duplicates."""
+    release(spark)
     return jaccard_join.representatives(docs, SHINGLE_WORDS, SIMILARITY_PERCENT)
 
 
 def passage_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    release(spark)
     return passages.without_repeats(docs)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    release(spark)
     return mixing.mixed(docs)
 
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, source, n_pieces, ids, exact): ids in the merge order that the vocabulary was made with."""
+    release(spark)
     return pieces.encoded_rows(docs, pieces.Pieces.load(pieces.MODEL))
 
 
