@@ -583,9 +583,7 @@ def _aligned(anchors: DataFrame, texts: DataFrame, min_words: int, similarity: f
     """The passages of anchors, steps 3 and 4."""
     pair = ["id", "o", "id0", "o0"]
     chains = anchors.repartition(*pair).sortWithinPartitions(*pair, "pos", "pos0").mapInArrow(_chains(K), _CHAIN)
-    chains = written(chains, "chains", "zstd")
-    release(anchors.sparkSession)
-    chains = chains.withColumn("from_a", F.greatest(F.col("xb") - MARGIN, F.lit(0))).withColumn(
+    chains = written(chains, "chains", "zstd").withColumn("from_a", F.greatest(F.col("xb") - MARGIN, F.lit(0))).withColumn(
         "from_b", F.greatest(F.col("yb") - MARGIN, F.lit(0))
     )
     # the passages are cut out as the join's rows are made, so a partner of many chains never travels whole
@@ -629,7 +627,6 @@ def _passages(docs: DataFrame, min_words: int, similarity: float) -> DataFrame:
     places = links.join(wanted, "seed", "left_semi").groupBy("id", "o").agg(F.collect_list("pos").alias("places"))
     windows = places.join(spans, ["id", "o"], "left").join(texts, ["id", "o"]).select("id", "o", "places", "spans", "t")
     windows = written(windows.mapInArrow(_windows(K, WINDOW, min_words), _WINDOW), "windows", "zstd")
-    release(docs.sparkSession)
     order = Window.partitionBy("seed").orderBy("id", "o", "pos")
     more = ["id", "o", "pos", "byte", "last", "id0", "o0", "pos0", "byte0", "last0"]
     runs = (
