@@ -14,13 +14,17 @@ Texts are read whole. A block's word sequences are cut into chunks; all chunks
 advance together, and products of their transfer matrices carry the forward and
 backward messages across, so long texts need no long loop and the result is
 that of one pass over the text.
+
+An empty table gives no rows, and a model fitted on one labels every text ``und``. Other
+columns of the input than doc_id, text and (for fitting) lang are not read, whatever they
+are called. Equal rows are predicted alike, each on its own; ties of labels go to the
+first in the order of code points.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -31,8 +35,9 @@ from pyspark.sql.window import Window
 
 from daybook.llm.common import Rolling, blocks, mix
 
-#: Bounds of the training sample: documents of each language, and words of each document.
-SAMPLE_DOCS, SAMPLE_WORDS = 120, 400
+#: Bounds of the training sample: languages (those with most labelled rows), documents of each language, words of
+#: each document, in runs of ``RUN`` words that are spread over the whole text, and letters of a word.
+SAMPLE_LANGUAGES, SAMPLE_DOCS, SAMPLE_WORDS, RUN, SAMPLE_LETTERS = 256, 120, 400, 25, 100
 FEATURES, LEXICON = 1 << 15, 20_000
 CHUNK = 64
 KEPT_WORDS = 200_000
@@ -148,13 +153,21 @@ class Tagger:
         return norm(forward)
 
 
+def spread(words: list[str]) -> list[str]:
+    """At most ``SAMPLE_WORDS`` of a text's words: all, or runs at even distances from its first word to its last."""
+    if len(words) <= SAMPLE_WORDS:
+        return words
+    starts = np.linspace(0, len(words) - RUN, SAMPLE_WORDS // RUN).astype(np.int64)
+    return [w for a in starts.tolist() for w in words[a : a + RUN]]
+
+
 def fit(texts: list[str], languages: list[str], rounds: int = 6, seed: int = 7) -> Tagger:
     """Trains the field on documents of one language each, dealt into sequences that switch language."""
     labels = sorted(set(languages))
     rng = np.random.default_rng(seed)
     spans = []
     for text, language in zip(texts, languages, strict=True):
-        words = WORDS.findall(text.lower())[:SAMPLE_WORDS]
+        words = spread(WORDS.findall(text.lower()))
         at = 0
         while at < len(words):
             size = int(rng.integers(3, 25))
@@ -188,10 +201,11 @@ def fit(texts: list[str], languages: list[str], rounds: int = 6, seed: int = 7)
             e = np.add.reduceat(model.weights[feature], upto - size, axis=0)[inverse].reshape(*x.shape, n)
             # forward-backward with the pairwise expectations that the transitions' gradient needs
             step = np.exp(model.transitions)
+            start = step.sum(0)  # a uniform label before the first word, as in marginals
             local = np.exp(e - e.max(2, keepdims=True))
             alpha, beta = np.empty_like(local), np.ones_like(local)
             for t in range(x.shape[1]):
-                a = local[:, t] * ((alpha[:, t - 1] @ step) if t else 1.0)
+                a = local[:, t] * ((alpha[:, t - 1] @ step) if t else start)
                 alpha[:, t] = a / a.sum(1, keepdims=True)
             for t in range(x.shape[1] - 2, -1, -1):
                 b = (local[:, t + 1] * beta[:, t + 1]) @ step.T
@@ -205,6 +219,7 @@ def fit(texts: list[str], languages: list[str], rounds: int = 6, seed: int = 7)
             np.add.at(word_error, inverse.reshape(x.shape), error)
             grad_w = np.stack([np.bincount(feature, word_error[of, k], len(model.weights)) for k in range(n)], 1)
             grad_t = np.bincount((y[:, :-1] * n + y[:, 1:]).ravel(), minlength=n * n).reshape(n, n) - pair.sum((0, 1))
+            grad_t += error[:, 0].sum(0) * step / start
             turn += 1
             for value, grad, k in ((model.weights, grad_w / len(at), 0), (model.transitions, grad_t / len(at), 2)):
                 grad = grad - 1e-4 * value
@@ -218,27 +233,31 @@ def fit(texts: list[str], languages: list[str], rounds: int = 6, seed: int = 7)
 def fit_sample(labelled: DataFrame, docs_per_language: int = SAMPLE_DOCS) -> Tagger | None:
     """Trains on at most ``docs_per_language`` rows (text, lang) of each language, those with the least hashes.
 
-    Only the words that training reads leave the executors, and equal rows are one
-    example, so what the driver gets is bounded. Rows without text or language are
-    no examples; without any example there is no model.
+    The ``SAMPLE_LANGUAGES`` languages with most rows are learned, ties by name. Only the
+    words that training reads leave the executors, and equal rows are one example, so what
+    the driver gets is bounded, however many languages, rows or letters there are. Rows
+    without text or language are no examples; without any example there is no model.
     """
     rows = labelled.where("text is not null and lang is not null and text <> ''").select(
         F.xxhash64("doc_id", "lang").alias("h"), F.xxhash64("text").alias("t"), F.col("lang").cast("string").alias("lang"),
         F.col("text").cast("string").alias("text"),
     )
+    learned = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(SAMPLE_LANGUAGES).select("lang")
     order = Window.partitionBy("lang").orderBy("h", "t")
     picked = (  # row numbers up to a bound are cut in every task before the shuffle, so a hot language sends no more
         rows.select("h", "t", "lang").withColumn("r", F.row_number().over(order)).where(F.col("r") <= docs_per_language)
-        .select("h", "t").distinct()
+        .join(F.broadcast(learned), "lang", "left_semi").select("h", "t").distinct()
     )
 
-    def first_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def words_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            words = [" ".join(m[0] for m in islice(WORDS.finditer(t.lower()), SAMPLE_WORDS)) for t in batch.column("text").to_pylist()]
+            words = [
+                " ".join(spread([w for w in WORDS.findall(t.lower()) if len(w) <= SAMPLE_LETTERS])) for t in batch.column("text").to_pylist()
+            ]
             yield pa.record_batch([batch.column("h"), batch.column("lang"), pa.array(words, pa.string())], ["h", "lang", "text"])
 
     some = rows.join(F.broadcast(picked), ["h", "t"], "left_semi").select("h", "lang", "text").mapInArrow(
-        first_words, "h long, lang string, text string"
+        words_of, "h long, lang string, text string"
     ).distinct().toPandas()
     some = some.sort_values(["h", "lang", "text"])
     return fit(some["text"].tolist(), some["lang"].tolist()) if len(some) else None
