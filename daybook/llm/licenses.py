@@ -7,19 +7,26 @@ sentences that are known map to sentence identifiers. A known sentence may be wr
 it runs from the start of a line or sentence to the end of one, over any line ends
 and comment leaders between (punctuation, ``rem`` or ``dnl``), and may be cut at a
 full stop of its own (``v. 2.0``). Neighbours of a rule may also stand in one
-sentence. ``n_sentences`` counts the pieces of the cut. A rule is a sequence of
-identifiers; it matches where they stand next to each other among the text's
-known sentences. Rules are ordered: the first that matches is the text's
+sentence. ``n_sentences`` counts the pieces of the cut.
+
+A notice is a part of a sentence that names a license: words of licensing and a name
+("is released under the terms of the MIT License", "licensed under either MIT or
+Apache 2.0"), an SPDX tag, or a name that stands alone as a title. Each name has the
+identifier of its license. Names are built from families, versions and spellings. A
+notice is taken as it stands: what a sentence says around it isn't read.
+
+A rule is a sequence of identifiers; it matches where they stand next to each other
+among the text's known sentences and notices. Rules are ordered: the first that matches is the text's
 ``license``, all that match are its ``licenses``.
 
 One projection without shuffle: nothing depends on how often a text, sentence
-or license occurs. Null and empty texts have no sentences and no license.
+or license occurs. Null and empty texts have no sentences and no license, an empty
+table gives no rows, equal rows are scanned each on its own, null ids are kept, and other columns than doc_id
+and text are not read, whatever they are called.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -52,7 +59,58 @@ SENTENCES = {
     51: "if a copy of the mpl was not distributed with this file you can obtain one at https mozilla org mpl 2 0",
     60: "this is free and unencumbered software released into the public domain",
     70: "all rights reserved",
+    14: "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so subject to the following conditions",
+    25: "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 2 1 of the license or at your option any later version",
+    26: "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 3 of the license or at your option any later version",
+    27: "this program is free software you can redistribute it and or modify it under the terms of the gnu affero general public license as published by the free software foundation either version 3 of the license or at your option any later version",
+    28: "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation version 2",
+    43: "all advertising materials mentioning features or use of this software must display the following acknowledgement",
+    44: "this software is provided by the copyright holders and contributors as is and any express or implied warranties including but not limited to the implied warranties of merchantability and fitness for a particular purpose are disclaimed",
+    52: "the contents of this file are subject to the mozilla public license version 1 1 the license",
+    80: "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies",
+    81: "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted",
+    82: "permission is granted to anyone to use this software for any purpose including commercial applications and to alter it and redistribute it freely subject to the following restrictions",
+    83: "permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation covered by this license the software to use reproduce display distribute execute and transmit the software and to prepare derivative works of the software and to permit third parties to whom the software is furnished to do so all subject to the following",
+    84: "everyone is permitted to copy and distribute verbatim or modified copies of this license document and changing it is allowed as long as the name is changed",
+    85: "to the extent possible under law the author has waived all copyright and related or neighboring rights to this work",
+}
+
+# Licenses without families of versions, by their names.
+NAMES = {
+    "MIT": ("mit", "expat"),
+    "MIT-0": ("mit 0", "mit no attribution"),
+    "BSD-2-Clause": ("bsd 2 clause", "2 clause bsd", "simplified bsd", "freebsd"),
+    "BSD-3-Clause": ("bsd 3 clause", "3 clause bsd", "new bsd", "modified bsd", "revised bsd"),
+    "BSD-4-Clause": ("bsd 4 clause", "4 clause bsd"),
+    "0BSD": ("0bsd", "zero clause bsd", "bsd zero clause"),
+    "ISC": ("isc",),
+    "Zlib": ("zlib",),
+    "Unlicense": ("unlicense",),
+    "WTFPL": ("wtfpl", "do what the fuck you want to public"),
+    "PostgreSQL": ("postgresql",),
+    "NCSA": ("ncsa", "university of illinois ncsa open source"),
+    "CC0-1.0": ("cc0", "cc0 1 0", "cc0 1 0 universal", "creative commons zero v1 0 universal"),
+}
+# Families with versions: stems of their names, versions, whether "or later" is a license of its own.
+FAMILIES = {
+    "GPL": (("gnu general public license", "gnu gpl", "gpl"), ("2.0", "3.0"), True),
+    "LGPL": (("gnu lesser general public license", "gnu library general public license", "gnu lgpl", "lgpl"), ("2.0", "2.1", "3.0"), True),
+    "AGPL": (("gnu affero general public license", "affero general public license", "gnu agpl", "agpl"), ("3.0",), True),
+    "Apache": (("apache license", "apache software license", "apache"), ("1.1", "2.0"), False),
+    "MPL": (("mozilla public license", "mpl"), ("1.1", "2.0"), False),
+    "EPL": (("eclipse public license", "epl"), ("1.0", "2.0"), False),
+    "BSL": (("boost software license", "bsl"), ("1.0",), False),
+    "EUPL": (("european union public licence", "european union public license", "eupl"), ("1.1", "1.2"), False),
+    "Artistic": (("artistic license", "artistic"), ("1.0", "2.0"), False),
+    "CDDL": (("common development and distribution license", "cddl"), ("1.0", "1.1"), False),
 }
+# Parts of Creative Commons licenses, short and long.
+COMMONS = {"BY": "attribution", "NC": "noncommercial", "SA": "sharealike", "ND": "noderivatives"}
+# Words before a license's name.
+LEADS = (
+    "(?:licen[sc]ed|released|distributed|redistributed|available|published|provided|offered|covered) under (?:either )?(?:of )?(?:the |a |an )?"
+    "(?:terms of (?:either )?(?:the )?)?(?:open source )?|subject to the terms of (?:the )?|governed by (?:the )?|spdx license identifier "
+)
 
 # Rules in order: license and its sentences. Longer texts come before notices that they contain.
 RULES = (
@@ -63,6 +121,19 @@ RULES = (
     ("MPL-2.0", (50, 51)),
     ("MIT", (12, 13)),
     ("Apache-2.0", (2, 3)),
+    ("LGPL-2.1-or-later", (25,)),
+    ("LGPL-3.0-or-later", (26,)),
+    ("AGPL-3.0-or-later", (27,)),
+    ("BSD-4-Clause", (40, 41, 43)),
+    ("ISC", (80,)),
+    ("0BSD", (81,)),
+    ("Zlib", (82,)),
+    ("BSL-1.0", (83,)),
+    ("WTFPL", (84,)),
+    ("CC0-1.0", (85,)),
+    ("MPL-1.1", (52,)),
+    ("MIT", (14,)),
+    ("GPL-2.0-only", (28,)),
     ("GPL-3.0-or-later", (21,)),
     ("GPL-2.0-or-later", (22,)),
     ("GPL-3.0-only", (20,)),
@@ -82,6 +153,49 @@ RULES = (
 )
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+LEADER = "(?:(?:rem|dnl) )?"
+
+
+def _spaced(name: str) -> str:
+    return " ".join(name.lower().replace("-", " ").replace(".", " ").split())
+
+
+def notice_names() -> dict[str, str]:
+    """License by normalised name: every spelling of the fixed names, families and Creative Commons licenses."""
+    out: dict[str, str] = {}
+    for license, names in NAMES.items():
+        for name in (_spaced(license), *names):
+            out |= {name: license, f"{name} license": license, f"{name} licence": license}
+    for family, (stems, versions, later) in FAMILIES.items():
+        for version in versions:
+            number = [_spaced(version)] + [version[0]] * version.endswith(".0")
+            for stem in stems:
+                for v in number:
+                    for name in (f"{stem} version {v}", f"{stem} v {v}", f"{stem} v{v}", f"{stem} {v}", *([f"{stem}v{v}"] if " " not in stem else [])):
+                        only = f"{family}-{version}-only" if later else f"{family}-{version}"
+                        out |= {name: only, f"{name} license": only}
+                        if later:
+                            out[f"{name} only"] = only
+                            for more in (" or later", " or any later version", " or at your option any later version"):
+                                out[name + more] = f"{family}-{version}-or-later"
+    for parts in (("BY",), ("BY", "SA"), ("BY", "NC"), ("BY", "ND"), ("BY", "NC", "SA"), ("BY", "NC", "ND")):
+        for version in ("3.0", "4.0"):
+            license = f"CC-{'-'.join(parts)}-{version}"
+            short, long = _spaced(license), f"creative commons {' '.join(COMMONS[p] for p in parts)} {_spaced(version)}"
+            out |= {name: license for name in (short, f"{short} license", long, f"{long} license", f"{long} international license", f"{long} international public license")}
+    return out
+
+
+def rules_with_notices(rules=RULES) -> tuple[tuple[str, tuple[int, ...]], ...]:
+    """The rules, and one for the identifier of each license that notices name; claims of all rights come last."""
+    numbers = notice_ids()
+    last = tuple(r for r in rules if r[0].startswith("LicenseRef"))
+    return (*(r for r in rules if r not in last), *((name, (number,)) for name, number in numbers.items()), *last)
+
+
+def notice_ids() -> dict[str, int]:
+    """Identifier by license that notices name, from 101."""
+    return {license: 101 + i for i, license in enumerate(dict.fromkeys(notice_names().values()))}
 
 
 def sentences(text: Column) -> Column:
@@ -98,52 +212,69 @@ def _phrases(known: dict[int, str], rules) -> dict[str, list[int]]:
     return out | {text: [number] for number, text in known.items()}
 
 
+def _any(texts) -> str:
+    return "(?:" + "|".join(sorted(texts, key=lambda t: (-len(t), t))) + ")"
+
+
+def patterns(known: dict[int, str], rules) -> tuple[str, str]:
+    """(known sentences and notices, names), for a text's sentences, each between two line ends of its own.
+
+    Both engines of the library's queries and their SQL read these: no look-around, longer texts first.
+    """
+    wrapped = lambda t: t.replace(" ", f"(?: |\n\n{LEADER})")
+    names = notice_names()
+    name = _any(names)
+    title = "(?:the )?" + _any(n for n in names if "licen" in n)
+    whole = f"\n{LEADER}(?:{wrapped(_any(_phrases(known, rules)))}|{wrapped(title)})\n"
+    notice = rf"\b(?:{LEADS}){name}(?: (?:or|and) (?:the )?{name})*"
+    return whole + "|" + wrapped(notice) + r"\b", rf"\b{name}\b"
+
+
 def scan_licenses(docs: DataFrame, known: dict[int, str] = SENTENCES, rules=RULES) -> DataFrame:
     """(doc_id, n_sentences, sentence_ids, license, licenses) of every document.
 
     ``sentence_ids`` and ``licenses`` are arrays in text order and rule order.
     """
-    phrases = _phrases(known, rules)
-    ids = F.create_map(*[x for text, numbers in phrases.items() for x in (F.lit(text), F.array(*map(F.lit, numbers)))])
-    leader = "(?:(?:rem|dnl) )?"
-    longest = sorted(phrases, key=lambda t: (-len(t), t))
-    wrapped = f"\n{leader}(" + "|".join(t.replace(" ", f"(?: |\n{leader})") for t in longest) + ")(?=\n)"
-    lines = F.concat(F.lit("\n"), F.array_join("s", "\n"), F.lit("\n"))
-    joined = lambda t: F.regexp_replace(t, f"\n{leader}", " ")
+    table = lambda d: F.create_map(*[x for t, n in d.items() for x in (F.lit(t), F.lit(n) if isinstance(n, int) else F.array(*map(F.lit, n)))])
+    numbers = notice_ids()
+    phrases = table(_phrases(known, rules))
+    by_name = table({name: numbers[license] for name, license in notice_names().items()})
+    pattern, name = patterns(known, rules)
+
+    def identifiers(found: Column) -> Column:
+        t = F.regexp_replace(F.regexp_replace(found, f"\n\n{LEADER}", " "), f"^\n{LEADER}", "")
+        t = F.translate(t, "\n", "")
+        return F.coalesce(
+            F.try_element_at(phrases, t),
+            F.transform(F.regexp_extract_all(t, F.lit(name), F.lit(0)), lambda x: F.try_element_at(by_name, x)),
+        )
+
+    lines = F.concat(F.lit("\n"), F.array_join("s", "\n\n"), F.lit("\n"))
     found = docs.select(
         F.col("doc_id").cast("long"), F.coalesce(sentences(F.col("text").cast("string")), F.array().cast("array<string>")).alias("s")
     ).select(
         "doc_id", F.size("s").cast("long").alias("n_sentences"),
-        F.flatten(F.transform(F.regexp_extract_all(lines, F.lit(wrapped), F.lit(1)), lambda t: ids[joined(t)])).alias("sentence_ids"),
+        F.flatten(F.transform(F.regexp_extract_all(lines, F.lit(pattern), F.lit(0)), identifiers)).alias("sentence_ids"),
     )
     chain = F.concat(F.lit(","), F.array_join(F.col("sentence_ids").cast("array<string>"), ","), F.lit(","))
+    ordered = F.array(*[
+        F.struct(F.lit("," + ",".join(map(str, rule)) + ",").alias("key"), F.lit(name).alias("name")) for name, rule in rules_with_notices(rules)
+    ])
+    matched = F.array_distinct(F.transform(F.filter(ordered, lambda r: F.contains(chain, r["key"])), lambda r: r["name"]))
     # a text without known sentences, as most are, needs no rule
-    matches = [F.when(F.contains(chain, F.lit("," + ",".join(map(str, rule)) + ",")), F.lit(name)) for name, rule in rules]
-    some = F.size("sentence_ids") > 0
-    return found.select(
-        "doc_id", "n_sentences", "sentence_ids",
-        F.when(some, F.coalesce(*matches)).alias("license"),
-        F.when(some, F.array_distinct(F.array_compact(F.array(*matches)))).otherwise(F.array().cast("array<string>")).alias("licenses"),
-    )
+    licenses = F.when(F.size("sentence_ids") > 0, matched).otherwise(F.array().cast("array<string>"))
+    return found.select("doc_id", "n_sentences", "sentence_ids", licenses.alias("licenses")).select(
+        "doc_id", "n_sentences", "sentence_ids", F.get("licenses", F.lit(0)).alias("license"), "licenses"
+    )
 
 
 def scan_sql(known: dict[int, str] = SENTENCES, rules=RULES) -> str:
     """DuckDB SQL for the scan with ``sentence_ids`` and ``licenses`` joined to text."""
-    ids = "map {" + ", ".join(f"'{t}': {n}" for n, t in known.items()) + "}"
-    when = [f"CASE WHEN contains(chain, ',{','.join(map(str, rule))},') THEN '{name}' END" for name, rule in rules]
-    first = reduce(lambda later, this: f"coalesce({this}, {later})", reversed(when))
-    names = list(dict.fromkeys(name for name, _ in rules))
-    each = [
-        f"CASE WHEN {' OR '.join(f"contains(chain, ',{','.join(map(str, r))},')" for n, r in rules if n == name)} THEN '{name}' END"
-        for name in names
-    ]
-    # the order of distinct names is that of their first matching rule
-    place = [
-        "least(" + ", ".join(
-            f"CASE WHEN contains(chain, ',{','.join(map(str, r))},') THEN {k} ELSE 1000 END" for k, (n, r) in enumerate(rules) if n == name
-        ) + ", 1000)" for name in names
-    ]
-    pairs = ", ".join(f"{{'k': {p}, 'n': {e}}}" for p, e in zip(place, each, strict=True))
+    numbers = notice_ids()
+    phrases = "map {" + ", ".join(f"'{t}': {n}" for t, n in _phrases(known, rules).items()) + "}"
+    by_name = "map {" + ", ".join(f"'{t}': {numbers[name]}" for t, name in notice_names().items()) + "}"
+    ordered = "[" + ", ".join(f"{{'k': ',{','.join(map(str, rule))},', 'n': '{name}'}}" for name, rule in rules_with_notices(rules)) + "]"
+    pattern, name = patterns(known, rules)
     return f"""
 WITH lines AS (
   SELECT doc_id, regexp_replace(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '([.!?])[ \\t\\r\\n\\f]+', '\\1' || chr(10), 'g') AS t
@@ -151,12 +282,23 @@ WITH lines AS (
 ), parts AS (
   SELECT doc_id, list_filter(list_transform(string_split(regexp_replace(t, '[^a-z0-9\\n]+', ' ', 'g'), chr(10)), lambda s: trim(s)), lambda s: s <> '') AS s
   FROM lines
+), found AS (
+  SELECT doc_id, len(s) AS n_sentences, list_transform(
+    regexp_extract_all(chr(10) || array_to_string(s, chr(10) || chr(10)) || chr(10), '{pattern}'),
+    lambda f: replace(regexp_replace(regexp_replace(f, '\n\n{LEADER}', ' ', 'g'), '^\n{LEADER}', ''), chr(10), '')
+  ) AS found FROM parts
 ), known AS (
-  SELECT doc_id, len(s) AS n_sentences, list_filter(list_transform(s, lambda x: {ids}[x]), lambda x: x IS NOT NULL) AS ids FROM parts
+  SELECT doc_id, n_sentences, flatten(list_transform(found, lambda t: coalesce(
+    {phrases}[t], list_transform(regexp_extract_all(t, '{name}'), lambda x: {by_name}[x])
+  ))) AS ids FROM found
 ), chains AS (
   SELECT *, ',' || coalesce(array_to_string(ids, ','), '') || ',' AS chain FROM known
+), matched AS (
+  SELECT *, list_transform(list_filter({ordered}, lambda r: contains(chain, r.k)), lambda r: r.n) AS names FROM chains
+), distinct_names AS (
+  SELECT *, list_filter(names, lambda x, i: list_position(names, x) = i) AS licenses FROM matched
 )
-SELECT doc_id, CAST(n_sentences AS BIGINT) AS n_sentences, coalesce(array_to_string(ids, ','), '') AS sentence_ids, {first} AS license,
-  coalesce(array_to_string(list_transform(list_filter(list_sort([{pairs}]), lambda p: p.n IS NOT NULL), lambda p: p.n), ';'), '') AS licenses
-FROM chains
+SELECT doc_id, CAST(n_sentences AS BIGINT) AS n_sentences, coalesce(array_to_string(ids, ','), '') AS sentence_ids, licenses[1] AS license,
+  coalesce(array_to_string(licenses, ';'), '') AS licenses
+FROM distinct_names
 """
