@@ -18,6 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from daybook.operators.catalog import delete_path
 from daybook.session import shared_dir
 
 BLOCK_BYTES = 1 << 21
@@ -33,14 +34,27 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def written(df: DataFrame, name: str, codec: str | None = None) -> DataFrame:
-    """``df`` written to the shared folder and read back: cuts lineage, survives lost executors.
+def scratch(df: DataFrame, name: str, codec: str | None = None) -> tuple[DataFrame, str]:
+    """``df`` written to the shared folder and read back, and the folder, for ``discard``.
 
     ``codec`` is for tables that take much room; the session's own otherwise."""
     spark = df.sparkSession
     path = shared_dir(spark, name)
     (df.write.option("compression", codec) if codec else df.write).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def written(df: DataFrame, name: str, codec: str | None = None) -> DataFrame:
+    """``df`` written to the shared folder and read back: cuts lineage, survives lost executors."""
+    return scratch(df, name, codec)[0]
+
+
+def discard(spark: SparkSession, *folders: str) -> None:
+    """Deletes folders of ``scratch`` that no frame is read from any more: all that came of them is written itself,
+    so that a lost executor's work starts from there. A Connect session leaves them."""
+    if getattr(spark, "_jvm", None) is not None:
+        for folder in folders:
+            delete_path(spark, folder)
 
 
 def release(spark: SparkSession) -> None:

@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from daybook.llm.common import LOWER, Rolling, blocks, flat, mix, release, window_minima, word_hashes, word_spans, written
+from daybook.llm.common import LOWER, Rolling, blocks, discard, flat, mix, release, scratch, window_minima, word_hashes, word_spans, written
 
 K, WINDOW = 5, 16
 MIN_WORDS, SIMILARITY = 50, 0.8
@@ -579,11 +579,12 @@ def _windows(k: int, window: int, min_words: int):
     return run
 
 
-def _aligned(anchors: DataFrame, texts: DataFrame, min_words: int, similarity: float) -> DataFrame:
-    """The passages of anchors, steps 3 and 4."""
+def _aligned(anchors: DataFrame, texts: DataFrame, min_words: int, similarity: float) -> tuple[DataFrame, str]:
+    """The passages of anchors, steps 3 and 4, and the folder of the chains that they are read from."""
     pair = ["id", "o", "id0", "o0"]
     chains = anchors.repartition(*pair).sortWithinPartitions(*pair, "pos", "pos0").mapInArrow(_chains(K), _CHAIN)
-    chains = written(chains, "chains", "zstd").withColumn("from_a", F.greatest(F.col("xb") - MARGIN, F.lit(0))).withColumn(
+    chains, folder = scratch(chains, "chains", "zstd")
+    chains = chains.withColumn("from_a", F.greatest(F.col("xb") - MARGIN, F.lit(0))).withColumn(
         "from_b", F.greatest(F.col("yb") - MARGIN, F.lit(0))
     )
     # the passages are cut out as the join's rows are made, so a partner of many chains never travels whole
@@ -598,13 +599,14 @@ def _aligned(anchors: DataFrame, texts: DataFrame, min_words: int, similarity: f
     )
     return both.select("id", "o", "id0", "o0", "x", "y", "xb", "yb", "from_a", "from_b", "runs", "a", "b").mapInArrow(
         _align(min_words, similarity), _FOUND
-    ).distinct()
+    ).distinct(), folder
 
 
 def _passages(docs: DataFrame, min_words: int, similarity: float) -> DataFrame:
     keyed = _keyed(docs)
     texts = keyed.select("id", "o", F.col("text").cast("binary").alias("t"))
-    seeds = written(keyed.mapInArrow(_seeds(K, WINDOW), _SEED), "seeds", "zstd")
+    spark = docs.sparkSession
+    seeds, seeds_at = scratch(keyed.mapInArrow(_seeds(K, WINDOW), _SEED), "seeds", "zstd")
     every = Window.partitionBy("seed").orderBy("id", "o", "pos").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     anchor = ["seed", "id", "o", "pos", "byte", "id0", "o0", "pos0", "byte0"]
     later = F.expr("id <> f.id or o <> f.o")
@@ -616,10 +618,14 @@ def _passages(docs: DataFrame, min_words: int, similarity: float) -> DataFrame:
         .where("more or z.id <> f.id or z.o <> f.o")
         .select(*anchor[:5], *[F.when(later, F.col(f"f.{c}")).alias(c + "0") for c in ("id", "o", "pos", "byte")])
     )
-    links = written(leads.unionAll(seeds.where("o0 is not null").select(*anchor)), "links", "zstd")  # every seed that two documents hold
-    release(docs.sparkSession)  # the shuffle files of each step go before the next one's come
-    found = written(_aligned(links.where("o0 is not null").drop("seed"), texts, min_words, similarity), "passages")
-    release(docs.sparkSession)
+    # every seed that two documents hold
+    links, links_at = scratch(leads.unionAll(seeds.where("o0 is not null").select(*anchor)), "links", "zstd")
+    discard(spark, seeds_at)  # each step's tables and shuffle files go before the next one's come
+    release(spark)
+    found, chains_at = _aligned(links.where("o0 is not null").drop("seed"), texts, min_words, similarity)
+    found = written(found, "passages")
+    discard(spark, chains_at)
+    release(spark)
 
     spans = found.groupBy("id", "o").agg(F.collect_list(F.expr("struct(first_word as first, first_word + n_words as end)")).alias("spans"))
     held = links.groupBy("id", "o").agg(F.collect_list(F.expr("struct(pos, seed, o0 is not null as linked)")).alias("seeds"))
@@ -627,6 +633,8 @@ def _passages(docs: DataFrame, min_words: int, similarity: float) -> DataFrame:
     places = links.join(wanted, "seed", "left_semi").groupBy("id", "o").agg(F.collect_list("pos").alias("places"))
     windows = places.join(spans, ["id", "o"], "left").join(texts, ["id", "o"]).select("id", "o", "places", "spans", "t")
     windows = written(windows.mapInArrow(_windows(K, WINDOW, min_words), _WINDOW), "windows", "zstd")
+    discard(spark, links_at)
+    release(spark)
     order = Window.partitionBy("seed").orderBy("id", "o", "pos")
     more = ["id", "o", "pos", "byte", "last", "id0", "o0", "pos0", "byte0", "last0"]
     runs = (
@@ -638,7 +646,7 @@ def _passages(docs: DataFrame, min_words: int, similarity: float) -> DataFrame:
     ends = runs.select("id", "o", "id0", "o0", F.expr(
         f"inline(array(struct(pos, byte, pos0, byte0), struct(pos + {ahead} as pos, last as byte, pos0 + {ahead} as pos0, last0 as byte0)))"
     ))
-    both = found.unionAll(_aligned(ends, texts, min_words, similarity))
+    both = found.unionAll(_aligned(ends, texts, min_words, similarity)[0])
     # a passage of the first round may be the part of one of the second that its seeds reached
     line = Window.partitionBy("id", "o", "id0", "o0", F.expr("first_word - partner_word")).orderBy("first_word", F.desc("n_words"), "partner_words", "similarity")
     reach = F.max(F.expr("first_word + n_words")).over(line.rowsBetween(Window.unboundedPreceding, -1))
