@@ -144,7 +144,8 @@ def _seeds(k: int, window: int):
             for x, kind in ((o, pa.int64()), (doc, pa.int64()), (pos, pa.int32()), (byte, pa.int32())):
                 cols.append(pa.array(x[lead].astype(kind.to_pandas_dtype()), kind, mask=own))
             cols.append(pa.array(~own[np.flatnonzero(np.r_[new[1:], True])][np.cumsum(new) - 1] if len(own) else own))
-            yield pa.record_batch(cols, ["seed", "o", "id", "pos", "byte", "o0", "id0", "pos0", "byte0", "more"])
+            out = pa.record_batch(cols, ["seed", "o", "id", "pos", "byte", "o0", "id0", "pos0", "byte0", "more"])
+            yield out.take(pa.array(np.lexsort((pos, doc, o))))  # rising places of a document take less room when written
 
     return run
 
@@ -574,7 +575,8 @@ def _windows(k: int, window: int, min_words: int):
             for v, kind in ((o, pa.int64()), (doc, pa.int64()), (pos, pa.int32()), (byte, pa.int32()), (last, pa.int32())):
                 cols.append(pa.array(v[lead[keep]].astype(kind.to_pandas_dtype()), kind, mask=own[keep]))
             names = ["seed", "o", "id", "pos", "byte", "last", "o0", "id0", "pos0", "byte0", "last0", "open"]
-            yield pa.record_batch([*cols, pa.array(free[keep])], names)
+            out = pa.record_batch([*cols, pa.array(free[keep])], names)
+            yield out.take(pa.array(np.lexsort((pos[keep], doc[keep], o[keep]))))
 
     return run
 
