@@ -632,10 +632,11 @@ def _passages(docs: DataFrame, min_words: int, similarity: float) -> DataFrame:
     spans = found.groupBy("id", "o").agg(F.collect_list(F.expr("struct(first_word as first, first_word + n_words as end)")).alias("spans"))
     held = links.groupBy("id", "o").agg(F.collect_list(F.expr("struct(pos, seed, o0 is not null as linked)")).alias("seeds"))
     wanted = held.join(spans, ["id", "o"], "left").select("seeds", "spans").mapInArrow(_wanted(K, WINDOW, min_words), "seed long").distinct()
-    places = links.join(wanted, "seed", "left_semi").groupBy("id", "o").agg(F.collect_list("pos").alias("places"))
+    places = written(links.join(wanted, "seed", "left_semi").groupBy("id", "o").agg(F.collect_list("pos").alias("places")), "places", "zstd")
+    discard(spark, links_at)
+    release(spark)
     windows = places.join(spans, ["id", "o"], "left").join(texts, ["id", "o"]).select("id", "o", "places", "spans", "t")
     windows = written(windows.mapInArrow(_windows(K, WINDOW, min_words), _WINDOW), "windows", "zstd")
-    discard(spark, links_at)
     release(spark)
     order = Window.partitionBy("seed").orderBy("id", "o", "pos")
     more = ["id", "o", "pos", "byte", "last", "id0", "o0", "pos0", "byte0", "last0"]
