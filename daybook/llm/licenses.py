@@ -226,8 +226,9 @@ def patterns(known: dict[int, str], rules) -> tuple[str, str]:
     name = _any(names)
     title = "(?:the )?" + _any(n for n in names if "licen" in n)
     whole = f"\n{LEADER}(?:{wrapped(_any(_phrases(known, rules)))}|{wrapped(title)})\n"
-    notice = rf"\b(?:{LEADS}){name}(?: (?:or|and) (?:the )?{name})*"
-    return whole + "|" + wrapped(notice) + r"\b", rf"\b{name}\b"
+    notice = rf"(?:{LEADS}){name}(?: (?:or|and) (?:the )?{name})*"
+    # a notice begins behind a space or line end, which few positions of a text pass
+    return whole + "|[ \n]" + wrapped(notice) + r"\b", rf"\b{name}\b"
 
 
 def scan_licenses(docs: DataFrame, known: dict[int, str] = SENTENCES, rules=RULES) -> DataFrame:
@@ -243,7 +244,7 @@ def scan_licenses(docs: DataFrame, known: dict[int, str] = SENTENCES, rules=RULE
 
     def identifiers(found: Column) -> Column:
         t = F.regexp_replace(F.regexp_replace(found, f"\n\n{LEADER}", " "), f"^\n{LEADER}", "")
-        t = F.translate(t, "\n", "")
+        t = F.trim(F.translate(t, "\n", ""))
         return F.coalesce(
             F.try_element_at(phrases, t),
             F.transform(F.regexp_extract_all(t, F.lit(name), F.lit(0)), lambda x: F.try_element_at(by_name, x)),
@@ -285,7 +286,7 @@ WITH lines AS (
 ), found AS (
   SELECT doc_id, len(s) AS n_sentences, list_transform(
     regexp_extract_all(chr(10) || array_to_string(s, chr(10) || chr(10)) || chr(10), '{pattern}'),
-    lambda f: replace(regexp_replace(regexp_replace(f, '\n\n{LEADER}', ' ', 'g'), '^\n{LEADER}', ''), chr(10), '')
+    lambda f: trim(replace(regexp_replace(regexp_replace(f, '\n\n{LEADER}', ' ', 'g'), '^\n{LEADER}', ''), chr(10), ''))
   ) AS found FROM parts
 ), known AS (
   SELECT doc_id, n_sentences, flatten(list_transform(found, lambda t: coalesce(
