@@ -27,11 +27,16 @@ by Spark, and made exact by a null-safe semi-join. When the keys don't include
 every partition column, matches may lie in any partition and step 2 reads the
 target's keys in full. ``''`` in a string partition column is NULL there, as
 in Spark's own writes. An unpartitioned target is written anew and swapped in.
+
+A target that is bucketed by keys (``create_table(..., bucket_by=)``) is joined
+where its buckets lie: the source is dealt as the buckets are, and the target's
+rows are not shuffled in steps 2 and 3, until the touched partitions are written.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from contextlib import nullcontext
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -39,8 +44,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from daybook.functions.flags import sql_ident
-from daybook.operators.catalog import partition_columns
-from daybook.operators.tables import align_to_table, overwrite_partitions, replace_rows, staged
+from daybook.operators.catalog import partition_columns, table_info
+from daybook.operators.tables import align_to_table, bucketing, overwrite_partitions, replace_rows, session_conf, staged
+
+#: Touched partitions up to which their list is broadcast to a bucketed target; beyond, a shuffle join finds them.
+BROADCAST_PARTITIONS = 10_000
+#: A join on more keys than the bucket columns may keep the buckets.
+ALL_KEYS = "spark.sql.requireAllClusterKeysForCoPartition"
 
 
 class MergeCardinalityError(ValueError):
@@ -57,11 +67,13 @@ def _nullable_parts(df: DataFrame, part_cols: Sequence[str]) -> DataFrame:
     return df.withColumns({p: F.expr(f"nullif({sql_ident(p)}, '')") for p in strings}) if strings else df
 
 
-def _within(target: DataFrame, parts: DataFrame, part_cols: Sequence[str], nulls: bool = True) -> DataFrame:
+def _within(
+    target: DataFrame, parts: DataFrame, part_cols: Sequence[str], nulls: bool = True, exact: bool = True, small: bool = False
+) -> DataFrame:
     """Rows of ``target`` whose partition is among the rows of ``parts``.
 
     The range of each column prunes partitions statically; the semi-join is
-    exact. Bounds travel as text (timestamps as microseconds since the epoch),
+    exact, and left out if ``exact`` is False. ``small``: ``parts`` may be broadcast. Bounds travel as text (timestamps as microseconds since the epoch),
     made and read by Spark, so neither time zones nor types change them.
     """
     conds, wanted = [], []
@@ -84,7 +96,10 @@ def _within(target: DataFrame, parts: DataFrame, part_cols: Sequence[str], nulls
         else:
             low, high = (parse.format(v.replace("\\", "\\\\").replace("'", "\\'")) for v in (low, high))
             target = target.where(f"{empty} OR {c} BETWEEN {low} AND {high}")
+    if not exact:
+        return target
     keys = parts.select(*[F.col(p).alias("__p_" + p) for p in part_cols]).distinct()
+    keys = F.broadcast(keys) if small else keys
     on = [target[p].eqNullSafe(keys["__p_" + p]) if nulls else target[p] == keys["__p_" + p] for p in part_cols]
     return target.join(keys, _all(on), "left_semi")
 
@@ -150,25 +165,37 @@ def _merge(spark, source: DataFrame, target: str, keys: Sequence[str], update_co
     src = align_to_table(source.select(*[c for c in source.columns if c.lower() in names]), target)
     src = _nullable_parts(src, part_cols)
     by_key = source_by_key(src, keys, update_cols)
+    buckets = bucketing(table_info(spark, target))
+    if not buckets or not set(buckets[1]) <= set(keys):
+        buckets = None
 
     keyed = [p for p in part_cols if p in keys]  # matches lie in the source's values of these
-    candidates = _within(table, src, keyed, nulls=False) if keyed else table
+    # the join on the keys is exact; a shuffle by partition would only take a bucketed target's rows apart
+    candidates = _within(table, src, keyed, nulls=False, exact=not buckets) if keyed else table
+    target_keys = candidates.select(*[F.col(k).alias("__t_" + k) for k in keys]).distinct()
+    if buckets:
+        by_key = by_key.repartition(buckets[0], *["__s_" + b for b in buckets[1]])
+        null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+        probed, unmatched = src.where(~null).repartition(buckets[0], *buckets[1]), src.where(null)  # NULL keys never match
+    else:
+        probed, unmatched = src, None
     on = _all([candidates[k] == by_key["__s_" + k] for k in keys])
     differs = " OR ".join(f"NOT ({sql_ident(c)} <=> {sql_ident('__u_' + c)})" for c in update_cols) or "FALSE"
     changed = candidates.join(by_key, on).groupBy(*part_cols).agg(
         F.expr(f"bool_or({differs})").alias("__change"), F.max("__c").alias("__c")
     )
-    target_keys = candidates.select(*[F.col(k).alias("__t_" + k) for k in keys]).distinct()
-    new = src.join(target_keys, _all([src[k] == target_keys["__t_" + k] for k in keys]), "left_anti")
+    new = probed.join(target_keys, _all([probed[k] == target_keys["__t_" + k] for k in keys]), "left_anti")
+    new = new.unionAll(unmatched) if unmatched is not None else new
     inserted = new.groupBy(*part_cols).agg(F.lit(True).alias("__change"), F.lit(0).cast("bigint").alias("__c"))
-    with staged(changed.unionAll(inserted), target) as touched:
+    with session_conf(spark, ALL_KEYS, "false") if buckets else nullcontext(), staged(changed.unionAll(inserted), target) as touched:
         state = touched.agg(F.max("__c"), F.count(F.when(F.col("__change"), 1))).first()
         if (state[0] or 0) > 1:
             raise MergeCardinalityError(f"MERGE: a target row matched more than one source row on {list(keys)}")
         if not state[1]:
             return
         if part_cols:
-            rows = _within(table, touched.where("__change"), part_cols)
+            small = bool(buckets) and state[1] <= BROADCAST_PARTITIONS
+            rows = _within(table, touched.where("__change"), part_cols, small=small)
             overwrite_partitions(merged_rows(rows, by_key, new, keys, update_cols), target)
         else:
             replace_rows(merged_rows(table, by_key, new, keys, update_cols), target)

@@ -8,6 +8,7 @@ distributed job: tasks write files on executors, the driver only commits.
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
@@ -90,9 +91,33 @@ def align_to_table(df: DataFrame, name: str) -> DataFrame:
     return df.selectExpr(*[f"{sql_ident(have[c.lower()])} AS {sql_ident(c)}" for c in target])
 
 
-def create_table(df: DataFrame, name: str, partition_by=None, fmt: str = "parquet") -> None:
-    """Create-only: raises ``TABLE_OR_VIEW_ALREADY_EXISTS`` if ``name`` exists."""
+def bucketing(info: dict[str, str]) -> tuple[int, list[str]] | None:
+    """Number of buckets and bucket columns of a table, from its ``table_info``."""
+    if "Num Buckets" not in info:
+        return None
+    names = re.findall(r"`((?:[^`]|``)+)`", info["Bucket Columns"])
+    return int(info["Num Buckets"]), [n.replace("``", "`") for n in names]
+
+
+def clustered_by_bucket(df: DataFrame, buckets: tuple[int, Sequence[str]]) -> DataFrame:
+    """Rows dealt as the buckets are, so that each task writes one bucket, one file of it to a partition."""
+    return df.repartition(buckets[0], *[F.col(sql_ident(c)) for c in buckets[1]])
+
+
+def create_table(
+    df: DataFrame, name: str, partition_by=None, fmt: str = "parquet", bucket_by: tuple[int, Sequence[str]] | None = None
+) -> None:
+    """Create-only: raises ``TABLE_OR_VIEW_ALREADY_EXISTS`` if ``name`` exists.
+
+    ``bucket_by`` (number, columns) deals each partition's rows to buckets by a hash of the
+    columns. Bucketed by its merge keys (those that are not partition columns), a table is probed
+    by ``merge_into`` without a shuffle of its rows. Take as many buckets as keep the keys of one,
+    over all partitions, within a task: a bucket is read by one task, and no skew join splits it."""
     parts = _parts(partition_by)
+    if bucket_by:
+        n, cols = bucket_by
+        writer = clustered_by_bucket(df, bucket_by).write.format(fmt).bucketBy(n, *cols)
+        return (writer.partitionBy(*parts) if parts else writer).saveAsTable(name, mode="error")
     writer = clustered_for_write(df, parts).writeTo(name).using(fmt)
     if parts:
         writer = writer.partitionedBy(*[F.col(p) for p in parts])
@@ -101,8 +126,10 @@ def create_table(df: DataFrame, name: str, partition_by=None, fmt: str = "parque
 
 def append_by_name(df: DataFrame, name: str) -> None:
     """Append to an existing table, matching columns by name; rows are grouped by
-    partition first, so that files follow partitions and not tasks."""
-    clustered_for_write(align_to_table(df, name), partition_columns(df.sparkSession, name)).write.insertInto(name, overwrite=False)
+    partition (or bucket) first, so that files follow partitions and not tasks."""
+    aligned, buckets = align_to_table(df, name), bucketing(table_info(df.sparkSession, name))
+    parts = partition_columns(df.sparkSession, name)
+    (clustered_by_bucket(aligned, buckets) if buckets else clustered_for_write(aligned, parts)).write.insertInto(name, overwrite=False)
 
 
 def _fresh(tag: str) -> str:
@@ -243,9 +270,9 @@ def replace_rows(df: DataFrame, name: str) -> None:
     """Replace all rows of an unpartitioned table by ``df``, which may read it. Swapped in as in
     ``create_or_replace``."""
     info = table_info(df.sparkSession, name)
-    if "Num Buckets" in info:
+    if buckets := bucketing(info):
         with staged(align_to_table(df, name), name) as rows:
-            return align_to_table(rows, name).write.insertInto(name, overwrite=True)
+            return clustered_by_bucket(align_to_table(rows, name), buckets).write.insertInto(name, overwrite=True)
     _swap_location(align_to_table(df, name), name, [], info)
 
 
@@ -283,9 +310,11 @@ def overwrite_partitions(df: DataFrame, name: str) -> None:
     if not parts:
         return replace_rows(df, name)
     aligned, info = align_to_table(df, name), table_info(spark, name)
-    if info["Type"] != "MANAGED" or "Num Buckets" in info:
+    buckets = bucketing(info)
+    if info["Type"] != "MANAGED" or buckets:
+        rows = clustered_by_bucket(aligned, buckets) if buckets else clustered_for_write(aligned, parts)
         with session_conf(spark, OVERWRITE_MODE, "dynamic"):
-            return clustered_for_write(aligned, parts).write.insertInto(name, overwrite=True)
+            return rows.write.insertInto(name, overwrite=True)
     root = f"{info['Location'].rstrip('/')}/{SWAP}{uuid.uuid4().hex[:12]}"
     try:
         _save(aligned, root, parts, info["Provider"])

@@ -184,6 +184,9 @@ UNION ALL SELECT id, n + 100, 99 FROM c WHERE id % 3 = 0 AND id % 2 = 0""",
         "merge_string_partition": _MERGE_ROWS + """
 SELECT id, CASE WHEN id % 4 = 2 THEN n + 100 ELSE n END AS n, name FROM c WHERE id % 3 <> 0
 UNION ALL SELECT id, n + 100, name FROM c WHERE id % 4 = 0 OR id % 4 = 2 AND id % 3 = 0""",
+        "merge_bucketed": _MERGE_ROWS + """
+SELECT id, CASE WHEN id % 4 = 0 THEN n + 100 ELSE n END AS n, part FROM c WHERE id % 3 <> 0
+UNION ALL SELECT id, n + 100, CASE WHEN id % 4 = 0 THEN part ELSE 99 END FROM c WHERE id % 4 = 2 OR id % 12 = 0""",
         "append_partitioned": f"SELECT * FROM ({a}) UNION ALL SELECT * FROM ({b})",
         "path_append_partitioned": "SELECT * FROM customer WHERE c_nationkey < 10 UNION ALL SELECT * FROM customer WHERE c_nationkey >= 5",
         "external_partitioned_replace": "SELECT * FROM customer WHERE c_nationkey >= 5 UNION ALL SELECT * FROM customer WHERE c_nationkey >= 5",

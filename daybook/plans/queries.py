@@ -336,6 +336,16 @@ def merge_string_partition(spark, sf_dir):
     return spark.table(t)
 
 
+def merge_bucketed(spark, sf_dir):
+    """Merge into a target bucketed by a key: changed rows, and new ones in old and new partitions."""
+    c = _customer(spark, sf_dir).selectExpr("c_custkey AS id", "c_nationkey AS n", "CAST(c_custkey % 7 AS INT) AS part")
+    t = _scratch_db(spark, "merge_buckets") + ".t"
+    tb.create_table(c.where("id % 3 <> 0"), t, partition_by="part", bucket_by=(4, ["id"]))
+    source = c.where("id % 2 = 0").selectExpr("id", "n + 100 AS n", "IF(id % 4 = 0, part, CAST(99 AS INT)) AS part")
+    merge_into(source, t, keys=("id", "part"), update_cols=("n",))
+    return spark.table(t)
+
+
 def path_append_partitioned(spark, sf_dir):
     db = _scratch_db(spark, "path_append_part")
     path = shared_dir(spark, "path_append_part_files")
@@ -529,6 +539,7 @@ QUERIES: dict[str, Query] = {
     "replace_three_part_name": replace_three_part_name,
     "replace_external": replace_external,
     "merge_unpartitioned_three_part": merge_unpartitioned_three_part,
+    "merge_bucketed": merge_bucketed,
     "path_text_partition": path_text_partition,
     "features_positive_only": features_positive_only,
     "scan_parquet_project": scan_parquet_project,

@@ -5,7 +5,9 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from daybook.operators import merge
 from daybook.operators import tables as tb
+from daybook.operators.catalog import table_info
 from daybook.operators.merge import MergeCardinalityError, merge_into
 
 D1, D2, D3 = dt.date(2024, 1, 1), dt.date(2024, 1, 2), dt.date(2024, 1, 3)
@@ -170,3 +172,85 @@ def test_letter_case_and_partition_updates(spark, db):
     assert sorted(tuple(r) for r in spark.table(t).select("client_id", "n").collect()) == [(0, 0), (1, 1), (2, 7), (3, 7), (4, 7)]
     with pytest.raises(ValueError):
         merge_into(spark.table(t), t, keys=("client_id",), update_cols=("date",))
+
+
+def _bucketed(spark, db, rows, keys, partitioned):
+    t = f"{db}.b"
+    tb.create_table(spark.createDataFrame(rows, SCHEMA), t, partition_by="date" if partitioned else None, bucket_by=(4, keys))
+    return t
+
+
+@pytest.mark.parametrize("partitioned", [True, False])
+def test_merge_into_buckets_golden(spark, db, partitioned):
+    keys = ["client_id"] if partitioned else ["date", "client_id"]
+    t = _bucketed(spark, db, [(D1, 1, 10, "keep"), (D1, 2, 20, "keep"), (D2, 1, 30, "keep"), (D2, None, 5, "k")], keys, partitioned)
+    src = spark.createDataFrame(
+        [(D1, 1, 11, "new"), (D3, 7, 70, "new"), (D3, 7, 71, "new"), (D2, None, 6, "k2"), (None, 2, 8, "k3")], SCHEMA
+    )
+    merge_into(src, t, keys=("date", "client_id"), update_cols=("n",))
+    assert _rows(spark.table(t)) == sorted([
+        (D1, 1, 11, "keep"), (D1, 2, 20, "keep"), (D2, 1, 30, "keep"), (D2, None, 5, "k"),
+        (D3, 7, 70, "new"), (D3, 7, 71, "new"), (D2, None, 6, "k2"), (None, 2, 8, "k3"),
+    ], key=str)
+    assert table_info(spark, t)["Num Buckets"] == "4"
+    twice = spark.createDataFrame([(D1, 1, 1, "x"), (D1, 1, 2, "x")], SCHEMA)
+    with pytest.raises(MergeCardinalityError):
+        merge_into(twice, t, keys=("date", "client_id"), update_cols=("n",))
+
+
+def test_merge_into_buckets_equals_merge_into_plain(spark, db):
+    days = "date_add(DATE'2024-01-01', CAST(id % 5 AS INT)) AS date"
+    rows = spark.range(3000).where("id % 3 <> 0").selectExpr(days, "id % 700 + 1000 * (id DIV 700) AS client_id", "id AS n", "'t' AS z")
+    src = spark.range(0, 3000, 4).selectExpr(days, "id % 700 + 1000 * (id DIV 700) AS client_id", "-id AS n", "'s' AS z")
+    tb.create_table(rows, f"{db}.plain", partition_by="date")
+    tb.create_table(rows, f"{db}.b", partition_by="date", bucket_by=(4, ["client_id"]))
+    for t in ("plain", "b"):
+        merge_into(src, f"{db}.{t}", keys=("date", "client_id"), update_cols=("n",))
+    assert _rows(spark.table(f"{db}.b")) == _rows(spark.table(f"{db}.plain"))
+    tb.append_by_name(src.withColumn("client_id", F.col("client_id") + 10**6), f"{db}.b")
+    # every row lies in a file of its own bucket, merged and appended ones alike
+    placed = spark.table(f"{db}.b").selectExpr(
+        "CAST(regexp_extract(_metadata.file_name, '_([0-9]+)[.]c', 1) AS INT) AS bucket", "pmod(hash(client_id), 4) AS own"
+    )
+    assert placed.where("bucket <> own OR bucket IS NULL").count() == 0 and placed.count() > src.count()
+
+
+def _exchanges_of(tree: str, table: str) -> list[str]:
+    """The exchanges that a scan of ``table`` passes under, read from the indented plan, below the nearest aggregate or join."""
+    lines = tree.splitlines()
+    depth = [len(x) - len(x.lstrip(" :+-")) for x in lines]
+    found = []
+    for i, line in enumerate(lines):
+        if "FileScan" in line and f".{table}[" in line:
+            at = depth[i]
+            for j in range(i - 1, -1, -1):
+                if depth[j] < at:
+                    at = depth[j]
+                    if "Join" in lines[j]:
+                        break
+                    if "Exchange" in lines[j]:
+                        found.append(lines[j])
+    return found
+
+
+@pytest.mark.parametrize("buckets", [True, False])
+def test_merge_probes_buckets_without_exchange(spark, db, buckets, monkeypatch):
+    rows = spark.range(100).selectExpr(
+        "date_add(DATE'2024-01-01', CAST(id % 5 AS INT)) AS date", "id AS client_id", "id AS n", "'t' AS z"
+    )
+    tb.create_table(rows, f"{db}.probed", partition_by="date", bucket_by=(3, ["client_id"]) if buckets else None)
+    trees = []
+
+    def note(df):
+        trees.append(df._jdf.queryExecution().executedPlan().toString())
+
+    staged, overwrite = merge.staged, merge.overwrite_partitions
+    monkeypatch.setattr(merge, "staged", lambda df, name: (note(df), staged(df, name))[1])
+    monkeypatch.setattr(merge, "overwrite_partitions", lambda df, name: (note(df), overwrite(df, name))[1])
+    src = rows.where("client_id < 50").withColumn("n", F.col("n") + 1)
+    merge_into(src, f"{db}.probed", keys=("date", "client_id"), update_cols=("n",))
+    assert len(trees) == 2
+    passed = [_exchanges_of(t, "probed") for t in trees]
+    assert all(".probed[" in t for t in trees)
+    assert (passed == [[], []]) == buckets, "\n".join(trees)
+    assert spark.table(f"{db}.probed").agg(F.sum("n")).first()[0] == sum(range(100)) + 50
