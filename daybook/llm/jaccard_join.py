@@ -186,9 +186,9 @@ def jaccard_links(docs: DataFrame, width: int = 4, percent: int = 85) -> tuple[D
     docs = docs.select(F.xxhash64("doc_id", "text").alias("uid"), F.col("doc_id").cast("long"), F.col("text").cast("string"))
     often = (
         docs.select("text").mapInArrow(_frequent(width), "h long, n long")
-        .groupBy("h").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "h").limit(FREQUENT).toPandas()
+        .groupBy("h").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "h").limit(FREQUENT).toArrow()
     )
-    last, rank = often["h"].to_numpy(np.int64).view(np.uint64), np.argsort(np.argsort(often["n"].to_numpy(), kind="stable"))
+    last, rank = often["h"].to_numpy().view(np.uint64), np.argsort(np.argsort(often["n"].to_numpy(), kind="stable"))
     by = np.argsort(last)
     sets = written(docs.mapInArrow(_sets(width, percent, last[by], rank[by].astype(np.int32) + 1), _ROWS), "sets")
 
